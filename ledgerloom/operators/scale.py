@@ -52,7 +52,7 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 
 def range_segment(df: DataFrame, cols: list[str], n_seg: int, per_segment_sample: int = 64,
-                  seed: int = 17) -> Column:
+                  seed: int = 17, total: int | None = None) -> Column:
     """A deterministic segment id (0..n_seg-1) over the ascending order of
     ``cols`` (NULLs first): equal keys share a segment, segments hold similar
     row counts, and a key range holding many rows spreads over many segments.
@@ -66,7 +66,7 @@ def range_segment(df: DataFrame, cols: list[str], n_seg: int, per_segment_sample
     """
     if n_seg <= 1:
         return F.lit(0)
-    total = df.count()
+    total = df.count() if total is None else total
     if total == 0:
         return F.lit(0)
     want = n_seg * per_segment_sample

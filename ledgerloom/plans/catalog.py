@@ -388,12 +388,12 @@ def date_dim(spark, d):
     return star.date_dim(spark, d)
 
 
-@query("geo_keys", O.with_(O.GEO) + "SELECT geo_key, country, state_province, city FROM geo_dim")
+@query("geo_keys", O.with_(O.STAR) + "SELECT geo_key, country, state_province, city FROM geo_dim")
 def geo_keys(spark, d):
     return star.geo_dim(spark, d)
 
 
-@query("product_keys", O.with_(O.PRODUCT) + "SELECT product_key, product_code, product_type, segment FROM product_dim")
+@query("product_keys", O.with_(O.STAR) + "SELECT product_key, product_code, product_type, segment FROM product_dim")
 def product_keys(spark, d):
     return star.product_dim(spark, d)
 

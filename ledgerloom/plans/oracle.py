@@ -17,8 +17,13 @@ def qkey(ts: str) -> str:
     return f"CAST(year({ts}) * 10 + quarter({ts}) AS INTEGER)"
 
 
+def round_int(x: str) -> str:
+    """Half away from zero, as floor(|x| + 0.5) with the sign restored."""
+    return f"CAST(CASE WHEN ({x}) >= 0 THEN floor(({x}) + 0.5) ELSE -floor(-({x}) + 0.5) END AS BIGINT)"
+
+
 def cents(x: str) -> str:
-    return f"CAST(round(({x}) * 100) AS BIGINT)"
+    return round_int(f"({x}) * 100.0")
 
 
 def half_up(n: str, d: str, places: int) -> str:
@@ -63,18 +68,18 @@ BASE = f"""base AS (
   SELECT o.quarter, o.originations_cnt, o.origination_amt, b.balance_amt, {quarter_cols('o.quarter')}
   FROM orig o LEFT JOIN bal b ON o.quarter = b.quarter)"""
 
-DQ = """dq AS (
+DQ = f"""dq AS (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(quarter(l_shipdate) AS INTEGER) AS quarter_num,
-         avg(round(l_discount * 100.0)) / 100.0 AS default_rate
+         avg(CAST({round_int('l_discount * 100.0')} AS DOUBLE)) / 100.0 AS default_rate
   FROM lineitem GROUP BY 1, 2)"""
 
 PQ = f"""pq AS (
   SELECT {qkey('l_shipdate')} AS quarter_key, CAST(year(l_shipdate) AS INTEGER) AS year,
-         CAST(quarter(l_shipdate) AS INTEGER) AS quarter, avg(round(l_tax * 100.0)) AS prime_rate
+         CAST(quarter(l_shipdate) AS INTEGER) AS quarter, avg(CAST({round_int('l_tax * 100.0')} AS DOUBLE)) AS prime_rate
   FROM lineitem GROUP BY 1, 2, 3)"""
 
-LY = """ly AS (
-  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(round(l_tax * 100.0)) AS lending_rate
+LY = f"""ly AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, avg(CAST({round_int('l_tax * 100.0')} AS DOUBLE)) AS lending_rate
   FROM lineitem GROUP BY 1)"""
 
 ENRICHED = """enriched AS (
@@ -92,20 +97,14 @@ GEO_LOOKUP = """geo_lookup AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
-def _geo_members(name: str, where: str) -> str:
-    src = f"(SELECT DISTINCT o_custkey FROM orders {where}) o JOIN geo_lookup g ON o.o_custkey = g.c_custkey"
-    return f"""{name} AS (
-  SELECT g.country, g.state_province, CAST(NULL AS VARCHAR) AS city FROM {src}
-  UNION ALL
-  SELECT g.country, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM {src})"""
-
-
-def _product_members(name: str, where: str) -> str:
-    src = f"(SELECT DISTINCT l_partkey FROM lineitem {where}) l JOIN part p ON l.l_partkey = p.p_partkey"
+def _members(name: str, cols: tuple[str, str, str], rollup: str, early: bool) -> str:
+    where = "WHERE quarter_key < 19981" if early else ""
+    a, b, c = cols
+    roll = [x if x != rollup else f"CAST(NULL AS VARCHAR) AS {x}" for x in cols]
     return f"""{name} AS (
-  SELECT p.p_brand AS product_code, p.p_type AS product_type, CAST(NULL AS VARCHAR) AS segment FROM {src}
+  SELECT {a}, {b}, {c} FROM cells {where}
   UNION ALL
-  SELECT p.p_brand, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM {src})"""
+  SELECT {", ".join(roll)} FROM cells {where})"""
 
 
 def _two_load(dim: str, early: str, full: str, natural: list[str], key: str) -> str:
@@ -121,36 +120,37 @@ def _two_load(dim: str, early: str, full: str, natural: list[str], key: str) ->
   FROM {dim}_new)"""
 
 
-GEO = ",\n".join([
-    GEO_LOOKUP,
-    _geo_members("geo_early", "WHERE o_orderdate < TIMESTAMP '1998-01-01'"),
-    _geo_members("geo_all", ""),
-    _two_load("geo_dim", "geo_early", "geo_all", ["country", "state_province", "city"], "geo_key"),
-])
-
-PRODUCT = ",\n".join([
-    _product_members("product_early", "WHERE l_shipdate < TIMESTAMP '1998-01-01'"),
-    _product_members("product_all", ""),
-    _two_load("product_dim", "product_early", "product_all", ["product_code", "product_type", "segment"], "product_key"),
-])
-
 CELLS = f"""cells AS (
   SELECT {qkey('o_orderdate')} AS quarter_key, g.country, g.state_province, CAST(NULL AS VARCHAR) AS city,
          p_brand AS product_code, p_type AS product_type, CAST(NULL AS VARCHAR) AS segment,
          COUNT(*) AS originations_cnt,
          SUM({cents('l_extendedprice')}) AS orig_c,
          SUM({cents('l_extendedprice * (1.0 - l_discount)')}) AS bal_c,
-         SUM(CAST(round(l_discount * 100.0) AS BIGINT)) AS disc_pct
+         SUM({round_int('l_discount * 100.0')}) AS disc_pct
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN geo_lookup g ON o_custkey = g.c_custkey
   JOIN part ON l_partkey = p_partkey
   GROUP BY 1, 2, 3, 4, 5, 6, 7),
-rq AS (SELECT {qkey('l_shipdate')} AS quarter_key, SUM(CAST(round(l_tax * 100.0) AS BIGINT)) AS s_q, COUNT(*) AS n_q
+rq AS (SELECT {qkey('l_shipdate')} AS quarter_key, SUM({round_int('l_tax * 100.0')}) AS s_q, COUNT(*) AS n_q
        FROM lineitem GROUP BY 1),
-ry AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, SUM(CAST(round(l_tax * 100.0) AS BIGINT)) AS s_y, COUNT(*) AS n_y
+ry AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, SUM({round_int('l_tax * 100.0')}) AS s_y, COUNT(*) AS n_y
        FROM lineitem GROUP BY 1)"""
 
-FACT = ",\n".join([GEO, PRODUCT, CELLS, f"""fact AS (
+GEO_COLS = ("country", "state_province", "city")
+PRODUCT_COLS = ("product_code", "product_type", "segment")
+
+STAR = ",\n".join([
+    GEO_LOOKUP,
+    CELLS,
+    _members("geo_early", GEO_COLS, "state_province", True),
+    _members("geo_all", GEO_COLS, "state_province", False),
+    _two_load("geo_dim", "geo_early", "geo_all", list(GEO_COLS), "geo_key"),
+    _members("product_early", PRODUCT_COLS, "product_type", True),
+    _members("product_all", PRODUCT_COLS, "product_type", False),
+    _two_load("product_dim", "product_early", "product_all", list(PRODUCT_COLS), "product_key"),
+])
+
+FACT = ",\n".join([STAR, f"""fact AS (
   SELECT c.quarter_key, g.geo_key, p.product_key, c.originations_cnt,
          CAST(CAST(c.orig_c AS DOUBLE) / 100.0 AS DECIMAL(18,2)) AS origination_amt,
          CAST(CAST(c.bal_c AS DOUBLE) / 100.0 AS DECIMAL(18,2)) AS balance_amt,

@@ -22,14 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..functions.money import cents, ratio_half_up
+from ..functions.money import cents, ratio_half_up, round_half_up
 from ..functions.quarter import add_year_quarter, date_quarter_token, quarter_columns, quarter_key
 from ..operators import enrich, keys
 from ..operators.scale import bounded_broadcast
+from ..operators.warehouse import MAX_QUARTERS
+from ..session import ensure_checkpoint_dir
 
-# First day of the "second load" when dimensions are built in
-# two loads (members seen before it exist already).
-SECOND_LOAD_START = "1998-01-01"
+# The first dimension load holds the members of quarters
+# before this key; the second load adds the rest.
+FIRST_LOAD_BEFORE = 19981
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,7 +59,7 @@ def percent_series(spark: SparkSession, sf_dir: str, value_col: str) -> DataFram
     """A daily observation series (date, value in whole percent)."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_shipdate").cast("date").alias("date"),
-                     F.round(F.col(value_col) * F.lit(100.0)).alias("value"))
+                     round_half_up(F.col(value_col) * F.lit(100.0)).cast("double").alias("value"))
 
 
 def default_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +93,7 @@ def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "quarter_start", "quarter_end").distinct()
 
 
-# ------------------------------------------------------------- dimensions
+# ------------------------------------------------------------------- fact
 def _geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer → (country, state_province); nation and region hold a fixed
     25 / 5 rows, so they are broadcast."""
@@ -102,81 +104,98 @@ def _geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("c_custkey", F.col("r_name").alias("country"), F.col("n_name").alias("state_province")))
 
 
-def geo_members(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
-    """Geo members of customers with orders: nation level and region level
-    (state NULL); city is always NULL."""
-    o = table(spark, sf_dir, "orders")
-    if before is not None:
-        o = o.where(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
-    g = o.select("o_custkey").distinct().join(_geo_lookup(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    nation = g.select("country", "state_province", F.lit(None).cast("string").alias("city"))
-    region = g.select("country", F.lit(None).cast("string").alias("state_province"), F.lit(None).cast("string").alias("city"))
+def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items at the fact grain (order quarter, geo member, product
+    member) with exact integer measures: the one pass over the big tables.
+
+    The number of cells is bounded by quarters x nations x brand/type
+    values, not by the number of line items; every later step (dimensions,
+    keys, rates) works on cells.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    # Orders meet customers first (a quarter of the line-item volume), so
+    # line items are shuffled once by order key and never by customer key.
+    y, q = F.year("o_orderdate"), F.quarter("o_orderdate")
+    og = (o.join(_geo_lookup(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+          .select("o_orderkey", quarter_key(y, q).alias("quarter_key"), "country", "state_province"))
+    j = li.join(og, li.l_orderkey == og.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    return (j.groupBy("quarter_key", "country", "state_province",
+                      F.col("p_brand").alias("product_code"), F.col("p_type").alias("product_type"))
+            .agg(F.count(F.lit(1)).alias("originations_cnt"),
+                 F.sum(cents("l_extendedprice")).alias("_orig_c"),
+                 F.sum(cents(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")))).alias("_bal_c"),
+                 F.sum(round_half_up(F.col("l_discount") * F.lit(100.0))).alias("_disc_pct"))
+            .withColumns({"city": F.lit(None).cast("string"), "segment": F.lit(None).cast("string")}))
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact cells, materialised once in the checkpoint folder (several
+    dimension and key steps read them)."""
+    ensure_checkpoint_dir(spark)
+    return fact_cells(spark, sf_dir).checkpoint(eager=True)
+
+
+# ------------------------------------------------------------- dimensions
+def geo_members(c: DataFrame, early: bool = False, keep: tuple = ()) -> DataFrame:
+    """Geo members of the cells: nation level and region level (state
+    NULL); city is always NULL."""
+    if early:
+        c = c.where(F.col("quarter_key") < FIRST_LOAD_BEFORE)
+    nation = c.select("country", "state_province", "city", *keep)
+    region = c.select("country", F.lit(None).cast("string").alias("state_province"), "city", *keep)
     return nation.unionByName(region)
 
 
-def product_members(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
-    """Product members of shipped parts: brand+type and brand level."""
-    li = table(spark, sf_dir, "lineitem")
-    if before is not None:
-        li = li.where(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
-    p = table(spark, sf_dir, "part")
-    j = li.select("l_partkey").distinct().join(p, F.col("l_partkey") == F.col("p_partkey"))
-    detail = j.select(F.col("p_brand").alias("product_code"), F.col("p_type").alias("product_type"),
-                      F.lit(None).cast("string").alias("segment"))
-    brand = j.select(F.col("p_brand").alias("product_code"), F.lit(None).cast("string").alias("product_type"),
-                     F.lit(None).cast("string").alias("segment"))
+def product_members(c: DataFrame, early: bool = False, keep: tuple = ()) -> DataFrame:
+    """Product members of the cells: brand+type and brand level."""
+    if early:
+        c = c.where(F.col("quarter_key") < FIRST_LOAD_BEFORE)
+    detail = c.select("product_code", "product_type", "segment", *keep)
+    brand = c.select("product_code", F.lit(None).cast("string").alias("product_type"), "segment", *keep)
     return detail.unionByName(brand)
 
 
-def _two_load_dim(spark: SparkSession, early: DataFrame, full: DataFrame, schema, natural, key) -> DataFrame:
+def _two_load_dim(spark: SparkSession, c: DataFrame, members, schema, natural, key) -> DataFrame:
+    """J7 twice: a first load with the members of earlier quarters, then all
+    members (existing ones keep their keys, new ones follow in order)."""
     empty = spark.createDataFrame([], schema)
-    first, _ = keys.get_or_create(empty, early, natural, key)
-    dim, _ = keys.get_or_create(first, full, natural, key)
+    # Members come from the checkpointed cells: no further materialising.
+    first, _ = keys.get_or_create(empty, members(c, early=True), natural, key, materialize=False)
+    dim, _ = keys.get_or_create(first, members(c), natural, key, materialize=False)
     return dim
 
 
-def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J7 twice: a first load with earlier members, then all members."""
-    return _two_load_dim(spark, geo_members(spark, sf_dir, SECOND_LOAD_START), geo_members(spark, sf_dir),
-                         C.DIM_GEO, C.GEO_NATURAL_KEY, "geo_key")
+def _load_order_dim(c: DataFrame, members, natural, key) -> DataFrame:
+    """The same keys as :func:`_two_load_dim`, from one aggregation."""
+    loads = members(c.withColumn("_load", F.when(F.col("quarter_key") < FIRST_LOAD_BEFORE, 0).otherwise(1)),
+                    keep=["_load"])
+    return keys.keys_in_load_order(loads, "_load", natural, key)
 
 
-def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_load_dim(spark, product_members(spark, sf_dir, SECOND_LOAD_START), product_members(spark, sf_dir),
-                         C.DIM_PRODUCT, C.PRODUCT_NATURAL_KEY, "product_key")
+def geo_dim(spark: SparkSession, sf_dir: str, c: DataFrame | None = None) -> DataFrame:
+    c = cells(spark, sf_dir) if c is None else c
+    return _two_load_dim(spark, c, geo_members, C.DIM_GEO, C.GEO_NATURAL_KEY, "geo_key")
 
 
-# ------------------------------------------------------------------- fact
-def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items at the fact grain (order quarter, geo member, product
-    member) with exact integer measures."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(_geo_lookup(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-         .join(p, li.l_partkey == p.p_partkey))
-    y, q = F.year("o_orderdate"), F.quarter("o_orderdate")
-    return (j.groupBy(quarter_key(y, q).alias("quarter_key"), "country", "state_province",
-                      F.col("p_brand").alias("product_code"), F.col("p_type").alias("product_type"))
-            .agg(F.count(F.lit(1)).alias("originations_cnt"),
-                 F.sum(cents("l_extendedprice")).alias("_orig_c"),
-                 F.sum(cents(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")))).alias("_bal_c"),
-                 F.sum(F.round(F.col("l_discount") * F.lit(100.0)).cast("bigint")).alias("_disc_pct"))
-            .withColumns({"city": F.lit(None).cast("string"), "segment": F.lit(None).cast("string"),
-                          "year": (F.col("quarter_key") / 10).cast("int")}))
+def product_dim(spark: SparkSession, sf_dir: str, c: DataFrame | None = None) -> DataFrame:
+    c = cells(spark, sf_dir) if c is None else c
+    return _two_load_dim(spark, c, product_members, C.DIM_PRODUCT, C.PRODUCT_NATURAL_KEY, "product_key")
 
 
-def rate_sums(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
-    """Integer sums and counts of the whole-percent tax series per
-    ``quarter_key`` or ``year`` (exact, for half-up rounding)."""
+def tax_rate_sums(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Integer sums and counts of the whole-percent tax series per ship
+    quarter, and per year rolled up from them (exact: integer sums)."""
     li = table(spark, sf_dir, "lineitem")
     y, q = F.year("l_shipdate"), F.quarter("l_shipdate")
-    k = quarter_key(y, q) if by == "quarter_key" else y.cast("int")
-    return li.groupBy(k.alias(by)).agg(
-        F.sum(F.round(F.col("l_tax") * F.lit(100.0)).cast("bigint")).alias(f"_s_{by}"),
-        F.count(F.lit(1)).alias(f"_n_{by}"))
+    per_q = li.groupBy(quarter_key(y, q).alias("quarter_key")).agg(
+        F.sum(round_half_up(F.col("l_tax") * F.lit(100.0))).alias("_s_q"),
+        F.count(F.lit(1)).alias("_n_q"))
+    per_y = (per_q.groupBy(F.floor(F.col("quarter_key") / 10).cast("int").alias("year"))
+             .agg(F.sum("_s_q").alias("_s_y"), F.sum("_n_q").alias("_n_y")))
+    return per_q, per_y
 
 
 def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,22 +204,27 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rates are rounded half-up from their exact rationals: default rate to
     5 places (fraction), prime and lending to 3 places (percent).
     """
-    cells = fact_cells(spark, sf_dir)
-    cells = cells.join(rate_sums(spark, sf_dir, "quarter_key"), "quarter_key", "left")
-    cells = cells.join(rate_sums(spark, sf_dir, "year"), "year", "left")
-    cells = keys.stamp_keys(cells, geo_dim(spark, sf_dir), C.GEO_NATURAL_KEY, "geo_key")
-    cells = keys.stamp_keys(cells, product_dim(spark, sf_dir), C.PRODUCT_NATURAL_KEY, "product_key")
+    c = cells(spark, sf_dir)
+    per_q, per_y = tax_rate_sums(spark, sf_dir)
+    # One row per quarter / year: bounded by the calendar.
+    rows = c.withColumn("year", F.floor(F.col("quarter_key") / 10).cast("int"))
+    rows = rows.join(bounded_broadcast(per_q, MAX_QUARTERS), "quarter_key", "left")
+    rows = rows.join(bounded_broadcast(per_y, MAX_QUARTERS), "year", "left")
+    rows = keys.stamp_keys(rows, _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key"),
+                           C.GEO_NATURAL_KEY, "geo_key")
+    rows = keys.stamp_keys(rows, _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key"),
+                           C.PRODUCT_NATURAL_KEY, "product_key")
     money = C.MEASURE_TYPES["origination_amt"]
-    return cells.select(
+    return rows.select(
         "quarter_key", "geo_key", "product_key",
         F.col("originations_cnt").cast("bigint").alias("originations_cnt"),
         (F.col("_orig_c").cast("double") / F.lit(100.0)).try_cast(money).alias("origination_amt"),
         (F.col("_bal_c").cast("double") / F.lit(100.0)).try_cast(money).alias("balance_amt"),
         ratio_half_up(F.col("_disc_pct"), F.col("originations_cnt") * F.lit(100), 5)
         .try_cast(C.MEASURE_TYPES["default_rate"]).alias("default_rate"),
-        ratio_half_up(F.col("_s_quarter_key"), F.col("_n_quarter_key"), 3)
+        ratio_half_up(F.col("_s_q"), F.col("_n_q"), 3)
         .try_cast(C.MEASURE_TYPES["prime_rate"]).alias("prime_rate"),
-        ratio_half_up(F.col("_s_year"), F.col("_n_year"), 3)
+        ratio_half_up(F.col("_s_y"), F.col("_n_y"), 3)
         .try_cast(C.MEASURE_TYPES["lending_rate"]).alias("lending_rate"),
     )
 
