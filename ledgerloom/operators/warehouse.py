@@ -87,10 +87,12 @@ def not_null_violations(df: DataFrame, cols: Sequence[str], table: str) -> DataF
 
 
 def fk_orphans(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str | None = None) -> DataFrame:
-    """Fact rows whose foreign key has no dimension row."""
+    """Fact rows whose foreign key has no dimension row (a NULL key is a
+    NOT NULL violation, reported by :func:`not_null_violations`)."""
     dim_key = dim_key or fk
     d = dim.select(F.col(dim_key).alias("_dk")).distinct()
-    return fact.join(d, fact[fk] == d["_dk"], "left_anti")
+    f = fact.where(F.col(fk).isNotNull())
+    return f.join(d, f[fk] == d["_dk"], "left_anti")
 
 
 class Warehouse:
@@ -114,8 +116,9 @@ class Warehouse:
         schema = C.TABLE_SCHEMAS[table]
         if not self.exists(table):
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.path(table))
-        return align_to_contract(df, schema).select(*schema.fieldNames())
+        # The contract schema, not inference: an empty partitioned table has
+        # no data files, and columns missing from older files read as NULL.
+        return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.fieldNames())
 
     def create_tables_if_missing(self) -> None:
         """An empty, typed table for every contract table not present."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..contracts import DEFAULT_LENDING_COUNTRY, KV_RECORD_XML
 from ..functions.money import parse_number
 from ..functions.text import first_non_empty, lookup, text_to_int_truncating
+from ..session import ensure_checkpoint_dir
 
 CORRUPT = "_corrupt_record"
 
@@ -44,6 +45,11 @@ def read_xml_records(spark: SparkSession, path: str) -> DataFrame | None:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return None
         raise
+    # Parse once: the records are read twice below (bad-file check, data),
+    # and Spark refuses a query on the raw file that only reads the
+    # corrupt-record column.
+    ensure_checkpoint_dir(spark)
+    raw = raw.checkpoint(eager=True)
     bad_files = raw.where(F.col(CORRUPT).isNotNull()).select("_file").distinct()
     good = raw.join(bad_files, "_file", "left_anti")
     return good.select(fields_to_map(F.col("field")).alias("kv"))
