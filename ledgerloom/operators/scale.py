@@ -85,8 +85,14 @@ def range_segment(df: DataFrame, cols: list[str], n_seg: int, per_segment_sample
             continue
         bounds.append(tuple(r))
     key = F.struct(*[F.col(c) for c in cols])
-    seg = F.lit(0)
-    for b in bounds:
-        lit = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)])
-        seg = seg + F.when(key >= lit, 1).otherwise(0)
-    return seg
+    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
+
+    def tree(lo: int, hi: int) -> Column:
+        # Segment in [lo, hi]: rows at or above bound lo..hi-1 climb; a
+        # balanced tree needs log2(segments) comparisons per row.
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(key >= lits[mid - 1], tree(mid, hi)).otherwise(tree(lo, mid - 1))
+
+    return tree(0, len(bounds))
