@@ -21,6 +21,8 @@ from .scale import null_safe_on, range_segment, shuffle_partitions
 
 # Checked size bound for numbering new members in a single task.
 SINGLE_TASK_ROWS = 100_000
+# Checked size bound for broadcasting a dimension in a key lookup.
+BROADCAST_ROWS = 1_000_000
 
 
 def number_rows(df: DataFrame, order_cols: Sequence[str], key_col: str, start_after=None,
@@ -77,24 +79,32 @@ def get_or_create(dim: DataFrame, incoming: DataFrame, natural: Sequence[str], k
     return dim.select(key_col, *natural).unionByName(new), new
 
 
-def stamp_keys(rows: DataFrame, dim: DataFrame, natural: Sequence[str], key_col: str) -> DataFrame:
+def stamp_keys(rows: DataFrame, dim: DataFrame, natural: Sequence[str], key_col: str,
+               dim_rows: int | None = None) -> DataFrame:
     """Attach ``key_col`` to rows by null-safe natural-key lookup (first key
-    wins); the natural-key columns are replaced by the key."""
+    wins); the natural-key columns are replaced by the key.  ``dim_rows``, a
+    counted size of ``dim``, lets a small dimension be broadcast; without it
+    AQE decides from measured sizes."""
     natural = list(natural)
     found = first_keys(dim, natural, key_col)
+    if dim_rows is not None and dim_rows <= BROADCAST_ROWS:
+        found = F.broadcast(found)
     j = rows.join(found, null_safe_on(rows, found, natural), "left")
     keep = [rows[c] for c in rows.columns if c not in natural]
     return j.select(*keep, found[key_col])
 
 
-def keys_in_load_order(members: DataFrame, load_col: str, natural: Sequence[str], key_col: str) -> DataFrame:
+def keys_in_load_order(members: DataFrame, load_col: str, natural: Sequence[str],
+                       key_col: str) -> tuple[DataFrame, int]:
     """J7 over successive loads into an empty dimension, in one pass.
 
     ``members`` carries the load number in which each natural key appears
     (it may appear in several).  A key's first load decides its block, and
     within a block keys follow the natural order, which is exactly what
-    running :func:`get_or_create` load after load assigns.
+    running :func:`get_or_create` load after load assigns.  Returns the
+    dimension and its row count.
     """
     natural = list(natural)
     first = members.groupBy(*natural).agg(F.min(load_col).alias("_load"))
-    return number_rows(first, ["_load"] + natural, key_col).select(key_col, *natural)
+    total = first.count()
+    return number_rows(first, ["_load"] + natural, key_col, total=total).select(key_col, *natural), total

@@ -210,10 +210,10 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = c.withColumn("year", F.floor(F.col("quarter_key") / 10).cast("int"))
     rows = rows.join(bounded_broadcast(per_q, MAX_QUARTERS), "quarter_key", "left")
     rows = rows.join(bounded_broadcast(per_y, MAX_QUARTERS), "year", "left")
-    rows = keys.stamp_keys(rows, _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key"),
-                           C.GEO_NATURAL_KEY, "geo_key")
-    rows = keys.stamp_keys(rows, _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key"),
-                           C.PRODUCT_NATURAL_KEY, "product_key")
+    geo, n_geo = _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key")
+    prod, n_prod = _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key")
+    rows = keys.stamp_keys(rows, geo, C.GEO_NATURAL_KEY, "geo_key", dim_rows=n_geo)
+    rows = keys.stamp_keys(rows, prod, C.PRODUCT_NATURAL_KEY, "product_key", dim_rows=n_prod)
     money = C.MEASURE_TYPES["origination_amt"]
     return rows.select(
         "quarter_key", "geo_key", "product_key",

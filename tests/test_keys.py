@@ -40,5 +40,5 @@ def test_load_order_equals_two_loads(spark):
     two, _ = keys.get_or_create(first, late, NAT, "geo_key")
     from pyspark.sql import functions as F
     loads = early.withColumn("l", F.lit(0)).unionByName(late.withColumn("l", F.lit(1)))
-    one = keys.keys_in_load_order(loads, "l", NAT, "geo_key")
-    assert rows(one) == rows(two)
+    one, n = keys.keys_in_load_order(loads, "l", NAT, "geo_key")
+    assert rows(one) == rows(two) and n == 4
