@@ -181,3 +181,61 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
         one = df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# ------------------------------------------------------------ catalog
+def _ddl_type(t: T.DataType) -> str:
+    return t.simpleString()
+
+
+def schema_diff(actual: T.StructType, contract: T.StructType) -> list[tuple[str, str]]:
+    """``(column, finding)`` for every difference from the contract:
+    ``missing``, ``extra``, ``type <actual> != <contract>`` or
+    ``not null`` (a legacy NOT NULL the contract does not require)."""
+    out = []
+    have = {f.name: f for f in actual.fields}
+    for f in contract.fields:
+        if f.name not in have:
+            out.append((f.name, "missing"))
+        elif have[f.name].dataType != f.dataType:
+            out.append((f.name, f"type {_ddl_type(have[f.name].dataType)} != {_ddl_type(f.dataType)}"))
+    for name, f in have.items():
+        if name not in contract.fieldNames():
+            out.append((name, "extra"))
+            if not f.nullable:
+                out.append((name, "not null"))
+    return out
+
+
+def register_tables(spark: SparkSession, root: str, database: str | None = None) -> list[str]:
+    """``CREATE TABLE IF NOT EXISTS … USING parquet`` over the warehouse
+    folders (the fact ``PARTITIONED BY (quarter_key)``), so the star can be
+    queried with plain SQL.  Returns the qualified table names."""
+    names = []
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, schema in C.TABLE_SCHEMAS.items():
+        cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in schema.fields)
+        part = " PARTITIONED BY (quarter_key)" if name == "fact_credit_metrics_qtr" else ""
+        qn = f"`{database}`.`{name}`" if database else f"`{name}`"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {qn} ({cols}) USING parquet{part} "
+                  f"LOCATION '{os.path.join(root, name)}'")
+        if part:
+            # Pick up quarter partitions already on disk.
+            spark.sql(f"MSCK REPAIR TABLE {qn}")
+        names.append(qn)
+    return names
+
+
+def heal_table(spark: SparkSession, table: str, contract: T.StructType) -> list[tuple[str, str]]:
+    """W8 on a catalog table: add the contract columns it lacks (``ALTER
+    TABLE … ADD COLUMNS``); returns what was found before healing.  Legacy
+    NOT NULL columns are read as nullable by Spark's Parquet reader, and key
+    uniqueness is checked with :func:`pk_violations`."""
+    actual = spark.table(table).schema
+    found = schema_diff(actual, contract)
+    missing = [f for f in contract.fields if f.name not in actual.fieldNames()]
+    if missing:
+        cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in missing)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+    return found

@@ -34,27 +34,37 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster, if any."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
-    return spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    return sc.getCheckpointDir() if sc is not None else None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only
     when the session has none (local runs and tests)."""
     d = checkpoint_dir(spark)
+    sc = _context(spark)
     if not d:
-        master = spark.sparkContext.master
+        master = sc.master if sc is not None else ""
         if not master.startswith("local"):
             # A machine-local folder is invisible to other executors.
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -72,6 +82,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerloom-sql-"))
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -68,3 +69,30 @@ def test_schema_heal_and_contract_checks(spark):
         ("t", "product_key", 1), ("t", "quarter_key", 0)]
     dim = spark.createDataFrame([(1,)], "product_key int")
     assert rows(W.fk_orphans(f, dim, "product_key")) == [(1, 1, 2), (2, 3, 4)]  # NULL key is not an orphan
+
+
+def test_catalog_register_heal_and_sql_marts(spark, tmp):
+    from ledgerloom.plans import marts
+
+    wh = W.Warehouse(spark, tmp + "/wh")
+    d = dt.date
+    wh.upsert_dim_date(spark.createDataFrame([(20123, 2012, 3, d(2012, 7, 1), d(2012, 9, 30))], C.DIM_DATE_QTR))
+    wh.upsert_fact(_fact(spark, [(20123, 4, "2.50")]))
+    db = "mart_" + os.path.basename(tmp).replace("-", "_")
+    W.register_tables(spark, tmp + "/wh", db)
+    tr = marts.sql_query(spark, marts.TREND_SQL, db).collect()
+    assert [(r.year, r.quarter, r.orig_amt_usd) for r in tr] == [(2012, 3, Decimal("2.50"))]
+    assert dict((r.table_name, r.cnt) for r in marts.sql_query(spark, marts.COUNTS_SQL, db).collect()) == {
+        "dim_date_qtr": 1, "dim_geo": 0, "dim_product": 0, "fact_credit_metrics_qtr": 1}
+    yr = marts.sql_query(spark, marts.YEARLY_SQL, db).first()
+    assert (yr.year, yr.cnt, yr.amt) == (2012, 4, Decimal("2.50"))
+    # legacy product dimension healed in the catalog
+    spark.sql(f"CREATE TABLE `{db}`.legacy_product (product_key INT, product_number INT) USING parquet "
+              f"LOCATION '{tmp}/legacy'")
+    spark.sql(f"INSERT INTO `{db}`.legacy_product VALUES (1, 10)")
+    found = W.heal_table(spark, f"`{db}`.legacy_product", C.DIM_PRODUCT)
+    assert ("product_code", "missing") in found and ("product_number", "extra") in found
+    healed = spark.table(f"`{db}`.legacy_product")
+    assert healed.columns == ["product_key", "product_number", "product_code", "product_type", "segment"]
+    assert healed.first().product_code is None
+    assert W.schema_diff(healed.schema, C.DIM_PRODUCT) == [("product_number", "extra")]
