@@ -85,3 +85,13 @@ def test_golden_totals_on_shipped_files(spark, tmp):
         14220000, Decimal("55000000000.00"), Decimal("578170000000.00"))
     nulls = {r.column_name: r.null_pct for r in res.reports["null_profile"].collect()}
     assert nulls["prime_rate"] == 100.0 and nulls["origination_amt"] == 0.0
+
+
+def test_no_valid_quarters_gives_empty_load(spark, tmp):
+    from fixtures import write, ORIG_HEADER, FOOTERS
+    orig = write(tmp + "/o.csv", "\n".join([ORIG_HEADER, ""] + FOOTERS) + "\n")
+    res = pipeline.run(spark, pipeline.Sources(originations=orig), tmp + "/wh", report_dir=tmp + "/rep")
+    assert res.base.count() == 0
+    assert res.reports["coverage"].count() == 0
+    counts = dict((r.table_name, r.cnt) for r in res.counts.collect())
+    assert counts["fact_credit_metrics_qtr"] == 0 and counts["dim_geo"] == 1
