@@ -76,7 +76,7 @@ def build_base(spark: SparkSession, src: Sources):
     if orig is None:
         raise FileNotFoundError(f"originations source not found: {src.originations}")
     if bal is None:
-        bal = csv_files.empty_frame(spark, "quarter string, balance_amt double")
+        bal = csv_files.empty_frame(spark, f"quarter string, {csv_files.LINE} bigint, balance_amt double")
     prime_s = series.read_series(spark, src.prime_series, src.series_format) if src.prime_series else None
     dflt_s = series.read_series(spark, src.default_series, src.series_format) if src.default_series else None
     prime = enrich.prime_quarterly(prime_s) if prime_s is not None else None
@@ -85,9 +85,11 @@ def build_base(spark: SparkSession, src: Sources):
     lendy = records.lending_yearly(recs, src.lending_country) if recs is not None else None
 
     rejects = []
-    order = ["quarter"]
+    # Duplicates keep the first row of the file, as a file reader would.
+    order = [csv_files.LINE]
     orig_u, r = quality.ensure_unique(orig, ["quarter"], order, "orig"); rejects.append(r)
     bal_u, r = quality.ensure_unique(bal, ["quarter"], order, "bal"); rejects.append(r)
+    orig_u, bal_u = orig_u.drop(csv_files.LINE), bal_u.drop(csv_files.LINE)
     if prime is not None:
         prime, r = quality.ensure_unique(prime, ["quarter_key"], ["year"], "prime"); rejects.append(r)
     if dfltq is not None:

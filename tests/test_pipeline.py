@@ -10,7 +10,7 @@ from fixtures import bal_csv, lending_xml, orig_csv, series_csv
 
 def _sources(tmp):
     orig = [("2012Q3", "55.00", "14.22"), ("Q4 2012", "63.94", "17.45"), ("2013Q1", "-1.00", "8.62"),
-            ("2013Q2", "70.00", "10.00"), ("2013Q2", "71.00", "11.00")]
+            ("2013Q2", "71.00", "11.00"), ("2013Q2", "70.00", "10.00")]
     bal = [("2012Q3", "578.17"), ("2012Q4", "594.64"), ("2013Q1", "600.00"), ("2013Q2", "610.00")]
     prime = [("2012-07-02", "3.25"), ("2012-08-01", "3.75"), ("2013-04-02", "3.25")]
     dflt = [("2012-07-01", "4.5"), ("2012-10-01", "150"), ("2013-01-01", "4.0"), ("2013-04-01", "3.9")]
@@ -36,6 +36,7 @@ def test_end_to_end_load(spark, tmp):
     assert base[20131].prime_rate is None                 # never crosses the year
     assert base[20123].lending_rate == pytest.approx(3.25) and base[20132].lending_rate is None
     assert base[20131].origination_amt is None
+    assert base[20132].origination_amt == 71e9            # first row of the file wins
     counts = dict((r.table_name, r.cnt) for r in res.counts.collect())
     assert counts == {"dim_date_qtr": 4, "dim_geo": 1, "dim_product": 1, "fact_credit_metrics_qtr": 4}
     assert os.path.isdir(tmp + "/rep/rejects") and os.path.isdir(tmp + "/rep/coverage")

@@ -10,7 +10,8 @@ def test_csv_rows_footers_and_values(spark, tmp):
     raw = csv_files.read_fed_csv(spark, p)
     assert raw.count() == 6  # 3 data rows + 3 one-field footers; blank line skipped
     o = csv_files.extract_origination(spark, p)
-    got = rows(o.where("quarter like '20%'"))
+    got = rows(o.where("quarter like '20%'"), "quarter", "origination_amt", "originations_cnt")
+    assert [r._line for r in o.orderBy("_line").collect()][:3] == sorted(r._line for r in o.collect())[:3]
     assert got == [("2012Q3", 55e9, 14220000), ("2012Q4", 63.94e9, 17450000), ("2013Q1", 1001.5e9, 8620000)]
 
 
@@ -25,7 +26,8 @@ def test_csv_preamble_and_bom(spark, tmp):
 def test_quoted_balances_and_absent(spark, tmp):
     p = bal_csv(tmp + "/b.csv", [("2012Q3", "578.17"), ("2012Q4", "3,002.42")])
     b = csv_files.extract_balances(spark, p)
-    assert rows(b.where("balance_amt is not null")) == [("2012Q3", 578.17e9), ("2012Q4", 3002.42e9)]
+    assert rows(b.where("balance_amt is not null"), "quarter", "balance_amt") == [
+        ("2012Q3", 578.17e9), ("2012Q4", 3002.42e9)]
     assert csv_files.extract_balances(spark, tmp + "/missing.csv") is None
 
 
