@@ -95,11 +95,12 @@ def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------- fact
 def _geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer → (country, state_province); nation and region hold a fixed
-    25 / 5 rows, so they are broadcast."""
+    """customer → (country, state_province).  Nation and region are tiny;
+    the planner broadcasts them from their measured size (and would
+    sort-merge if they were not)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = bounded_broadcast(table(spark, sf_dir, "nation"), 25)
-    r = bounded_broadcast(table(spark, sf_dir, "region"), 5)
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
     return (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
             .select("c_custkey", F.col("r_name").alias("country"), F.col("n_name").alias("state_province")))
 

@@ -96,3 +96,13 @@ def test_no_valid_quarters_gives_empty_load(spark, tmp):
     assert res.reports["coverage"].count() == 0
     counts = dict((r.table_name, r.cnt) for r in res.counts.collect())
     assert counts["fact_credit_metrics_qtr"] == 0 and counts["dim_geo"] == 1
+
+
+def test_command_line(tmp, capsys, spark):
+    import json as _json
+    from ledgerloom.__main__ import main
+
+    src = _sources(tmp)
+    main(["--orig", src.originations, "--bal", src.balances, "--warehouse", tmp + "/wh", "--validate", "--perfcheck"])
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["counts"]["fact_credit_metrics_qtr"] == 4 and out["rows_ready"] == 4
