@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..functions import money, quarter, text
+from ..functions import money, quarter
 from ..operators import enrich, fill, quality, reports, warehouse
 from ..sources import csv_files, records, series
 from . import marts, star

@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.money import cents, ratio_half_up, round_half_up
-from ..functions.quarter import add_year_quarter, date_quarter_token, quarter_columns, quarter_key
+from ..functions.quarter import add_year_quarter, date_quarter_token, quarter_key
 from ..operators import enrich, keys
 from ..operators.scale import bounded_broadcast
 from ..operators.warehouse import MAX_QUARTERS
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, input_bytes, size_shuffle
 
 # The first dimension load holds the members of quarters
 # before this key; the second load adds the rest.
@@ -134,8 +134,10 @@ def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact cells, materialised once in the checkpoint folder (several
-    dimension and key steps read them)."""
+    dimension and key steps read them).  The shuffle is sized from the
+    input volume first, so partitions stay spill-friendly at any scale."""
     ensure_checkpoint_dir(spark)
+    size_shuffle(spark, input_bytes(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "part")]))
     return fact_cells(spark, sf_dir).checkpoint(eager=True)
 
 
@@ -232,5 +234,5 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = [
     "balances", "base", "date_dim", "default_quarterly", "enriched_base", "fact_rows", "geo_dim",
-    "lending_yearly", "originations", "prime_quarterly", "product_dim", "quarter_columns", "table",
+    "lending_yearly", "originations", "prime_quarterly", "product_dim", "table",
 ]

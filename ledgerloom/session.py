@@ -89,3 +89,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (driver-side listing only)."""
+    sc = _context(spark)
+    if sc is None:
+        return 0
+    jvm = spark._jvm
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle(spark: SparkSession, bytes_in: int, target_bytes: int = 256 << 20,
+                 max_partitions: int = 200_000) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``bytes_in``
+    starts at about ``target_bytes`` per partition (AQE then merges small
+    ones).  Never lowers a cluster's setting; returns the value in force."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    want = min(max_partitions, -(-bytes_in // target_bytes))
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+        return want
+    return current
