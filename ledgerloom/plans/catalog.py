@@ -165,7 +165,7 @@ def observation_clean(spark, d):
          .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias(" Observation_Date "),
         F.col("event_type").alias("Event_Type"),
         F.when(F.col("event_id") % 11 == 0, F.lit("n/a")).when(F.col("event_id") % 13 == 0, F.lit("."))
-         .otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string")).alias("DPRIME"),
+         .otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string")).alias("Prime_Rate"),
     )
     return series.series_from_frame(raw, series_col="Series")
 

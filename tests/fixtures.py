@@ -36,7 +36,7 @@ def bal_csv(path: str, quarters) -> str:
     return write(path, "\n".join(lines) + "\n")
 
 
-def series_csv(path: str, points, value_name: str = "DPRIME") -> str:
+def series_csv(path: str, points, value_name: str = "PRIME") -> str:
     lines = [f"observation_date,{value_name}"] + [f"{d},{v}" for d, v in points]
     return write(path, "\n".join(lines) + "\n")
 

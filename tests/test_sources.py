@@ -50,7 +50,7 @@ def test_xml_records_last_wins_and_broken_file_dropped(spark, tmp):
 
 def test_series_discovery(spark, tmp):
     p = series_csv(tmp + "/s.csv", [("2012-07-02", "3.25"), ("2012-07-03", "."), ("bad", "3.0"), ("2012-10-01", "3.5")])
-    s = series.read_series(spark, p, series_id="DPRIME")
+    s = series.read_series(spark, p, series_id="PRIME")
     import datetime as dt
     assert sorted(rows(s, "date", "value")) == [(dt.date(2012, 7, 2), 3.25), (dt.date(2012, 10, 1), 3.5)]
     df = spark.createDataFrame([("x", "2012-01-05", "7"), ("y", "nodate", "8")], "Label string, When string, Amount string")
