@@ -41,12 +41,16 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str]
     seg = df.withColumn("_seg", range_segment(df, group + order, n_seg))
     local = _window_fill(seg, cols, group + ["_seg"], order)
 
-    # Per segment: its first group and, for its last group, the values
-    # filled by the segment's end.  Only a segment's first group can
-    # continue from earlier segments.
-    ends = local.groupBy("_seg").agg(
-        F.min(F.struct(*[F.col(c) for c in group + order])).alias("_head"),
-        F.max(F.struct(*[F.col(c) for c in group + order], *[F.col(c).alias(f"_end_{c}") for c in cols])).alias("_tail"),
+    # Per segment: its first group and, for its last group, the last
+    # non-NULL value of each column.  Computed from the segmented rows with
+    # partial aggregation (not from the window output, so the window runs
+    # once): first per (segment, group), then per segment.
+    order_key = F.struct(*[F.col(c) for c in order])
+    per = seg.groupBy("_seg", *group).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(f"_end_{c}") for c in cols])
+    ends = per.groupBy("_seg").agg(
+        F.min(F.struct(*[F.col(g) for g in group])).alias("_head"),
+        F.max(F.struct(*[F.col(g) for g in group], *[F.col(f"_end_{c}") for c in cols])).alias("_tail"),
     )
     ends = ends.select(
         "_seg",

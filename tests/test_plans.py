@@ -42,3 +42,23 @@ def test_filters_reach_the_scan(spark, sf_small):
     li = star.table(spark, sf_small, "lineitem").where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     plan = _plan(li.select("l_orderkey"))
     assert "PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate" in plan
+
+
+def test_keep_first_aggregates_partially(plans):
+    # a hot key shrinks to one row per task before the shuffle
+    assert "partial_min" in plans["dedupe_keep_first"]
+    assert "Window" not in plans["dedupe_keep_first"]
+
+
+def test_fill_windows_the_data_once(plans):
+    plan = plans["ffill_in_group"]
+    # one window over the rows, one over the per-segment summary
+    assert plan.count("Window [") == 2
+    assert "BroadcastHashJoin" in plan
+
+
+def test_fanout_never_joins_raw_rows(plans):
+    # every join input of the fan-out check is an aggregate of per-key counts
+    plan = plans["fanout_guard"]
+    assert "partial_count" in plan
+    assert "CartesianProduct" not in plan
