@@ -27,6 +27,7 @@ from ..functions.quarter import add_year_quarter, date_quarter_token, quarter_ke
 from ..operators import enrich, keys
 from ..operators.scale import bounded_broadcast
 from ..operators.warehouse import MAX_QUARTERS
+from ..sources.tables import read_parquet
 from ..session import ensure_checkpoint_dir, input_bytes, size_shuffle
 
 # The first dimension load holds the members of quarters
@@ -35,7 +36,7 @@ FIRST_LOAD_BEFORE = 19981
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- sources
@@ -111,8 +112,10 @@ def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The number of cells is bounded by quarters x nations x brand/type
     values, not by the number of line items; every later step (dimensions,
-    keys, rates) works on cells.
+    keys, rates) works on cells.  The shuffle is sized from the input
+    volume first, so partitions stay spill-friendly at any scale.
     """
+    size_shuffle(spark, input_bytes(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "part")]))
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -134,10 +137,8 @@ def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact cells, materialised once in the checkpoint folder (several
-    dimension and key steps read them).  The shuffle is sized from the
-    input volume first, so partitions stay spill-friendly at any scale."""
+    dimension and key steps read them)."""
     ensure_checkpoint_dir(spark)
-    size_shuffle(spark, input_bytes(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "part")]))
     return fact_cells(spark, sf_dir).checkpoint(eager=True)
 
 
@@ -201,25 +202,14 @@ def tax_rate_sums(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return per_q, per_y
 
 
-def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W7 + F17: keys stamped (J7), measures cast to the load contract.
+def _measures(rows: DataFrame) -> list:
+    """the exact integer sums of a cell row cast to the load contract.
 
     Rates are rounded half-up from their exact rationals: default rate to
     5 places (fraction), prime and lending to 3 places (percent).
     """
-    c = cells(spark, sf_dir)
-    per_q, per_y = tax_rate_sums(spark, sf_dir)
-    # One row per quarter / year: bounded by the calendar.
-    rows = c.withColumn("year", F.floor(F.col("quarter_key") / 10).cast("int"))
-    rows = rows.join(bounded_broadcast(per_q, MAX_QUARTERS), "quarter_key", "left")
-    rows = rows.join(bounded_broadcast(per_y, MAX_QUARTERS), "year", "left")
-    geo, n_geo = _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key")
-    prod, n_prod = _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key")
-    rows = keys.stamp_keys(rows, geo, C.GEO_NATURAL_KEY, "geo_key", dim_rows=n_geo)
-    rows = keys.stamp_keys(rows, prod, C.PRODUCT_NATURAL_KEY, "product_key", dim_rows=n_prod)
     money = C.MEASURE_TYPES["origination_amt"]
-    return rows.select(
-        "quarter_key", "geo_key", "product_key",
+    return [
         F.col("originations_cnt").cast("bigint").alias("originations_cnt"),
         (F.col("_orig_c").cast("double") / F.lit(100.0)).try_cast(money).alias("origination_amt"),
         (F.col("_bal_c").cast("double") / F.lit(100.0)).try_cast(money).alias("balance_amt"),
@@ -229,10 +219,43 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .try_cast(C.MEASURE_TYPES["prime_rate"]).alias("prime_rate"),
         ratio_half_up(F.col("_s_y"), F.col("_n_y"), 3)
         .try_cast(C.MEASURE_TYPES["lending_rate"]).alias("lending_rate"),
-    )
+    ]
+
+
+def _with_rates(spark: SparkSession, sf_dir: str, c: DataFrame) -> DataFrame:
+    """Cells with the prime / lending sums of their quarter and year (one
+    row per quarter / year: bounded by the calendar, broadcast)."""
+    per_q, per_y = tax_rate_sums(spark, sf_dir)
+    rows = c.withColumn("year", F.floor(F.col("quarter_key") / 10).cast("int"))
+    rows = rows.join(bounded_broadcast(per_q, MAX_QUARTERS), "quarter_key", "left")
+    return rows.join(bounded_broadcast(per_y, MAX_QUARTERS), "year", "left")
+
+
+def fact_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact rows without their surrogate keys: one row per fact cell
+    (quarter, geo member, product member), measures as in :func:`fact_rows`.
+
+    The keys are labels of the cell; a rollup over quarters or years never
+    reads them, so the marts use this form: one lazy pass over the big
+    tables, with no dimension numbering and no materialised cells.
+    """
+    rows = _with_rates(spark, sf_dir, fact_cells(spark, sf_dir))
+    return rows.select("quarter_key", *C.GEO_NATURAL_KEY, *C.PRODUCT_NATURAL_KEY, *_measures(rows))
+
+
+def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 + F17: keys stamped (J7), measures cast to the load contract."""
+    c = cells(spark, sf_dir)
+    rows = _with_rates(spark, sf_dir, c)
+    geo, n_geo = _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key")
+    prod, n_prod = _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key")
+    rows = keys.stamp_keys(rows, geo, C.GEO_NATURAL_KEY, "geo_key", dim_rows=n_geo)
+    rows = keys.stamp_keys(rows, prod, C.PRODUCT_NATURAL_KEY, "product_key", dim_rows=n_prod)
+    return rows.select("quarter_key", "geo_key", "product_key", *_measures(rows))
 
 
 __all__ = [
-    "balances", "base", "date_dim", "default_quarterly", "enriched_base", "fact_rows", "geo_dim",
+    "balances", "base", "date_dim", "default_quarterly", "enriched_base", "fact_measures", "fact_rows",
+    "geo_dim",
     "lending_yearly", "originations", "prime_quarterly", "product_dim", "table",
 ]
