@@ -533,10 +533,7 @@ UNION ALL SELECT 'dim_geo', COUNT(*) FROM geo_dim
 UNION ALL SELECT 'dim_product', COUNT(*) FROM product_dim
 UNION ALL SELECT 'fact_credit_metrics_qtr', COUNT(*) FROM fact""")
 def table_counts(spark, d):
-    return warehouse.table_counts({
-        "dim_date_qtr": star.date_dim(spark, d), "dim_geo": star.geo_dim(spark, d),
-        "dim_product": star.product_dim(spark, d), "fact_credit_metrics_qtr": star.fact_rows(spark, d),
-    })
+    return warehouse.table_counts(star.star_tables(spark, d))
 
 
 _ENRICHED = O.with_(O.ORIG, O.BAL, O.BASE, O.DQ, O.PQ, O.LY, O.ENRICHED)

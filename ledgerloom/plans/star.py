@@ -243,19 +243,29 @@ def fact_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("quarter_key", *C.GEO_NATURAL_KEY, *C.PRODUCT_NATURAL_KEY, *_measures(rows))
 
 
-def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W7 + F17: keys stamped (J7), measures cast to the load contract."""
+def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four star tables from one materialised pass over the big tables:
+    the dimensions are numbered once (J7) and the fact stamped with them."""
     c = cells(spark, sf_dir)
-    rows = _with_rates(spark, sf_dir, c)
     geo, n_geo = _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key")
     prod, n_prod = _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key")
+    rows = _with_rates(spark, sf_dir, c)
     rows = keys.stamp_keys(rows, geo, C.GEO_NATURAL_KEY, "geo_key", dim_rows=n_geo)
     rows = keys.stamp_keys(rows, prod, C.PRODUCT_NATURAL_KEY, "product_key", dim_rows=n_prod)
-    return rows.select("quarter_key", "geo_key", "product_key", *_measures(rows))
+    return {
+        "dim_date_qtr": date_dim(spark, sf_dir),
+        "dim_geo": geo.select("geo_key", *C.GEO_NATURAL_KEY),
+        "dim_product": prod.select("product_key", *C.PRODUCT_NATURAL_KEY),
+        "fact_credit_metrics_qtr": rows.select("quarter_key", "geo_key", "product_key", *_measures(rows)),
+    }
+
+
+def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 + F17: keys stamped (J7), measures cast to the load contract."""
+    return star_tables(spark, sf_dir)["fact_credit_metrics_qtr"]
 
 
 __all__ = [
     "balances", "base", "date_dim", "default_quarterly", "enriched_base", "fact_measures", "fact_rows",
-    "geo_dim",
-    "lending_yearly", "originations", "prime_quarterly", "product_dim", "table",
+    "geo_dim", "lending_yearly", "originations", "prime_quarterly", "product_dim", "star_tables", "table",
 ]
