@@ -115,11 +115,11 @@ def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys, rates) works on cells.  The shuffle is sized from the input
     volume first, so partitions stay spill-friendly at any scale.
     """
-    size_shuffle(spark, input_bytes(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "part")]))
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    big = [table(spark, sf_dir, t) for t in ("lineitem", "orders", "part")]
+    size_shuffle(spark, input_bytes(big))
+    li = big[0].select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
+    o = big[1].select("o_orderkey", "o_custkey", "o_orderdate")
+    p = big[2].select("p_partkey", "p_brand", "p_type")
     # Orders meet customers first (a quarter of the line-item volume), so
     # line items are shuffled once by order key and never by customer key.
     y, q = F.year("o_orderdate"), F.quarter("o_orderdate")

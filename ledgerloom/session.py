@@ -91,18 +91,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` (driver-side listing only)."""
-    sc = _context(spark)
-    if sc is None:
-        return 0
-    jvm = spark._jvm
+def input_bytes(frames: list) -> int:
+    """Estimated size of the relations the frames read, from Spark's own
+    plan statistics (the file index is listed once when a frame is created;
+    no second listing here).  0 where the plan is not reachable (Connect)."""
     total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
+    for df in frames:
+        try:
+            size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+            total += int(size if isinstance(size, int) else size.toString())
+        except Exception:
+            return 0
     return total
 
 

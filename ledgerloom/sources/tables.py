@@ -2,9 +2,10 @@
 
 Inferring a Parquet schema runs a small Spark job that reads a footer.  A
 catalogued table has its schema on record; for tables addressed by path
-the schema is kept here, keyed by the path and its size and modification
-time (driver-side file-system metadata), so a changed table is inferred
-again and an unchanged one is read with its known schema.
+the schema is kept here, keyed by the path and its modification time (one
+driver-side status call, no listing), so a rewritten table is inferred
+again and an unchanged one is read with its known schema.  A path whose
+status carries no modification time is inferred on every read.
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ def _signature(spark: SparkSession, path: str) -> tuple | None:
     try:
         jvm = spark._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-        st = fs.getFileStatus(p)
-        size = st.getLen() if st.isFile() else fs.getContentSummary(p).getLength()
-        return (path, int(size), int(st.getModificationTime()))
+        st = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+        mtime = int(st.getModificationTime())
+        return (path, bool(st.isFile()), int(st.getLen()), mtime) if mtime > 0 else None
     except Exception:
         # Spark Connect or a missing path: no signature, infer every time.
         return None

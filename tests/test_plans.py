@@ -62,3 +62,46 @@ def test_fanout_never_joins_raw_rows(plans):
     plan = plans["fanout_guard"]
     assert "partial_count" in plan
     assert "CartesianProduct" not in plan
+
+
+def test_marts_need_no_surrogate_keys(spark, sf_small):
+    # The rollups read the keyless measure rows; they equal the rollups of
+    # the keyed fact, and their plans hold no key numbering window.
+    from conftest import rows
+    from ledgerloom.plans import marts, star
+
+    dd = star.date_dim(spark, sf_small)
+    keyed = star.fact_rows(spark, sf_small)
+    keyless = star.fact_measures(spark, sf_small)
+    assert keyless.count() == keyed.count()
+    for mart in (marts.trend, marts.yearly):
+        assert rows(mart(keyless, dd)) == rows(mart(keyed, dd))
+    for name in ("trend", "yearly"):
+        assert "Window [" not in plans_of(spark, sf_small, name)
+
+
+def plans_of(spark, sf, name):
+    return _plan(E.queries()[name](spark, sf))
+
+
+def test_parquet_schema_resolved_once(spark, sf_small):
+    from ledgerloom.sources.tables import read_parquet
+
+    path = f"{sf_small}/nation.parquet"
+    first = read_parquet(spark, path)
+    sc = spark.sparkContext
+    sc.setJobGroup("schema-once", "schema-once")
+    again = read_parquet(spark, path)
+    assert again.schema == first.schema
+    assert sc.statusTracker().getJobIdsForGroup("schema-once") == []
+    sc.setJobGroup("other", "other")
+
+
+def test_input_bytes_from_plan_statistics(spark, sf_small):
+    import os
+    from ledgerloom.plans import star
+    from ledgerloom.session import input_bytes
+
+    names = ("orders", "part")
+    want = sum(os.path.getsize(f"{sf_small}/{t}.parquet") for t in names)
+    assert input_bytes([star.table(spark, sf_small, t) for t in names]) == want
