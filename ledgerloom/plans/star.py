@@ -189,17 +189,24 @@ def product_dim(spark: SparkSession, sf_dir: str, c: DataFrame | None = None) ->
     return _two_load_dim(spark, c, product_members, C.DIM_PRODUCT, C.PRODUCT_NATURAL_KEY, "product_key")
 
 
-def tax_rate_sums(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def tax_rate_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Integer sums and counts of the whole-percent tax series per ship
-    quarter, and per year rolled up from them (exact: integer sums)."""
+    year: the year's total and each of its four quarters (NULL for a
+    quarter without rows), one row per year.
+
+    One row per year carries both the quarterly (prime) and the yearly
+    (lending) inputs, so the line items are scanned and aggregated once and
+    the cells need a single join on the year.
+    """
     li = table(spark, sf_dir, "lineitem")
-    y, q = F.year("l_shipdate"), F.quarter("l_shipdate")
-    per_q = li.groupBy(quarter_key(y, q).alias("quarter_key")).agg(
-        F.sum(round_half_up(F.col("l_tax") * F.lit(100.0))).alias("_s_q"),
-        F.count(F.lit(1)).alias("_n_q"))
-    per_y = (per_q.groupBy(F.floor(F.col("quarter_key") / 10).cast("int").alias("year"))
-             .agg(F.sum("_s_q").alias("_s_y"), F.sum("_n_q").alias("_n_y")))
-    return per_q, per_y
+    qtr = F.quarter("l_shipdate")
+    pct = round_half_up(F.col("l_tax") * F.lit(100.0))
+    per_q = []
+    for k in range(1, 5):
+        hit = qtr == F.lit(k)
+        per_q += [F.sum(F.when(hit, pct)).alias(f"_s_q{k}"), F.sum(F.when(hit, F.lit(1))).alias(f"_n_q{k}")]
+    return li.groupBy(F.year("l_shipdate").alias("year")).agg(
+        F.sum(pct).alias("_s_y"), F.count(F.lit(1)).alias("_n_y"), *per_q)
 
 
 def _measures(rows: DataFrame) -> list:
@@ -223,12 +230,20 @@ def _measures(rows: DataFrame) -> list:
 
 
 def _with_rates(spark: SparkSession, sf_dir: str, c: DataFrame) -> DataFrame:
-    """Cells with the prime / lending sums of their quarter and year (one
-    row per quarter / year: bounded by the calendar, broadcast)."""
-    per_q, per_y = tax_rate_sums(spark, sf_dir)
-    rows = c.withColumn("year", F.floor(F.col("quarter_key") / 10).cast("int"))
-    rows = rows.join(bounded_broadcast(per_q, MAX_QUARTERS), "quarter_key", "left")
-    return rows.join(bounded_broadcast(per_y, MAX_QUARTERS), "year", "left")
+    """Cells with the prime (quarter) and lending (year) sums of their
+    order quarter: one row per year, bounded by the calendar, broadcast."""
+    rates = bounded_broadcast(tax_rate_sums(spark, sf_dir), MAX_QUARTERS)
+    rows = c.withColumn("year", F.floor(F.col("quarter_key") / 10).cast("int")).join(rates, "year", "left")
+    qn = F.col("quarter_key") % 10
+
+    def of_quarter(prefix: str) -> F.Column:
+        out = F.when(qn == 1, F.col(f"{prefix}1"))
+        for k in range(2, 5):
+            out = out.when(qn == k, F.col(f"{prefix}{k}"))
+        return out
+
+    return rows.withColumns({"_s_q": of_quarter("_s_q"), "_n_q": of_quarter("_n_q")}).drop(
+        *[f"_{m}_q{k}" for m in ("s", "n") for k in range(1, 5)])
 
 
 def fact_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
