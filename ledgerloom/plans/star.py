@@ -135,11 +135,16 @@ def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumns({"city": F.lit(None).cast("string"), "segment": F.lit(None).cast("string")}))
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cells(spark: SparkSession, sf_dir: str, with_rates: bool = False) -> DataFrame:
     """The fact cells, materialised once in the checkpoint folder (several
-    dimension and key steps read them)."""
+    dimension and key steps read them).  ``with_rates`` adds the rate sums
+    of each cell's quarter and year before materialising, so no later
+    branch scans the line items again."""
     ensure_checkpoint_dir(spark)
-    return fact_cells(spark, sf_dir).checkpoint(eager=True)
+    c = fact_cells(spark, sf_dir)
+    if with_rates:
+        c = _with_rates(spark, sf_dir, c)
+    return c.checkpoint(eager=True)
 
 
 # ------------------------------------------------------------- dimensions
@@ -261,11 +266,10 @@ def fact_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four star tables from one materialised pass over the big tables:
     the dimensions are numbered once (J7) and the fact stamped with them."""
-    c = cells(spark, sf_dir)
+    c = cells(spark, sf_dir, with_rates=True)
     geo, n_geo = _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key")
     prod, n_prod = _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key")
-    rows = _with_rates(spark, sf_dir, c)
-    rows = keys.stamp_keys(rows, geo, C.GEO_NATURAL_KEY, "geo_key", dim_rows=n_geo)
+    rows = keys.stamp_keys(c, geo, C.GEO_NATURAL_KEY, "geo_key", dim_rows=n_geo)
     rows = keys.stamp_keys(rows, prod, C.PRODUCT_NATURAL_KEY, "product_key", dim_rows=n_prod)
     return {
         "dim_date_qtr": date_dim(spark, sf_dir),
