@@ -59,25 +59,24 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str]
         *[F.col("_tail").getField(f"_end_{c}").alias(f"_end_{c}") for c in cols],
     )
     # Carry into segment s: the latest non-NULL end value among earlier
-    # segments whose last group is s's first group.  Head rows (kind 0) and
-    # tail rows (kind 1) share one window per group, ordered by segment, so a
-    # head only sees tails of strictly earlier segments.
-    tails = ends.select(
-        "_seg", F.lit(1).alias("_kind"),
-        *[F.col(f"_tail_{g}").alias(f"_g_{g}") for g in group],
-        *[F.col(f"_end_{c}") for c in cols],
-    )
-    heads = ends.select(
-        "_seg", F.lit(0).alias("_kind"),
-        *[F.col(f"_head_{g}").alias(f"_g_{g}") for g in group],
-        *[F.lit(None).cast(local.schema[c].dataType).alias(f"_end_{c}") for c in cols],
-    )
+    # segments whose last group is s's first group.  Each summary row gives
+    # a head row (kind 0) and a tail row (kind 1), emitted by one explode so
+    # the summary is computed once; both share one window per group, ordered
+    # by segment, so a head only sees tails of strictly earlier segments.
+    def side(kind: int, prefix: str, values: list) -> F.Column:
+        return F.struct(F.lit(kind).alias("_kind"),
+                        *[F.col(f"{prefix}{g}").alias(f"_g_{g}") for g in group], *values)
+
+    head_values = [F.lit(None).cast(local.schema[c].dataType).alias(f"_end_{c}") for c in cols]
+    tail_values = [F.col(f"_end_{c}").alias(f"_end_{c}") for c in cols]
+    marks = ends.select("_seg", F.explode(F.array(side(0, "_head_", head_values),
+                                                  side(1, "_tail_", tail_values))).alias("_m")
+                        ).select("_seg", "_m.*")
     w = (Window.partitionBy(*[f"_g_{g}" for g in group]).orderBy("_seg", "_kind")
          .rowsBetween(Window.unboundedPreceding, -1))
     carry = (
-        heads.unionByName(tails)
-        .select("_seg", "_kind", *[f"_g_{g}" for g in group],
-                *[F.last(f"_end_{c}", ignorenulls=True).over(w).alias(f"_carry_{c}") for c in cols])
+        marks.select("_seg", "_kind", *[f"_g_{g}" for g in group],
+                     *[F.last(f"_end_{c}", ignorenulls=True).over(w).alias(f"_carry_{c}") for c in cols])
         .where(F.col("_kind") == 0)
         .drop("_kind")
     )
