@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -58,10 +58,11 @@ def range_segment(df: DataFrame, cols: list[str], n_seg: int, per_segment_sample
     row counts, and a key range holding many rows spreads over many segments.
 
     The bounds come from one bounded sample (about ``n_seg *
-    per_segment_sample`` rows reach the driver, independent of the data
-    size) and are then literals in the plan, so every branch of a plan and
-    every retried task computes the same segment for a row.  (Spark's own
-    range partitioner draws a fresh sample per exchange, so two branches may
+    per_segment_sample`` rows, independent of the data size), ranked on an
+    executor; only the bound rows (at most ``n_seg - 1``) reach the driver.
+    They are then literals in the plan, so every branch of a plan and every
+    retried task computes the same segment for a row.  (Spark's own range
+    partitioner draws a fresh sample per exchange, so two branches may
     disagree.)
     """
     if n_seg <= 1:
@@ -74,16 +75,27 @@ def range_segment(df: DataFrame, cols: list[str], n_seg: int, per_segment_sample
     sample = df.select(*cols)
     if frac < 1.0:
         sample = sample.sample(withReplacement=False, fraction=frac, seed=seed)
-    rows = sample.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(4 * want).collect()
-    if not rows:
+    order = [F.col(c).asc_nulls_first() for c in cols]
+    # The sample is bounded (and capped at 4x its expected size), so one
+    # task may rank it.  Row r (0-based) of m is a bound when it is the
+    # floor(i * m / n_seg)-th row for some i in 1..n_seg-1.
+    n = F.lit(n_seg).cast("long")
+    r = F.col("_rk") - F.lit(1)
+    m = F.col("_m")
+    i_lo = F.greatest(F.lit(1).cast("long"), F.floor((r * n + m - F.lit(1)) / m))
+    picked = (sample.orderBy(*order).limit(4 * want)
+              .withColumn("_rk", F.row_number().over(Window.orderBy(*order)).cast("long"))
+              .withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
+              .where((i_lo >= 1) & (i_lo <= n - 1) & (F.floor(i_lo * m / n) == r))
+              .orderBy("_rk").select(*cols).collect())
+    if not picked:
         return F.lit(0)
     types = {f.name: f.dataType for f in df.schema.fields}
     bounds = []
-    for i in range(1, n_seg):
-        r = rows[min(len(rows) - 1, i * len(rows) // n_seg)]
-        if bounds and tuple(r) == bounds[-1]:
+    for row in picked:
+        if bounds and tuple(row) == bounds[-1]:
             continue
-        bounds.append(tuple(r))
+        bounds.append(tuple(row))
     key = F.struct(*[F.col(c) for c in cols])
     lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
 
