@@ -4,8 +4,8 @@ A series file (CSV or Parquet export of a workbook sheet) holds a date
 column and a value column.  Column choice follows the source rules: names
 are stripped and lower-cased; the date column is ``date`` or
 ``observation_date``, else the first column holding any parseable date; the
-value column is the first other column holding any number.  A content probe
-stops at the first matching row of a column.
+value column is the first other column holding any number.  One aggregate
+pass over the file answers both questions for every column.
 """
 
 from __future__ import annotations
@@ -42,9 +42,17 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return parse_number(F.col(f"`{name}`"))
 
 
-def _any(df: DataFrame, e: Column) -> bool:
-    """Whether any row gives a non-NULL ``e``; stops at the first hit."""
-    return df.select(e.alias("_x")).where(F.col("_x").isNotNull()).limit(1).count() > 0
+def _parseable(df: DataFrame, cols: list[str]) -> dict[str, tuple[bool, bool]]:
+    """For every column: does any row parse as a date, does any parse as a
+    number?  One aggregate pass (partial on every task, one row out)."""
+    if not cols:
+        return {}
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs.append(F.bool_or(_as_date(df, c).isNotNull()).alias(f"d{i}"))
+        aggs.append(F.bool_or(_as_number(df, c).isNotNull()).alias(f"n{i}"))
+    row = df.agg(*aggs).first()
+    return {c: (bool(row[f"d{i}"]), bool(row[f"n{i}"])) for i, c in enumerate(cols)}
 
 
 def series_from_frame(df: DataFrame, series_col: str | None = None) -> DataFrame:
@@ -55,13 +63,14 @@ def series_from_frame(df: DataFrame, series_col: str | None = None) -> DataFrame
     sid_name = series_col.strip().lower() if series_col is not None else None
     df = df.toDF(*names)
     cols = [c for c in names if c != sid_name]
+    found = _parseable(df, cols)
     date_col = next((c for c in cols if c in DATE_NAMES), None)
     if date_col is None:
-        date_col = next((c for c in cols if _any(df, _as_date(df, c))), None)
+        date_col = next((c for c in cols if found[c][0]), None)
     if date_col is None:
         return _empty_series(df.sparkSession)
     others = [c for c in cols if c != date_col]
-    val_col = next((c for c in others if _any(df, _as_number(df, c))), None)
+    val_col = next((c for c in others if found[c][1]), None)
     if val_col is None:
         return _empty_series(df.sparkSession)
     sid = F.col(f"`{sid_name}`").cast("string") if sid_name else F.lit(None).cast("string")

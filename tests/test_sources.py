@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from ledgerloom.sources import csv_files, records, series
 from conftest import rows
 from fixtures import bal_csv, lending_xml, orig_csv, series_csv
@@ -65,3 +66,30 @@ def test_too_long_rows_flagged(spark, tmp):
     df = csv_files.read_csv_map(spark, p, {"YRQTR": "quarter", "Average Original Purchase APR: General Purpose": "apr"})
     df = df.cache()
     assert rows(csv_files.too_long_rows(df, "apr")) == [("2012Q3", "row_too_long")]
+
+
+def test_series_discovery_one_pass(spark):
+    # No column named date: the first column holding any date wins even if
+    # its first rows do not parse; the value is the first other numeric
+    # column (a text column before it is skipped).  One Spark job decides.
+    import datetime as dt
+    df = spark.createDataFrame(
+        [("n/a", "a", "x", "1.5"), ("2020-01-02", "b", "y", "2.5"), ("2020-01-03", "c", "z", None)],
+        "Period string, Note string, Tag string, Level string")
+    sc = spark.sparkContext
+
+    def jobs(frame, group):
+        sc.setJobGroup(group, group)
+        out = series.series_from_frame(frame)
+        sc.setJobGroup("other", "other")
+        return out, len(sc.statusTracker().getJobIdsForGroup(group))
+
+    out, narrow = jobs(df, "series-narrow")
+    assert rows(out, "date", "value") == [(dt.date(2020, 1, 2), 2.5)]
+    # Eight more text columns ahead of the value: still the same jobs.
+    wide = df.select("Period", *[F.lit("t").alias(f"pad{i}") for i in range(8)], "Note", "Tag", "Level")
+    out, wider = jobs(wide, "series-wide")
+    assert rows(out, "date", "value") == [(dt.date(2020, 1, 2), 2.5)]
+    assert wider == narrow <= 2
+    empty = spark.createDataFrame([], "a string, b string")
+    assert series.series_from_frame(empty).count() == 0
