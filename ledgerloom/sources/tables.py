@@ -10,10 +10,15 @@ status carries no modification time is inferred on every read.
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_SCHEMAS: dict[tuple, StructType] = {}
+# Least recently used schemas are dropped beyond this many paths, so a
+# long-lived driver reading many tables keeps a bounded cache.
+MAX_SCHEMAS = 1024
+_SCHEMAS: OrderedDict[tuple, StructType] = OrderedDict()
 
 
 def _signature(spark: SparkSession, path: str) -> tuple | None:
@@ -32,8 +37,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     sig = _signature(spark, path)
     schema = _SCHEMAS.get(sig) if sig is not None else None
     if schema is not None:
+        _SCHEMAS.move_to_end(sig)
         return spark.read.schema(schema).parquet(path)
     df = spark.read.parquet(path)
     if sig is not None:
         _SCHEMAS[sig] = df.schema
+        while len(_SCHEMAS) > MAX_SCHEMAS:
+            _SCHEMAS.popitem(last=False)
     return df
