@@ -52,3 +52,30 @@ def test_union_rejects_ragged(spark):
     assert u.columns == ["x", "y", "dq_reason"]
     assert rows(u) == [(1, None, "r1"), (None, 2.0, "r2")]
     assert rows(quality.reject_summary(u)) == [("r1", 1), ("r2", 1)]
+
+
+def test_keep_first_property_against_brute_force(spark):
+    # Random rows with NULL keys, NULL order values and ties: the pick is the
+    # first row per key in (order, rest) ascending with NULLs first, and
+    # kept + rejected = input.
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.sampled_from([None, 0, 1, 2]), st.sampled_from([None, 0, 1, 2, 3]),
+                    st.sampled_from([None, "a", "b"]))
+
+    def nulls_first(values):
+        return tuple((v is not None, v if v is not None else 0) for v in values)
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=1, max_size=30))
+    def check(data):
+        df = spark.createDataFrame(data, "k int, o int, x string")
+        clean, rej = quality.ensure_unique(df, ["k"], ["o"], "p")
+        want = {}
+        for k, o, x in sorted(data, key=lambda r: nulls_first(r[1:])):
+            want.setdefault(k, (k, o, x))
+        assert rows(clean) == sorted(want.values(), key=repr)
+        assert clean.count() + rej.count() == len(data)
+
+    check()
