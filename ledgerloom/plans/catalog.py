@@ -273,7 +273,9 @@ SELECT label, CAST(before_rows AS BIGINT) AS before_rows, after_rows,
        COALESCE(CAST(after_rows AS DOUBLE) / CAST(before_rows AS DOUBLE) > 1.01, false) AS fanout_warn
 FROM t""")
 def fanout_guard(spark, d):
-    b = star.base(spark, d)
+    # The base holds one row per quarter and feeds three checks: materialise
+    # it once instead of re-reading orders and line items per check.
+    b = star.base(spark, d).checkpoint(eager=True)
     o = T(spark, d, "orders").select(quarter.date_quarter_token("o_orderdate").alias("quarter"))
     li = T(spark, d, "lineitem").select(quarter.date_quarter_token("l_shipdate").alias("quarter"))
     parts = [
