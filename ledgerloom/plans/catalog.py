@@ -473,7 +473,8 @@ SELECT quarter_key, year, quarter, quarter_start, quarter_start AS quarter_end F
 WHERE quarter_key <= {EXISTING_UNTIL} AND quarter_key < {INCOMING_FROM}
 UNION ALL SELECT * FROM date_dim WHERE quarter_key >= {INCOMING_FROM}""")
 def dim_upsert(spark, d):
-    dd = star.date_dim(spark, d)
+    # One row per quarter, read three times by the merge: materialise once.
+    dd = star.date_dim(spark, d).checkpoint(eager=True)
     stale = dd.where(F.col("quarter_key") <= EXISTING_UNTIL).withColumn("quarter_end", F.col("quarter_start"))
     incoming = dd.where(F.col("quarter_key") >= INCOMING_FROM)
     return warehouse.merge_upsert(stale, incoming, ["quarter_key"])
