@@ -105,3 +105,22 @@ def test_input_bytes_from_plan_statistics(spark, sf_small):
     names = ("orders", "part")
     want = sum(os.path.getsize(f"{sf_small}/{t}.parquet") for t in names)
     assert input_bytes([star.table(spark, sf_small, t) for t in names]) == want
+
+
+def _scans(plan: str, table: str) -> int:
+    return plan.count(f"/{table}.parquet]")
+
+
+def test_big_tables_scanned_once_per_need(plans):
+    # The keyed star reads its materialised cells (with their rate sums),
+    # never the line items again.
+    for name in ("fact_build", "fact_upsert", "fact_recreate", "not_null_violations"):
+        assert _scans(plans[name], "lineitem") == 0, name
+    # Marts: one big pass; the yearly prime rate adds one tax scan (both
+    # rates come from one aggregate per ship year).
+    assert _scans(plans["trend"], "lineitem") == 1
+    assert _scans(plans["yearly"], "lineitem") == 2
+    # Fill: the segmented rows and the per-segment summary, nothing more.
+    assert _scans(plans["ffill_in_group"], "events") == 2
+    # Upsert example: the date dimension is materialised once.
+    assert _scans(plans["dim_upsert"], "orders") == 0
