@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import line_dedup, mixing, simhash
+from ledgerloom.llm import bpe, line_dedup, mixing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
     "op4_mixing": mixing.query,
+    "op5_toxicity": toxicity.query,
+    "op6_bpe": bpe.query,
     "op8_line_dedup": line_dedup.query,
 }
 
