@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, line_dedup, mixing, simhash, toxicity
+from ledgerloom.llm import ann, bpe, line_dedup, mixing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": toxicity.query,
     "op6_bpe": bpe.query,
     "op8_line_dedup": line_dedup.query,
+    "op10_neighbours": ann.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
