@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import ann, bpe, line_dedup, mixing, simhash, toxicity
+from ledgerloom.llm import ann, bpe, chat, line_dedup, mixing, simhash, superkmer, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
     "op4_mixing": mixing.query,
     "op5_toxicity": toxicity.query,
     "op6_bpe": bpe.query,
+    "op7_substring_dedup": superkmer.query,
     "op8_line_dedup": line_dedup.query,
+    "op9_chat": chat.query,
     "op10_neighbours": ann.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_mixing": mixing.OP4_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
+    "op9_chat": chat.OP9_SQL,
 }
