@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import ann, bpe, chat, line_dedup, mixing, simhash, superkmer, toxicity
+from ledgerloom.llm import ann, binary_ids, bpe, chat, fingerprints, line_dedup, mixing, simhash, superkmer, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
+    "op2_fingerprints": fingerprints.query,
+    "op3_binary_ids": binary_ids.query,
     "op4_mixing": mixing.query,
     "op5_toxicity": toxicity.query,
     "op6_bpe": bpe.query,
