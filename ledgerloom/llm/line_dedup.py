@@ -42,16 +42,20 @@ def _digest(line: Column) -> Column:
 BLANK = "d41d8cd98f00b204e9800998ecf8427e"  # md5 of the empty line
 
 
+#: Stands for the page itself among its line digests, to count pages.
+PAGE = "page"
+
+
 def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``site, lines``: the digests of each site's boilerplate lines.
-    ``docs`` has columns ``site`` and ``text``."""
-    pages = docs.where(F.col("text").isNotNull()).select("site", F.md5("text").alias("page"), F.array_distinct(F.transform(_lines(F.col("text")), _digest)).alias("lines"))
-    totals = pages.groupBy("site").agg(F.countDistinct("page").alias("pages"))
+    ``docs`` has columns ``site`` and ``text``.  One pass over the texts
+    counts pages and lines alike; a null text has neither."""
+    lines = F.array_distinct(F.transform(_lines(F.col("text")), _digest))
+    pages = docs.select("site", F.md5("text").alias("page"), F.array_append(lines, F.lit(PAGE)).alias("lines"))
     held = pages.select("site", "page", F.explode("lines").alias("line")).where(F.col("line") != BLANK).distinct()
-    held = held.groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    held = cut(held)
-    totals = small(cut(totals.select(F.col("site").alias("_site"), "pages")))
-    often = held.join(totals, same(F.col("site"), F.col("_site"))).where(F.col("n") > F.lit(ratio) * F.col("pages"))
+    held = cut(held.groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= min_pages) | (F.col("line") == PAGE)))
+    totals = small(cut(held.where(F.col("line") == PAGE).select(F.col("site").alias("_site"), F.col("n").alias("pages"))))
+    often = held.where(F.col("line") != PAGE).join(totals, same(F.col("site"), F.col("_site"))).where(F.col("n") > F.lit(ratio) * F.col("pages"))
     return often.groupBy("site").agg(F.collect_set("line").alias("lines"))
 
 
@@ -82,10 +86,10 @@ _TAG = r"<[^>]*>"
 def html_lines(html: Column) -> Column:
     """Visible text of a page, one line per block element, blank ones left
     out; null stays null."""
-    t = F.regexp_replace(html, _HIDDEN, "")
+    t = F.regexp_replace(html, r"(?s)<(?:script.*?</script>|style.*?</style>|!--.*?-->)", "")
     t = F.regexp_replace(t, _BLOCK, "\n")
     t = F.regexp_replace(t, _TAG, "")
-    return F.btrim(F.regexp_replace(t, r"[ \t\r]*\n[ \t\r\n]*", "\n"), F.lit(" \t\r\n"))
+    return F.btrim(F.regexp_replace(t, r"[ \t\r]*+\n[ \t\r\n]*+", "\n"), F.lit(" \t\r\n"))
 
 
 def host_of(url: Column) -> Column:
