@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Fact measures in load order, and the units they are stored in.
+# Fact measures in load order, and the units they are stored in.
 MEASURES = [
     "originations_cnt",  # count (source: millions)
     "origination_amt",   # dollars (source: $ billions)
@@ -13,16 +13,11 @@ MEASURES = [
     "prime_rate",        # percent, not divided
     "lending_rate",      # percent, not divided
 ]
-RATE_COLUMNS = ["default_rate", "prime_rate", "lending_rate"]
 FILL_COLUMNS = ["prime_rate", "lending_rate"]          # missing-value policy
 NON_NEGATIVE = ["originations_cnt", "origination_amt", "balance_amt"]
 
 # Columns a reject snapshot keeps by default (those present in the frame).
-REJECT_DEFAULT_COLUMNS = [
-    "year", "quarter_num", "quarter_key", "quarter",
-    "originations_cnt", "origination_amt", "balance_amt",
-    "default_rate", "prime_rate", "lending_rate",
-]
+REJECT_DEFAULT_COLUMNS = ["year", "quarter_num", "quarter_key", "quarter", *MEASURES]
 
 # Source column names and their contract names.
 ORIGINATION_COLUMNS = {
@@ -45,6 +40,7 @@ GEO_NATURAL_KEY = ["country", "state_province", "city"]
 PRODUCT_NATURAL_KEY = ["product_code", "product_type", "segment"]
 FACT_KEY = ["quarter_key", "geo_key", "product_key"]
 
+# The warehouse tables.
 DIM_DATE_QTR = T.StructType([
     T.StructField("quarter_key", T.IntegerType(), False),
     T.StructField("year", T.IntegerType(), False),
@@ -124,21 +120,11 @@ OBSERVATIONS = T.StructType([
     T.StructField("value", T.DoubleType(), True),
 ])
 
-PRIME_QUARTERLY = T.StructType([
-    T.StructField("quarter_key", T.IntegerType(), True),
-    T.StructField("year", T.IntegerType(), True),
-    T.StructField("quarter", T.IntegerType(), True),
-    T.StructField("prime_rate", T.DoubleType(), True),
-])
 DEFAULT_QUARTERLY = T.StructType([
     T.StructField("year", T.IntegerType(), True),
     T.StructField("quarter_num", T.IntegerType(), True),
     T.StructField("default_rate", T.DoubleType(), True),
 ])
-LENDING_YEARLY = T.StructType([
-    T.StructField("year", T.IntegerType(), True),
-    T.StructField("lending_rate", T.DoubleType(), True),
-])
 
 # Key/value record as read from XML: <record><field name="…">text</field>…
 KV_RECORD_XML = "field array<struct<_name:string,_VALUE:string>>"

@@ -1,8 +1,8 @@
 """Column functions (F1–F18): every one is a native Spark expression."""
 
 from .money import (  # noqa: F401
-    billions_to_amount, cast_measure, cents, cents_to_amount, millions_to_count,
-    nan_to_null, parse_number, pct, percent_to_fraction, ratio_half_up, strip_money, to_float,
+    billions_to_amount, cast_measure, cents, millions_to_count,
+    nan_to_null, out_of_contract, parse_number, pct, ratio_half_up, strip_money, to_float,
 )
 from .quarter import (  # noqa: F401
     add_year_quarter, date_quarter_token, find_quarter_column, normalize_quarter,

@@ -54,10 +54,6 @@ def millions_to_count(c) -> Column:
     return F.round(to_float(c) * F.lit(1_000_000.0)).try_cast("bigint")
 
 
-def percent_to_fraction(c) -> Column:
-    return c / F.lit(100.0)
-
-
 def round_half_up(c) -> Column:
     """Double → nearest integer (bigint), halves away from zero.
 
@@ -73,11 +69,6 @@ def cents(c) -> Column:
     return round_half_up(_col(c) * F.lit(100.0))
 
 
-def cents_to_amount(c) -> Column:
-    """Summed cents → DECIMAL(18,2) dollars."""
-    return (_col(c).cast("double") / F.lit(100.0)).try_cast(MEASURE_TYPES["origination_amt"])
-
-
 def ratio_half_up(n, d, places: int) -> Column:
     """n / d rounded half-up to ``places`` decimals in integer arithmetic.
 
@@ -89,15 +80,24 @@ def ratio_half_up(n, d, places: int) -> Column:
 
 
 def pct(n, d) -> Column:
-    """F16: percent of total, 0.0 when the total is 0, 2 decimals."""
-    d = _col(d)
-    return F.when(d == 0, F.lit(0.0)).otherwise(ratio_half_up(_col(n) * F.lit(100), d, 2)).cast("double")
+    """F16: percent of total, 0.0 when the total is 0, rounded to 2 decimals
+    with exact halves going to the even digit (1 of 800 is 0.12)."""
+    n, d = _col(n).cast("bigint"), _col(d).cast("bigint")
+    whole = F.floor(n * F.lit(10_000) / d)
+    left = (n * F.lit(10_000) - whole * d) * F.lit(2)
+    up = (left > d) | ((left == d) & (whole % 2 == 1))
+    return F.when(d == 0, F.lit(0.0)).otherwise((whole + up.cast("bigint")) / F.lit(100.0)).cast("double")
 
 
 def cast_measure(c, name: str) -> Column:
     """typed nullable cast of one measure to its load contract.
 
-    Values that do not fit the contract become NULL here; callers that must
-    not lose them route them to rejects first (see quality.precision_gate).
+    A value that does not fit the contract becomes NULL here; the load
+    rejects such values first (see ``quality.precision_gate``).
     """
     return _col(c).try_cast(MEASURE_TYPES[name]).alias(name)
+
+
+def out_of_contract(c, name: str) -> Column:
+    """True where a value is present but does not fit its load type."""
+    return _col(c).isNotNull() & _col(c).try_cast(MEASURE_TYPES[name]).isNull()

@@ -13,8 +13,8 @@ def _col(c) -> Column:
 
 
 def strip_blanks(c) -> Column:
-    """trim leading / trailing whitespace (tabs and newlines too)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """trim leading / trailing white space, that of Unicode included."""
+    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
 
 
 def clean_header(name: str) -> str:

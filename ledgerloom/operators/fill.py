@@ -6,10 +6,9 @@ Leading NULLs stay NULL and a fill never crosses its group.  Two plans:
   groups (the quarterly base, where a group is one year).
 * ``split_hot_groups=True`` (default) — a group may hold a large share of
   all rows, so it must not land in one task.  Rows are range-partitioned on
-  (group, order) into segments; each (group, segment) is filled with a
-  window, and the value a group carries into a segment comes from a summary
-  with one row per segment (a size bound that does not grow with the data),
-  joined back by broadcast.
+  (group, order) once and written to the shared folder with their segment's
+  number; each (group, segment) is filled with a window, and the value a
+  group carries into a segment comes from one partial aggregate per segment.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scale import range_segment, shuffle_partitions
+from .scale import materialized_segments
 
 
 def _window_fill(df: DataFrame, cols: Sequence[str], group: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -35,28 +34,24 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str]
     if not split_hot_groups:
         return _window_fill(df, cols, group, order)
 
-    n_seg = segments or shuffle_partitions(df.sparkSession)
-    # Segments: contiguous (group, order) ranges of similar size, computed
-    # from fixed bounds, so every branch and every retry agrees on them.
-    seg = df.withColumn("_seg", range_segment(df, group + order, n_seg))
+    seg = materialized_segments(df, group + order, segments)
     local = _window_fill(seg, cols, group + ["_seg"], order)
 
-    # Per segment: its first group and, for its last group, the last
-    # non-NULL value of each column.  Computed from the segmented rows with
-    # partial aggregation (not from the window output, so the window runs
-    # once): first per (segment, group), then per segment.
+    # Per segment: its first and last group, and for each column the last
+    # row that holds a value.  That row counts as the last group's end only
+    # if it belongs to the last group.
+    g_key = F.struct(*[F.col(g) for g in group])
     order_key = F.struct(*[F.col(c) for c in order])
-    per = seg.groupBy("_seg", *group).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(f"_end_{c}") for c in cols])
-    ends = per.groupBy("_seg").agg(
-        F.min(F.struct(*[F.col(g) for g in group])).alias("_head"),
-        F.max(F.struct(*[F.col(g) for g in group], *[F.col(f"_end_{c}") for c in cols])).alias("_tail"),
-    )
+    ends = seg.groupBy("_seg").agg(
+        F.min(g_key).alias("_head"), F.max(g_key).alias("_tail"),
+        *[F.max(F.when(F.col(c).isNotNull(), F.struct(g_key.alias("g"), order_key.alias("o"), F.col(c).alias("v")))).alias(f"_at_{c}") for c in cols])
+    ends = ends.select("_seg", "_head", "_tail", *[
+        F.when(F.col(f"_at_{c}.g").eqNullSafe(F.col("_tail")), F.col(f"_at_{c}.v")).alias(f"_end_{c}") for c in cols])
     ends = ends.select(
         "_seg",
         *[F.col("_head").getField(g).alias(f"_head_{g}") for g in group],
         *[F.col("_tail").getField(g).alias(f"_tail_{g}") for g in group],
-        *[F.col("_tail").getField(f"_end_{c}").alias(f"_end_{c}") for c in cols],
+        *[F.col(f"_end_{c}") for c in cols],
     )
     # Carry into segment s: the latest non-NULL end value among earlier
     # segments whose last group is s's first group.  Each summary row gives
@@ -80,7 +75,8 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition_by: Sequence[str]
         .where(F.col("_kind") == 0)
         .drop("_kind")
     )
-    # The carry table has at most one row per segment: safe to broadcast.
+    # One row per segment, and a segment is a partition of the fill's input:
+    # bounded by the number of partitions.
     out = local.join(
         F.broadcast(carry),
         on=[local["_seg"] == carry["_seg"]] + [local[g].eqNullSafe(carry[f"_g_{g}"]) for g in group],

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import NON_NEGATIVE, REJECT_DEFAULT_COLUMNS
+from ..contracts import MEASURES, NON_NEGATIVE, REJECT_DEFAULT_COLUMNS
+from ..functions.money import out_of_contract
 from .scale import spread_copies
 
 
@@ -38,11 +39,38 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFr
     keys = list(keys)
     order = _order_exprs(order_by)
     rest = [c for c in df.columns if c not in keys]
-    fields = [o.alias(f"_o{i}") for i, o in enumerate(order)] + [F.col(c) for c in rest]
+    # A plain order column is its own field: it is not carried twice.
+    named = [c for c in order_by if isinstance(c, str) and c in rest]
+    fields = [F.col(o) if o in named else e.alias(f"_o{i}") for i, (o, e) in enumerate(zip(order_by, order))]
+    fields += [F.col(c) for c in rest if c not in named]
     first = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
     return first.select(*keys, *[F.col("_first").getField(c).alias(c) for c in rest]).select(*df.columns)
 
 
+def last_per_key(df: DataFrame, keys: Sequence[str], load_order: Sequence[str], reason: str) -> tuple[DataFrame, DataFrame]:
+    """The last row of each key in ``load_order`` (remaining columns break
+    ties), as row-by-row upserts would leave it, and one reject per row
+    that it replaces.  Partial aggregation, so a hot key is combined before
+    the shuffle."""
+    keys, load_order = list(keys), list(load_order)
+    rest = [c for c in df.columns if c not in keys and c not in load_order]
+    last = df.groupBy(*keys).agg(F.max(F.struct(*load_order, *rest)).alias("_last"))
+    kept = last.select(*keys, *[F.col("_last").getField(c).alias(c) for c in [*load_order, *rest]]).select(*df.columns)
+    return kept, duplicate_key_rejects(df, keys, reason)
+
+
+def precision_gate(df: DataFrame, cols: Sequence[str] = MEASURES, keep_cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Values that do not fit their load type are rejected as
+    ``<col>_out_of_contract``, then set to NULL."""
+    rejects, out = [], df
+    for col in [c for c in cols if c in df.columns]:
+        bad = F.coalesce(out_of_contract(col, col), F.lit(False))
+        keep = keep_cols or [k for k in ("year", "quarter_num", "quarter_key") if k in df.columns]
+        rejects.append(dq_capture(df, bad, f"{col}_out_of_contract", [*[k for k in keep if k != col], col]))
+        out = out.withColumn(col, F.when(~bad, F.col(col)))
+    return out, union_rejects(*rejects)
+
+
 def duplicate_key_rejects(df: DataFrame, keys: Sequence[str], reason: str) -> DataFrame:
     """Q2 rejects: every duplicate after the first, as its key columns."""
     keys = list(keys)

@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def bounded_broadcast(df: DataFrame, bound_rows: int) -> DataFrame:
-    """Broadcast hint for a side whose row count is bounded *by construction*
-    (e.g. one row per calendar quarter, one row per shuffle partition).
-
-    ``bound_rows`` documents that bound; it must not depend on the data
-    volume.  Anything without such a bound is left to AQE, which converts a
-    join to broadcast only after measuring the real size.
-    """
-    if bound_rows > 10_000_000:
-        return df
-    return F.broadcast(df)
-
-
 def spread_copies(df: DataFrame, count_col: str, chunk: int = 1 << 16) -> DataFrame:
     """Emit ``count_col`` copies of every row, spread over many tasks.
 
@@ -51,60 +40,18 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return cond
 
 
-def range_segment(df: DataFrame, cols: list[str], n_seg: int, per_segment_sample: int = 64,
-                  seed: int = 17, total: int | None = None) -> Column:
-    """A deterministic segment id (0..n_seg-1) over the ascending order of
-    ``cols`` (NULLs first): equal keys share a segment, segments hold similar
-    row counts, and a key range holding many rows spreads over many segments.
+def materialized_segments(df: DataFrame, cols: list[str], n_seg: int | None = None) -> DataFrame:
+    """The rows cut into contiguous ranges of ``cols`` (ascending, NULLs
+    first) with the range's number as ``_seg``.
 
-    The bounds come from one bounded sample (about ``n_seg *
-    per_segment_sample`` rows, independent of the data size), ranked on an
-    executor; only the bound rows (at most ``n_seg - 1``) reach the driver.
-    They are then literals in the plan, so every branch of a plan and every
-    retried task computes the same segment for a row.  (Spark's own range
-    partitioner draws a fresh sample per exchange, so two branches may
-    disagree.)
+    Spark's own range partitioning chooses the bounds, so a key range that
+    holds many rows spreads over many segments.  The result is written to
+    the shared checkpoint folder once: every branch and every retried task
+    reads the same numbers.  Rows that agree on all of ``cols`` share a
+    segment.
     """
-    if n_seg <= 1:
-        return F.lit(0)
-    total = df.count() if total is None else total
-    if total == 0:
-        return F.lit(0)
-    want = n_seg * per_segment_sample
-    frac = min(1.0, 2.0 * want / total)
-    sample = df.select(*cols)
-    if frac < 1.0:
-        sample = sample.sample(withReplacement=False, fraction=frac, seed=seed)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     order = [F.col(c).asc_nulls_first() for c in cols]
-    # The sample is bounded (and capped at 4x its expected size), so one
-    # task may rank it.  Row r (0-based) of m is a bound when it is the
-    # floor(i * m / n_seg)-th row for some i in 1..n_seg-1.
-    n = F.lit(n_seg).cast("long")
-    r = F.col("_rk") - F.lit(1)
-    m = F.col("_m")
-    i_lo = F.greatest(F.lit(1).cast("long"), F.floor((r * n + m - F.lit(1)) / m))
-    picked = (sample.orderBy(*order).limit(4 * want)
-              .withColumn("_rk", F.row_number().over(Window.orderBy(*order)).cast("long"))
-              .withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
-              .where((i_lo >= 1) & (i_lo <= n - 1) & (F.floor(i_lo * m / n) == r))
-              .orderBy("_rk").select(*cols).collect())
-    if not picked:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    bounds = []
-    for row in picked:
-        if bounds and tuple(row) == bounds[-1]:
-            continue
-        bounds.append(tuple(row))
-    key = F.struct(*[F.col(c) for c in cols])
-    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
-
-    def tree(lo: int, hi: int) -> Column:
-        # Segment in [lo, hi]: rows at or above bound lo..hi-1 climb; a
-        # balanced tree needs log2(segments) comparisons per row.
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key >= lits[mid - 1], tree(mid, hi)).otherwise(tree(lo, mid - 1))
-
-    return tree(0, len(bounds))
+    cut = df.repartitionByRange(n_seg or shuffle_partitions(spark), *order)
+    return cut.withColumn("_seg", F.spark_partition_id()).checkpoint(eager=True)

@@ -9,6 +9,9 @@ partitioned by ``quarter_key``.  Upserts are idempotent:
   (dynamic partition overwrite);
 * recreate (W5): the fact is replaced by the incoming rows.
 
+Before a fact write, rows without a key, with a key its dimension lacks, or
+superseded within their batch are set apart as rejects (W9, J9).
+
 The merged result is checkpointed into the shared checkpoint folder before
 the target is overwritten, so a lost executor never re-reads a half-written
 table.
@@ -26,12 +29,8 @@ from pyspark.sql import types as T
 from .. import contracts as C
 from ..session import ensure_checkpoint_dir
 from .keys import get_or_create
-from .quality import keep_first
-from .scale import bounded_broadcast, shuffle_partitions
-
-# Fixed bound: quarter keys come from 4-digit years, so a set of distinct
-# quarter keys never exceeds 4 * 10000 rows whatever the data volume.
-MAX_QUARTERS = 40_000
+from .quality import dq_capture, keep_first, last_per_key, union_rejects
+from .scale import shuffle_partitions
 
 
 def merge_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,8 +42,8 @@ def merge_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str])
 
 
 def touched_quarters(incoming: DataFrame) -> DataFrame:
-    """Distinct quarter keys of an incoming batch (bounded by the calendar)."""
-    return bounded_broadcast(incoming.select("quarter_key").distinct(), MAX_QUARTERS)
+    """Distinct quarter keys of an incoming batch."""
+    return incoming.select("quarter_key").distinct()
 
 
 def fact_partition_merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -95,6 +94,28 @@ def fk_orphans(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str | None = N
     return f.join(d, f[fk] == d["_dk"], "left_anti")
 
 
+def load_checks(rows: DataFrame, dims: dict[str, DataFrame], load_order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """W9 + J9 before a fact write: ``(rows to load, rejects)``.
+
+    Rejected as ``null_<key>``: rows without a key; as ``<key>_orphan``: rows
+    whose key its dimension lacks; as ``fact_superseded``: all but the last
+    row of a fact key in ``load_order`` (without a load order, rows of one
+    key must not differ in number: the caller checks).
+    """
+    rejects, good = [], rows
+    for key in C.FACT_KEY:
+        rejects.append(dq_capture(good, F.col(key).isNull(), f"null_{key}", C.FACT_KEY))
+        good = good.where(F.col(key).isNotNull())
+    for key, (table, dim_key) in C.FACT_FOREIGN_KEYS.items():
+        known = dims[table].select(F.col(dim_key).alias("_dk")).distinct()
+        rejects.append(fk_orphans(good, dims[table], key, dim_key).select(*C.FACT_KEY, F.lit(f"{key}_orphan").alias("dq_reason")))
+        good = good.join(known, good[key] == known["_dk"], "left_semi")
+    if load_order:
+        good, late = last_per_key(good, C.FACT_KEY, load_order, "fact_superseded")
+        rejects.append(late.select(*C.FACT_KEY, "dq_reason"))
+    return good, union_rejects(*rejects)
+
+
 class Warehouse:
     """A folder of Parquet tables that follows the star-schema contract."""
 
@@ -141,8 +162,21 @@ class Warehouse:
         """Upsert on quarter_key; duplicates in ``rows`` keep the first."""
         rows = keep_first(rows.select(*C.DIM_DATE_QTR.fieldNames()), ["quarter_key"],
                           ["year", "quarter", "quarter_start", "quarter_end"])
-        merged = merge_upsert(self.read("dim_date_qtr"), rows, ["quarter_key"])
-        self._write(self._materialize(merged.coalesce(1)), "dim_date_qtr", static=True)
+        merged = self._materialize(merge_upsert(self.read("dim_date_qtr"), rows, ["quarter_key"]).coalesce(1))
+        self._check_unique("dim_date_qtr", merged)
+        self._write(merged, "dim_date_qtr", static=True)
+
+    def _check_unique(self, table: str, rows: DataFrame) -> None:
+        """Refuse a dimension in which a PRIMARY or UNIQUE key repeats or
+        a NOT NULL column is empty."""
+        for key in [C.TABLE_KEYS[table], *C.TABLE_UNIQUE[table]]:
+            twice = pk_violations(rows, key).head(1)
+            if twice:
+                raise ValueError(f"{table}: {key} repeats, e.g. {twice[0].asDict()}")
+        needed = [f.name for f in C.TABLE_SCHEMAS[table].fields if not f.nullable]
+        empty = not_null_violations(rows, needed, table).where("null_rows > 0").head(1)
+        if empty:
+            raise ValueError(f"{table}: {empty[0].column_name} is NULL in {empty[0].null_rows} rows")
 
     def get_or_create(self, table: str, incoming: DataFrame) -> DataFrame:
         """Add missing members, return the whole dimension."""
@@ -154,20 +188,35 @@ class Warehouse:
             new.write.mode("append").parquet(self.path(table))
         return self.read(table)
 
-    def upsert_fact(self, rows: DataFrame) -> None:
+    def _loadable(self, rows: DataFrame, load_order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """The rows that pass the load checks, materialised, and the rejects."""
+        dims = {t: self.read(t) for t, _ in C.FACT_FOREIGN_KEYS.values()}
+        rows = self._materialize(rows.select(*C.FACT_CREDIT_METRICS_QTR.fieldNames(), *load_order))
+        if not load_order:
+            twice = pk_violations(rows, C.FACT_KEY).head(1)
+            if twice:
+                raise ValueError(f"fact rows share a key and need a load order, e.g. {twice[0].asDict()}")
+        good, rejects = load_checks(rows, dims, load_order)
+        return self._materialize(good.select(*C.FACT_CREDIT_METRICS_QTR.fieldNames())), self._materialize(rejects)
+
+    def upsert_fact(self, rows: DataFrame, load_order: Sequence[str] = ()) -> DataFrame:
         """Overwrite the measures of matching keys, insert the rest; only
-        touched quarter partitions are rewritten."""
-        rows = rows.select(*C.FACT_CREDIT_METRICS_QTR.fieldNames())
+        touched quarter partitions are rewritten.  Of rows that share a key
+        the last in ``load_order`` wins.  Returns the rejected rows."""
+        good, rejects = self._loadable(rows, load_order)
         # Only the touched partitions are rewritten (dynamic overwrite).
-        out = fact_partition_merge(self.read("fact_credit_metrics_qtr"), rows)
+        out = fact_partition_merge(self.read("fact_credit_metrics_qtr"), good)
         out = out.repartitionByRange(shuffle_partitions(self.spark), *C.FACT_KEY)
         self._write(self._materialize(out), "fact_credit_metrics_qtr")
-
-    def recreate_fact(self, rows: DataFrame) -> None:
-        """The fact becomes exactly ``rows``."""
-        rows = rows.select(*C.FACT_CREDIT_METRICS_QTR.fieldNames())
-        out = rows.repartitionByRange(shuffle_partitions(self.spark), *C.FACT_KEY)
-        self._write(self._materialize(out), "fact_credit_metrics_qtr", static=True)
+        return rejects
+
+    def recreate_fact(self, rows: DataFrame, load_order: Sequence[str] = ()) -> DataFrame:
+        """The fact becomes exactly the loadable ``rows``; returns the
+        rejected ones."""
+        good, rejects = self._loadable(rows, load_order)
+        out = good.repartitionByRange(shuffle_partitions(self.spark), *C.FACT_KEY)
+        self._write(out, "fact_credit_metrics_qtr", static=True)
+        return rejects
 
     def counts(self) -> DataFrame:
         """Row count of every table as (table_name, cnt)."""

@@ -2,13 +2,16 @@
 
 ``QUERIES[name](spark, sf_dir)`` returns a DataFrame built with the
 library's operators; ``ORACLE_SQL[name]`` states the same result in plain
-SQL over the same tables.  Every query reads whole tables; where a column is
-made "dirty" on purpose (a money string, a quarter layout, a nulled value)
-the variant is chosen from the row's own key, and no row is dropped for it.
+SQL over the same tables.  Every query reads whole tables.  Where a value is
+made "dirty" on purpose (a money string, a quarter layout, a missing or
+negative value) the variant follows from the row's own key; the queries
+whose feature is to drop unreadable rows (``normalize_quarter``,
+``parse_quarter``, ``observation_clean``) then drop those, as they must.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..functions import money, quarter
 from ..operators import enrich, fill, quality, reports, warehouse
+from ..session import scratch_path
 from ..sources import csv_files, records, series
 from . import marts, star
 from . import oracle as O
@@ -275,13 +279,14 @@ FROM t""")
 def fanout_guard(spark, d):
     # The base holds one row per quarter and feeds three checks: materialise
     # it once instead of re-reading orders and line items per check.
-    b = star.base(spark, d).checkpoint(eager=True)
+    ship = star.ship_quarters(spark, d)
+    b = star.base(spark, d, ship).checkpoint(eager=True)
     o = T(spark, d, "orders").select(quarter.date_quarter_token("o_orderdate").alias("quarter"))
     li = T(spark, d, "lineitem").select(quarter.date_quarter_token("l_shipdate").alias("quarter"))
     parts = [
-        enrich.fanout_report(b, star.default_quarterly(spark, d), ["year", "quarter_num"], "default_q"),
-        enrich.fanout_report(b, star.prime_quarterly(spark, d), ["quarter_key"], "prime"),
-        enrich.fanout_report(b, star.lending_yearly(spark, d), ["year"], "lending"),
+        enrich.fanout_report(b, star.default_quarterly(spark, d, ship), ["year", "quarter_num"], "default_q"),
+        enrich.fanout_report(b, star.prime_quarterly(spark, d, ship), ["quarter_key"], "prime"),
+        enrich.fanout_report(b, star.lending_yearly(spark, d, ship), ["year"], "lending"),
         enrich.fanout_report(o, li, ["quarter"], "shipments"),
     ]
     out = parts[0]
@@ -344,6 +349,14 @@ def reject_union(spark, d):
     return quality.union_rejects(dedupe_rejects(spark, d), range_rejects(spark, d), nonneg_rejects(spark, d))
 
 
+@query("precision_rejects", """
+SELECT l_orderkey, l_linenumber, l_quantity AS default_rate, 'default_rate_out_of_contract' AS dq_reason
+FROM lineitem WHERE l_quantity IS NOT NULL AND TRY_CAST(l_quantity AS DECIMAL(6,5)) IS NULL""")
+def precision_rejects(spark, d):
+    rows = T(spark, d, "lineitem").select(*LINE_KEY, F.col("l_quantity").alias("default_rate"))
+    return quality.precision_gate(rows, ["default_rate"], LINE_KEY)[1]
+
+
 @query("reject_summary", f"""
 SELECT dq_reason, COUNT(*) AS reject_rows FROM ({ORACLE_SQL['reject_union']}) GROUP BY 1""")
 def reject_summary(spark, d):
@@ -405,10 +418,10 @@ def pipeline_fact(spark, d):
     base, _ = pipeline.gate_and_fill(star.enriched_base(spark, d))
     geo, _ = keys.get_or_create(spark.createDataFrame([], C.DIM_GEO),
                                 spark.createDataFrame([C.DEFAULT_GEO], "country string, state_province string, city string"),
-                                C.GEO_NATURAL_KEY, "geo_key", materialize=False)
+                                C.GEO_NATURAL_KEY, "geo_key")
     prod, _ = keys.get_or_create(spark.createDataFrame([], C.DIM_PRODUCT),
                                  spark.createDataFrame([C.DEFAULT_PRODUCT], "product_code string, product_type string, segment string"),
-                                 C.PRODUCT_NATURAL_KEY, "product_key", materialize=False)
+                                 C.PRODUCT_NATURAL_KEY, "product_key")
     return pipeline.fact_from_base(base, geo, prod)
 
 
@@ -434,14 +447,22 @@ def fact_build(spark, d):
     return star.fact_rows(spark, d)
 
 
-# The overlap used by the upsert examples (quarters up to
-# EXISTING_UNTIL are loaded, a restated batch starts at INCOMING_FROM).
-EXISTING_UNTIL, INCOMING_FROM = 19984, 19982
+# The upsert examples split the data at its own middle quarter m: quarters up
+# to m + 2 are loaded, a restated batch starts at m.
+def _split(frame: DataFrame) -> tuple[F.Column, F.Column]:
+    """(already loaded, restated) conditions on a frame's own quarters."""
+    m, i = star.middle_quarter(frame), star.quarter_index("quarter_key")
+    return i <= m + 2, i >= m
+
+
+def _split_sql(frame: str) -> tuple[str, str]:
+    i, m = O.qindex("quarter_key"), O.middle(frame)
+    return f"{i} <= {m} + 2", f"{i} >= {m}"
 
 
-def _incoming_fact(fact: DataFrame) -> DataFrame:
+def _restated(fact: DataFrame) -> DataFrame:
     """A restated batch: later quarters, rates not yet known (NULL)."""
-    return fact.where(F.col("quarter_key") >= INCOMING_FROM).withColumns({
+    return fact.where(_split(fact)[1]).withColumns({
         "default_rate": F.lit(None).cast(C.MEASURE_TYPES["default_rate"]),
         "prime_rate": F.lit(None).cast(C.MEASURE_TYPES["prime_rate"]),
     })
@@ -449,8 +470,8 @@ def _incoming_fact(fact: DataFrame) -> DataFrame:
 
 _INCOMING_SQL = f"""incoming AS (
   SELECT * REPLACE (CAST(NULL AS DECIMAL(6,5)) AS default_rate, CAST(NULL AS DECIMAL(6,3)) AS prime_rate)
-  FROM fact WHERE quarter_key >= {INCOMING_FROM}),
-existing AS (SELECT * FROM fact WHERE quarter_key <= {EXISTING_UNTIL})"""
+  FROM fact WHERE {_split_sql('fact')[1]}),
+existing AS (SELECT * FROM fact WHERE {_split_sql('fact')[0]})"""
 
 
 @query("fact_upsert", O.with_(O.FACT, _INCOMING_SQL) + """
@@ -458,26 +479,83 @@ SELECT * FROM existing e WHERE NOT EXISTS (
   SELECT 1 FROM incoming i WHERE i.quarter_key = e.quarter_key AND i.geo_key = e.geo_key AND i.product_key = e.product_key)
 UNION ALL SELECT * FROM incoming""")
 def fact_upsert(spark, d):
-    fact = star.fact_rows(spark, d)
-    existing = fact.where(F.col("quarter_key") <= EXISTING_UNTIL)
-    return warehouse.fact_upsert_frame(existing, _incoming_fact(fact))
+    # One row per cell, numbered and stamped once for every branch below.
+    fact = star.fact_rows(spark, d).checkpoint(eager=True)
+    return warehouse.fact_upsert_frame(fact.where(_split(fact)[0]), _restated(fact))
 
 
 @query("fact_recreate", O.with_(O.FACT, _INCOMING_SQL) + "SELECT * FROM incoming")
 def fact_recreate(spark, d):
-    return _incoming_fact(star.fact_rows(spark, d))
+    """W5 on a warehouse folder: a fact is written, then replaced by a batch
+    that lacks its earlier quarters."""
+    tables = star.star_tables(spark, d)
+    wh = warehouse.Warehouse(spark, scratch_path(spark, f"recreate-{uuid.uuid4().hex}"))
+    for name in ("dim_date_qtr", "dim_geo", "dim_product"):
+        wh._write(tables[name], name, static=True)
+    fact = tables["fact_credit_metrics_qtr"].checkpoint(eager=True)
+    wh.recreate_fact(fact.where(_split(fact)[0]))
+    wh.recreate_fact(_restated(fact))
+    return wh.read("fact_credit_metrics_qtr")
+
+
+_LINE_FACT_SQL = f"""lines AS (
+  SELECT {O.qkey('l_shipdate')} AS quarter_key, CAST(l_suppkey AS INTEGER) AS geo_key, CAST(1 AS INTEGER) AS product_key,
+         CAST(l_quantity AS BIGINT) AS originations_cnt, CAST(l_extendedprice AS DECIMAL(18,2)) AS origination_amt,
+         l_orderkey, l_linenumber, l_partkey
+  FROM lineitem)"""
+
+
+def _line_facts(spark, d) -> DataFrame:
+    """Line items as fact rows with a load order; keys repeat."""
+    return T(spark, d, "lineitem").select(
+        quarter.quarter_key(F.year("l_shipdate"), F.quarter("l_shipdate")).alias("quarter_key"),
+        F.col("l_suppkey").cast("int").alias("geo_key"), F.least("l_linenumber", F.lit(1)).cast("int").alias("product_key"),
+        F.col("l_quantity").cast("bigint").alias("originations_cnt"), F.col("l_extendedprice").cast("decimal(18,2)").alias("origination_amt"),
+        "l_orderkey", "l_linenumber", "l_partkey")
+
+
+_LOAD_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "originations_cnt", "origination_amt")
+
+
+@query("upsert_duplicate_keys", O.with_(_LINE_FACT_SQL) + f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY quarter_key, geo_key, product_key ORDER BY {', '.join(c + ' DESC NULLS LAST' for c in _LOAD_ORDER)}) AS rn FROM lines)
+WHERE rn = 1""")
+def upsert_duplicate_keys(spark, d):
+    return quality.last_per_key(_line_facts(spark, d), C.FACT_KEY, _LOAD_ORDER, "fact_superseded")[0]
+
+
+@query("load_rejects", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM, _LINE_FACT_SQL) + """,
+keyed AS (SELECT CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE geo_key END AS geo_key, quarter_key, product_key, l_orderkey FROM lines),
+known AS (SELECT * FROM keyed WHERE geo_key IS NOT NULL),
+dated AS (SELECT * FROM known WHERE quarter_key IN (SELECT quarter_key FROM date_dim)),
+placed AS (SELECT * FROM dated WHERE geo_key IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 5 <> 0))
+SELECT quarter_key, geo_key, product_key, 'null_geo_key' AS dq_reason FROM keyed WHERE geo_key IS NULL
+UNION ALL SELECT quarter_key, geo_key, product_key, 'quarter_key_orphan' FROM known WHERE quarter_key NOT IN (SELECT quarter_key FROM date_dim)
+UNION ALL SELECT quarter_key, geo_key, product_key, 'geo_key_orphan' FROM dated WHERE geo_key NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 5 <> 0)
+UNION ALL SELECT quarter_key, geo_key, product_key, 'fact_superseded' FROM (
+  SELECT *, row_number() OVER (PARTITION BY quarter_key, geo_key, product_key ORDER BY l_orderkey DESC) AS rn FROM placed) WHERE rn > 1""")
+def load_rejects(spark, d):
+    """W9 + J9: what the load checks set apart.  Some line facts lack their
+    geo key; the dimension holds four fifths of the nations' suppliers; the
+    ship quarters reach beyond the order quarters."""
+    rows = _line_facts(spark, d).withColumn("geo_key", F.when(F.col("l_partkey") % 50 != 0, F.col("geo_key")))
+    geo = T(spark, d, "supplier").where(F.col("s_nationkey") % 5 != 0).select(F.col("s_suppkey").cast("int").alias("geo_key"))
+    dims = {"dim_date_qtr": star.date_dim(spark, d), "dim_geo": geo,
+            "dim_product": spark.range(1, 2).select(F.col("id").cast("int").alias("product_key"))}
+    return warehouse.load_checks(rows, dims, _LOAD_ORDER)[1]
 
 
 @query("dim_upsert", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM) + f"""
 SELECT quarter_key, year, quarter, quarter_start, quarter_start AS quarter_end FROM date_dim
-WHERE quarter_key <= {EXISTING_UNTIL} AND quarter_key < {INCOMING_FROM}
-UNION ALL SELECT * FROM date_dim WHERE quarter_key >= {INCOMING_FROM}""")
+WHERE {_split_sql('date_dim')[0]} AND NOT ({_split_sql('date_dim')[1]})
+UNION ALL SELECT * FROM date_dim WHERE {_split_sql('date_dim')[1]}""")
 def dim_upsert(spark, d):
-    # One row per quarter, read three times by the merge: materialise once.
+    # One row per quarter, read by every branch of the merge: written once.
     dd = star.date_dim(spark, d).checkpoint(eager=True)
-    stale = dd.where(F.col("quarter_key") <= EXISTING_UNTIL).withColumn("quarter_end", F.col("quarter_start"))
-    incoming = dd.where(F.col("quarter_key") >= INCOMING_FROM)
-    return warehouse.merge_upsert(stale, incoming, ["quarter_key"])
+    loaded, restated = _split(dd)
+    stale = dd.where(loaded).withColumn("quarter_end", F.col("quarter_start"))
+    return warehouse.merge_upsert(stale, dd.where(restated), ["quarter_key"])
 
 
 @query("schema_heal", """
@@ -506,13 +584,13 @@ def pk_violations(spark, d):
     return warehouse.pk_violations(T(spark, d, "lineitem"), LINE_KEY)
 
 
-@query("not_null_violations", O.with_(O.FACT) + """
-SELECT 'fact_credit_metrics_qtr' AS table_name, column_name, null_rows FROM (
-  SELECT 'quarter_key' AS column_name, COUNT(*) FILTER (WHERE quarter_key IS NULL) AS null_rows FROM fact
-  UNION ALL SELECT 'geo_key', COUNT(*) FILTER (WHERE geo_key IS NULL) FROM fact
-  UNION ALL SELECT 'product_key', COUNT(*) FILTER (WHERE product_key IS NULL) FROM fact)""")
+@query("not_null_violations", O.with_(O.MEMBERS) + """
+SELECT 'members' AS table_name, column_name, null_rows FROM (
+  SELECT 'quarter_key' AS column_name, COUNT(*) FILTER (WHERE quarter_key IS NULL) AS null_rows FROM members
+  UNION ALL SELECT 'default_rate', COUNT(*) FILTER (WHERE default_rate IS NULL) FROM members
+  UNION ALL SELECT 'prime_rate', COUNT(*) FILTER (WHERE prime_rate IS NULL) FROM members)""")
 def not_null_violations(spark, d):
-    return warehouse.not_null_violations(star.fact_rows(spark, d), C.FACT_KEY, "fact_credit_metrics_qtr")
+    return warehouse.not_null_violations(star.member_base(spark, d), ["quarter_key", "default_rate", "prime_rate"], "members")
 
 
 # ------------------------------------------------------ R1–R7, A5–A10
@@ -523,10 +601,11 @@ UNION ALL SELECT 'prime_rows', COUNT(*) FROM pq
 UNION ALL SELECT 'dfltq_rows', COUNT(*) FROM dq
 UNION ALL SELECT 'lendy_rows', COUNT(*) FROM ly""")
 def source_counts(spark, d):
+    ship = star.ship_quarters(spark, d)
     return reports.source_counts({
         "orig_rows": T(spark, d, "orders"), "bal_rows": T(spark, d, "lineitem"),
-        "prime_rows": star.prime_quarterly(spark, d), "dfltq_rows": star.default_quarterly(spark, d),
-        "lendy_rows": star.lending_yearly(spark, d),
+        "prime_rows": star.prime_quarterly(spark, d, ship), "dfltq_rows": star.default_quarterly(spark, d, ship),
+        "lendy_rows": star.lending_yearly(spark, d, ship),
     })
 
 
@@ -550,60 +629,101 @@ def coverage(spark, d):
     return reports.coverage(star.enriched_base(spark, d))
 
 
+_MEMBERS = O.with_(O.MEMBERS)
+
+
 def _profile_sql() -> str:
     parts = []
     for c in C.MEASURES:
         parts.append(f"""SELECT '{c}' AS column_name, COUNT({c}) AS non_null, COUNT(*) - COUNT({c}) AS "null",
-       CASE WHEN COUNT(*) = 0 THEN 0.0 ELSE {O.half_up(f'(COUNT(*) - COUNT({c})) * 100', 'COUNT(*)', 2)} END AS null_pct
-FROM enriched""")
-    return _ENRICHED + "\nUNION ALL\n".join(parts)
+       CASE WHEN COUNT(*) = 0 THEN 0.0::DOUBLE ELSE {O.half_even(f'(COUNT(*) - COUNT({c})) * 100', 'COUNT(*)', 2)} END AS null_pct
+FROM members""")
+    return _MEMBERS + "\nUNION ALL\n".join(parts)
 
 
 @query("null_profile", _profile_sql())
 def null_profile(spark, d):
-    return reports.null_profile(star.enriched_base(spark, d))
+    return reports.null_profile(star.member_base(spark, d))
 
 
-@query("null_rates", _ENRICHED + "SELECT COUNT(*) AS rows, " + ", ".join(
+@query("null_rates", _MEMBERS + "SELECT COUNT(*) AS rows, " + ", ".join(
     f"CASE WHEN COUNT(*) > 0 THEN {O.half_up(f'COUNT(*) FILTER (WHERE {c} IS NULL)', 'COUNT(*)', 3)} END AS null_rate_{c}"
     for c in C.MEASURES) + """,
   COUNT(*) FILTER (WHERE NOT (default_rate BETWEEN 0 AND 1 OR default_rate IS NULL)) AS range_bad_default
-FROM enriched""")
+FROM members""")
 def null_rates(spark, d):
-    return reports.validate_report(star.enriched_base(spark, d))
+    return reports.validate_report(star.member_base(spark, d))
 
 
-@query("violations", _ENRICHED + """
-SELECT 'default_rate_out_of_range' AS rule, COUNT(*) FILTER (WHERE default_rate < 0 OR default_rate > 1) AS violations FROM enriched
-UNION ALL SELECT 'neg_originations_cnt', COUNT(*) FILTER (WHERE originations_cnt < 0) FROM enriched
-UNION ALL SELECT 'neg_origination_amt', COUNT(*) FILTER (WHERE origination_amt < 0) FROM enriched
-UNION ALL SELECT 'neg_balance_amt', COUNT(*) FILTER (WHERE balance_amt < 0) FROM enriched""")
+@query("violations", _MEMBERS + """
+SELECT 'default_rate_out_of_range' AS rule, COUNT(*) FILTER (WHERE default_rate < 0 OR default_rate > 1) AS violations FROM members
+UNION ALL SELECT 'neg_originations_cnt', COUNT(*) FILTER (WHERE originations_cnt < 0) FROM members
+UNION ALL SELECT 'neg_origination_amt', COUNT(*) FILTER (WHERE origination_amt < 0) FROM members
+UNION ALL SELECT 'neg_balance_amt', COUNT(*) FILTER (WHERE balance_amt < 0) FROM members""")
 def violations(spark, d):
-    return reports.violations(star.enriched_base(spark, d))
+    return reports.violations(star.member_base(spark, d))
 
 
-@query("dup_keys", O.with_(O.ORIG, O.BAL, O.BASE) + """
-SELECT COUNT(*) FILTER (WHERE c > 1) AS dupes_on_quarter_key FROM (SELECT quarter_key, COUNT(*) AS c FROM base GROUP BY 1)""")
+@query("dup_keys", _MEMBERS + """
+SELECT COUNT(*) FILTER (WHERE c > 1) AS dupes_on_quarter_key FROM (SELECT member, quarter_key, COUNT(*) AS c FROM members GROUP BY 1, 2)""")
 def dup_keys(spark, d):
-    return reports.dup_keys(star.base(spark, d))
+    return reports.dup_keys(star.member_base(spark, d), ["member", "quarter_key"])
+
+
+# Gates, fill and final dedupe on a base that needs all of them.
+@query("member_gated_base", O.with_(O.MEMBERS) + """,
+gated AS (
+  SELECT * REPLACE (
+    CASE WHEN default_rate BETWEEN 0 AND 1 THEN default_rate END AS default_rate,
+    CASE WHEN originations_cnt >= 0 THEN originations_cnt END AS originations_cnt,
+    CASE WHEN origination_amt >= 0 THEN origination_amt END AS origination_amt,
+    CASE WHEN balance_amt >= 0 THEN balance_amt END AS balance_amt)
+  FROM members),
+filled AS (
+  SELECT * REPLACE (last_value(prime_rate IGNORE NULLS) OVER w AS prime_rate, last_value(lending_rate IGNORE NULLS) OVER w AS lending_rate)
+  FROM gated WINDOW w AS (PARTITION BY member, year ORDER BY quarter_num, quarter_key, copy_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY member, quarter_key ORDER BY year, quarter_num, copy_no) AS rn FROM filled)
+WHERE rn = 1""")
+def member_gated_base(spark, d):
+    from .pipeline import gate_and_fill
+
+    return gate_and_fill(star.member_base(spark, d), ("member",), ("copy_no",))[0]
+
+
+@query("member_rejects", O.with_(O.MEMBERS) + """
+SELECT dq_reason, COUNT(*) AS reject_rows FROM (
+  SELECT 'default_rate_out_of_range' AS dq_reason FROM members WHERE default_rate < 0 OR default_rate > 1
+  UNION ALL SELECT 'negative_originations_cnt' FROM members WHERE originations_cnt < 0
+  UNION ALL SELECT 'negative_origination_amt' FROM members WHERE origination_amt < 0
+  UNION ALL SELECT 'negative_balance_amt' FROM members WHERE balance_amt < 0)
+GROUP BY 1""")
+def member_rejects(spark, d):
+    from .pipeline import gate_and_fill
+
+    return quality.reject_summary(gate_and_fill(star.member_base(spark, d), ("member",), ("copy_no",))[1])
 
 
 # -------------------------------------------------------------- W10, W11
-@query("trend", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM, O.FACT) + """
-SELECT dd.year, dd.quarter,
-       CAST(SUM(f.origination_amt) AS DECIMAL(38,2)) AS orig_amt_usd,
-       CAST(SUM(f.balance_amt) AS DECIMAL(38,2)) AS balance_usd,
-       CAST(SUM(f.default_rate) AS DOUBLE) / COUNT(f.default_rate) AS default_rate
-FROM fact f JOIN date_dim dd ON dd.quarter_key = f.quarter_key
-GROUP BY dd.year, dd.quarter ORDER BY dd.year, dd.quarter""")
+_PER_QUARTER_SQL = """,
+per AS (
+  SELECT quarter_key, SUM(originations_cnt) AS c, SUM(origination_amt) AS o, SUM(balance_amt) AS b, SUM(default_rate) AS ds,
+         COUNT(default_rate) AS dn, SUM(prime_rate) AS ps, COUNT(prime_rate) AS pn
+  FROM fact GROUP BY quarter_key),
+calendar AS (SELECT per.*, date_dim.year, date_dim.quarter FROM per JOIN date_dim USING (quarter_key))
+"""
+
+
+@query("trend", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM, O.FACT) + _PER_QUARTER_SQL + """
+SELECT year, quarter, CAST(SUM(o) AS DECIMAL(38,2)) AS orig_amt_usd, CAST(SUM(b) AS DECIMAL(38,2)) AS balance_usd,
+       CAST(SUM(ds) AS DOUBLE) / SUM(dn) AS default_rate
+FROM calendar GROUP BY 1, 2 ORDER BY 1, 2""")
 def trend(spark, d):
     return marts.trend(star.fact_measures(spark, d), star.date_dim(spark, d))
 
 
-@query("yearly", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM, O.FACT) + """
-SELECT d.year, CAST(SUM(originations_cnt) AS BIGINT) AS cnt, CAST(SUM(origination_amt) AS DECIMAL(38,2)) AS amt,
-       CAST(SUM(prime_rate) AS DOUBLE) / COUNT(prime_rate) AS avg_prime
-FROM fact f JOIN date_dim d ON d.quarter_key = f.quarter_key
-GROUP BY d.year""")
+@query("yearly", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM, O.FACT) + _PER_QUARTER_SQL + """
+SELECT year, CAST(SUM(c) AS BIGINT) AS cnt, CAST(SUM(o) AS DECIMAL(38,2)) AS amt, CAST(SUM(ps) AS DOUBLE) / SUM(pn) AS avg_prime
+FROM calendar GROUP BY 1""")
 def yearly(spark, d):
     return marts.yearly(star.fact_measures(spark, d), star.date_dim(spark, d))

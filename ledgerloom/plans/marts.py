@@ -1,46 +1,52 @@
 """Star-schema queries (W10–W12): trend and yearly rollups, table counts.
 
-The fact is joined to the date dimension on ``quarter_key``.  The date
-dimension holds one row per calendar quarter, a bound that does not grow
-with the data, so it is broadcast and the fact is never shuffled for the
-join; on a ``quarter_key``-partitioned fact a date filter prunes partitions.
+The fact is summed by ``quarter_key`` first (partial sums on every task)
+and meets the date dimension with one row per quarter; the calendar columns
+then only regroup a handful of sums.  On a ``quarter_key``-partitioned fact
+a date filter prunes partitions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.scale import bounded_broadcast
-from ..operators.warehouse import MAX_QUARTERS, table_counts
+from ..operators.warehouse import table_counts
 
 MONEY_SUM = "decimal(38,2)"
 
 
-def exact_avg(c: str) -> F.Column:
-    """AVG of a DECIMAL column as double: exact decimal sum, one division."""
-    return F.try_divide(F.sum(c).cast("double"), F.count(c))
+def _by_quarter(fact: DataFrame, sums: Sequence[str], means: Sequence[str]) -> DataFrame:
+    """Exact sums (and counts for means) of each quarter key."""
+    return fact.groupBy("quarter_key").agg(
+        *[F.sum(c).alias(f"_s_{c}") for c in (*sums, *means)], *[F.count(c).alias(f"_n_{c}") for c in means])
+
+
+def _mean(c: str) -> F.Column:
+    return F.try_divide(F.sum(f"_s_{c}").cast("double"), F.sum(f"_n_{c}"))
 
 
 def trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """SUM, SUM, AVG by (year, quarter), ordered."""
-    d = bounded_broadcast(dim_date.select("quarter_key", "year", "quarter"), MAX_QUARTERS)
-    return (fact.join(d, "quarter_key")
+    per = _by_quarter(fact, ["origination_amt", "balance_amt"], ["default_rate"])
+    return (per.join(dim_date.select("quarter_key", "year", "quarter"), "quarter_key")
             .groupBy("year", "quarter")
-            .agg(F.sum("origination_amt").cast(MONEY_SUM).alias("orig_amt_usd"),
-                 F.sum("balance_amt").cast(MONEY_SUM).alias("balance_usd"),
-                 exact_avg("default_rate").alias("default_rate"))
+            .agg(F.sum("_s_origination_amt").cast(MONEY_SUM).alias("orig_amt_usd"),
+                 F.sum("_s_balance_amt").cast(MONEY_SUM).alias("balance_usd"),
+                 _mean("default_rate").alias("default_rate"))
             .orderBy("year", "quarter"))
 
 
 def yearly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """SUM count, SUM amount, AVG prime rate by year."""
-    d = bounded_broadcast(dim_date.select("quarter_key", "year"), MAX_QUARTERS)
-    return (fact.join(d, "quarter_key")
+    per = _by_quarter(fact, ["originations_cnt", "origination_amt"], ["prime_rate"])
+    return (per.join(dim_date.select("quarter_key", "year"), "quarter_key")
             .groupBy("year")
-            .agg(F.sum("originations_cnt").cast("bigint").alias("cnt"),
-                 F.sum("origination_amt").cast(MONEY_SUM).alias("amt"),
-                 exact_avg("prime_rate").alias("avg_prime")))
+            .agg(F.sum("_s_originations_cnt").cast("bigint").alias("cnt"),
+                 F.sum("_s_origination_amt").cast(MONEY_SUM).alias("amt"),
+                 _mean("prime_rate").alias("avg_prime")))
 
 
 __all__ = ["table_counts", "trend", "yearly"]
@@ -48,22 +54,22 @@ __all__ = ["table_counts", "trend", "yearly"]
 
 # W10 / W11 as SQL over the registered star (see warehouse.register_tables).
 TREND_SQL = """
-SELECT dd.year, dd.quarter,
-       CAST(SUM(f.origination_amt) AS DECIMAL(38,2)) AS orig_amt_usd,
-       CAST(SUM(f.balance_amt) AS DECIMAL(38,2)) AS balance_usd,
-       try_divide(CAST(SUM(f.default_rate) AS DOUBLE), COUNT(f.default_rate)) AS default_rate
-FROM {db}fact_credit_metrics_qtr f
-JOIN {db}dim_date_qtr dd ON dd.quarter_key = f.quarter_key
-GROUP BY dd.year, dd.quarter
-ORDER BY dd.year, dd.quarter"""
+WITH per AS (
+  SELECT quarter_key, SUM(origination_amt) AS o, SUM(balance_amt) AS b, SUM(default_rate) AS s, COUNT(default_rate) AS n
+  FROM {db}fact_credit_metrics_qtr GROUP BY quarter_key)
+SELECT year, quarter, CAST(SUM(o) AS DECIMAL(38,2)) AS orig_amt_usd, CAST(SUM(b) AS DECIMAL(38,2)) AS balance_usd,
+       try_divide(CAST(SUM(s) AS DOUBLE), SUM(n)) AS default_rate
+FROM per NATURAL JOIN {db}dim_date_qtr
+GROUP BY ALL ORDER BY 1, 2"""
 
 YEARLY_SQL = """
-SELECT d.year, CAST(SUM(f.originations_cnt) AS BIGINT) AS cnt,
-       CAST(SUM(f.origination_amt) AS DECIMAL(38,2)) AS amt,
-       try_divide(CAST(SUM(f.prime_rate) AS DOUBLE), COUNT(f.prime_rate)) AS avg_prime
-FROM {db}fact_credit_metrics_qtr f
-JOIN {db}dim_date_qtr d ON d.quarter_key = f.quarter_key
-GROUP BY d.year"""
+WITH per AS (
+  SELECT quarter_key, SUM(originations_cnt) AS c, SUM(origination_amt) AS o, SUM(prime_rate) AS s, COUNT(prime_rate) AS n
+  FROM {db}fact_credit_metrics_qtr GROUP BY quarter_key)
+SELECT year, CAST(SUM(c) AS BIGINT) AS cnt, CAST(SUM(o) AS DECIMAL(38,2)) AS amt,
+       try_divide(CAST(SUM(s) AS DOUBLE), SUM(n)) AS avg_prime
+FROM per NATURAL JOIN {db}dim_date_qtr
+GROUP BY ALL"""
 
 COUNTS_SQL = """
 SELECT 'dim_date_qtr' AS table_name, COUNT(*) AS cnt FROM {db}dim_date_qtr

@@ -31,6 +31,14 @@ def half_up(n: str, d: str, places: int) -> str:
     return f"(floor((CAST({n} AS BIGINT) * {2 * s} + CAST({d} AS BIGINT)) / (CAST({d} AS BIGINT) * 2)) / {float(s)})"
 
 
+def half_even(n: str, d: str, places: int) -> str:
+    """Exact halves to the even digit."""
+    x, whole = f"(CAST({n} AS BIGINT) * {10 ** places})", f"(CAST({n} AS BIGINT) * {10 ** places} // CAST({d} AS BIGINT))"
+    left = f"(({x} - {whole} * CAST({d} AS BIGINT)) * 2)"
+    up = f"CASE WHEN {left} > CAST({d} AS BIGINT) OR ({left} = CAST({d} AS BIGINT) AND {whole} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"(CAST({whole} + {up} AS DOUBLE) / {float(10 ** places)}::DOUBLE)"
+
+
 NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
@@ -97,8 +105,16 @@ GEO_LOOKUP = """geo_lookup AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
+def qindex(key: str) -> str:
+    return f"(({key} // 10) * 4 + {key} % 10 - 1)"
+
+
+def middle(frame: str) -> str:
+    return f"(SELECT (min({qindex('quarter_key')}) + max({qindex('quarter_key')})) // 2 FROM {frame})"
+
+
 def _members(name: str, cols: tuple[str, str, str], rollup: str, early: bool) -> str:
-    where = "WHERE quarter_key < 19981" if early else ""
+    where = f"WHERE {qindex('quarter_key')} < {middle('cells')}" if early else ""
     a, b, c = cols
     roll = [x if x != rollup else f"CAST(NULL AS VARCHAR) AS {x}" for x in cols]
     return f"""{name} AS (
@@ -166,5 +182,27 @@ FACT = ",\n".join([STAR, f"""fact AS (
        AND c.product_type IS NOT DISTINCT FROM p.product_type AND c.segment IS NOT DISTINCT FROM p.segment)"""])
 
 
+_RATE = "CAST(disc_s AS DOUBLE) / CAST(n AS DOUBLE) / 100.0"
+_TAX = "CAST(tax_s AS DOUBLE) / CAST(n AS DOUBLE)"
+
+MEMBERS = f"""per_member AS (
+  SELECT l_suppkey AS member, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(quarter(l_shipdate) AS INTEGER) AS quarter_num,
+         {qkey('l_shipdate')} AS quarter_key, COUNT(*) AS n, SUM({cents('l_extendedprice')}) AS amt_c,
+         SUM({cents('l_extendedprice * (1.0 - l_discount)')}) AS bal_c,
+         SUM({round_int('l_discount * 100.0')}) AS disc_s, SUM({round_int('l_tax * 100.0')}) AS tax_s
+  FROM lineitem GROUP BY 1, 2, 3, 4),
+faults AS (SELECT *, CAST((member + quarter_key) % 11 AS INTEGER) AS k FROM per_member),
+copies AS (SELECT *, 0 AS copy_no FROM faults UNION ALL SELECT *, 1 FROM faults WHERE k = 6),
+members AS (
+  SELECT member, CAST(copy_no AS INTEGER) AS copy_no, year, quarter_num, quarter_key,
+         CAST((n + copy_no) * CASE WHEN k = 3 THEN -1 ELSE 1 END AS BIGINT) AS originations_cnt,
+         CAST(amt_c AS DOUBLE) / 100.0 * CASE WHEN k = 4 THEN -1 ELSE 1 END AS origination_amt,
+         CAST(bal_c AS DOUBLE) / 100.0 * CASE WHEN k = 5 THEN -1 ELSE 1 END AS balance_amt,
+         CASE k WHEN 0 THEN NULL WHEN 1 THEN {_RATE} + 1.5::DOUBLE WHEN 2 THEN -0.25::DOUBLE ELSE {_RATE} END AS default_rate,
+         CASE WHEN (member + quarter_num) % 3 <> 0 THEN {_TAX} END AS prime_rate,
+         CASE WHEN quarter_num <> member % 4 + 1 THEN {_TAX} END AS lending_rate
+  FROM copies)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

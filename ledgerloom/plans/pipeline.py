@@ -1,4 +1,4 @@
-"""The end-to-end quarterly load (the reference's whole run, Spark-first).
+"""The end-to-end quarterly load.
 
 extract → uniqueness gates → J1 + quarter columns → rate enrichment with
 fan-out checks → range / non-negative gates → forward fill within the year
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.money import cast_measure
+from ..functions.quarter import normalize_quarter
 from ..operators import enrich, fill, quality, reports
 from ..operators.warehouse import Warehouse
 from ..session import configure, ensure_checkpoint_dir
@@ -48,9 +49,10 @@ class RunResult:
     timings: dict[str, float] = field(default_factory=dict)
 
 
-def gate_and_fill(base: DataFrame, member_keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def gate_and_fill(base: DataFrame, member_keys: tuple[str, ...] = (), order: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Q3 + Q4 + Q5 + Q6 on the enriched base: reject and NULL bad values,
-    fill prime / lending within the year, keep one row per grain key."""
+    fill prime / lending within the year, keep one row per grain key.
+    ``order`` tells rows of one grain key apart, the first one wins."""
     rejects = []
     if "default_rate" in base.columns:
         base, rej = quality.range_gate(base, "default_rate", 0.0, 1.0, "default_rate_out_of_range",
@@ -62,15 +64,16 @@ def gate_and_fill(base: DataFrame, member_keys: tuple[str, ...] = ()) -> tuple[D
     fill_cols = [c for c in C.FILL_COLUMNS if c in base.columns]
     if fill_cols:
         # A group is one year of one member: at most four quarters.
-        base = fill.forward_fill(base, fill_cols, members + ["year"], ["quarter_num", "quarter_key"],
+        base = fill.forward_fill(base, fill_cols, members + ["year"], ["quarter_num", "quarter_key", *order],
                                  split_hot_groups=False)
-    base = quality.keep_first(base, members + ["quarter_key"], ["year", "quarter_num"])
+    base = quality.keep_first(base, members + ["quarter_key"], ["year", "quarter_num", *order])
     return base, quality.union_rejects(*rejects)
 
 
 def build_base(spark: SparkSession, src: Sources):
     """Extract, gate uniqueness, join and enrich.  Returns (base, rejects,
-    fan-out report, the extracted sources by report name)."""
+    fan-out report, the extracted sources by report name, the joined rows
+    before their uniqueness gate)."""
     orig = csv_files.extract_origination(spark, src.originations) if src.originations else None
     bal = csv_files.extract_balances(spark, src.balances) if src.balances else None
     if orig is None:
@@ -82,23 +85,26 @@ def build_base(spark: SparkSession, src: Sources):
     prime = enrich.prime_quarterly(prime_s) if prime_s is not None else None
     dfltq = enrich.default_quarterly(dflt_s) if dflt_s is not None else None
     recs = records.read_xml_records(spark, src.lending_records) if src.lending_records else None
-    lendy = records.lending_yearly(recs, src.lending_country) if recs is not None else None
+    lendy = records.lending_yearly(recs, src.lending_country, keep_position=True) if recs is not None else None
 
     rejects = []
-    # Duplicates keep the first row of the file, as a file reader would.
-    order = [csv_files.LINE]
-    orig_u, r = quality.ensure_unique(orig, ["quarter"], order, "orig"); rejects.append(r)
-    bal_u, r = quality.ensure_unique(bal, ["quarter"], order, "bal"); rejects.append(r)
-    orig_u, bal_u = orig_u.drop(csv_files.LINE), bal_u.drop(csv_files.LINE)
+    orig, r = csv_files.split_too_long(orig); rejects.append(r)
+    bal, r = csv_files.split_too_long(bal); rejects.append(r)
+    # One row per quarter, whatever its layout: the first of the file.
+    orig_u, r = _first_per_quarter(orig, "orig"); rejects.append(r)
+    bal_u, r = _first_per_quarter(bal, "bal"); rejects.append(r)
+    bal_u = bal_u.drop(csv_files.LINE)
     if prime is not None:
         prime, r = quality.ensure_unique(prime, ["quarter_key"], ["year"], "prime"); rejects.append(r)
     if dfltq is not None:
         dfltq, r = quality.ensure_unique(dfltq, ["year", "quarter_num"], ["default_rate"], "dfltq"); rejects.append(r)
     if lendy is not None:
-        lendy, r = quality.ensure_unique(lendy, ["year"], ["lending_rate"], "lendy"); rejects.append(r)
+        lendy, r = quality.ensure_unique(lendy, ["year"], [records.POSITION], "lendy"); rejects.append(r)
+        lendy = lendy.drop(records.POSITION)
 
-    base = enrich.join_balances(orig_u, bal_u)
-    base, r = quality.ensure_unique(base, ["quarter_key"], ["quarter"], "base_add_year"); rejects.append(r)
+    joined = enrich.join_balances(orig_u, bal_u)
+    base, r = quality.ensure_unique(joined, ["quarter_key"], [csv_files.LINE], "base_add_year"); rejects.append(r)
+    base = base.drop(csv_files.LINE)
     # One row per quarter (bounded by the calendar), read by every fan-out
     # check and by the enrichment: materialise it so the sources are read once.
     ensure_checkpoint_dir(spark)
@@ -116,7 +122,14 @@ def build_base(spark: SparkSession, src: Sources):
     for f in fanouts[1:]:
         fanout = fanout.unionByName(f)
     sources = {"orig_rows": orig, "bal_rows": bal, "prime_rows": prime, "dfltq_rows": dfltq, "lendy_rows": lendy}
-    return base, quality.union_rejects(*rejects), fanout, sources
+    return base, quality.union_rejects(*rejects), fanout, sources, joined
+
+
+def _first_per_quarter(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Q2 on the normalised quarter; rows without one (footers) go."""
+    token = rows.withColumn("_token", normalize_quarter("quarter")).where(F.col("_token").isNotNull())
+    kept, rejects = quality.ensure_unique(token, ["_token"], [csv_files.LINE], name)
+    return kept.drop("_token"), rejects.withColumnRenamed("_token", "quarter")
 
 
 def fact_from_base(base: DataFrame, geo_key: DataFrame, product_key: DataFrame) -> DataFrame:
@@ -133,12 +146,17 @@ def run(spark: SparkSession, src: Sources, warehouse_root: str, report_dir: str
     """The whole load.  Idempotent: running it twice leaves the same tables."""
     configure(spark)
     t0 = time.time()
-    base, rejects, fanout, sources = build_base(spark, src)
+    base, rejects, fanout, sources, joined = build_base(spark, src)
+    before = base
     base, gate_rejects = gate_and_fill(base)
-    rejects = quality.union_rejects(rejects, gate_rejects)
+    base, load_rejects = quality.precision_gate(base)
+    rejects = quality.union_rejects(rejects, gate_rejects, load_rejects)
     # Several actions read the gated base: materialise it once.
     base = base.checkpoint(eager=True)
     reps = reports.run_report(base, sources)
+    # What the gates and the dedupe found, which is gone behind them.
+    reps["violations_before_gates"] = reports.violations(before)
+    reps["dupes_before_dedupe"] = reports.dup_keys(joined)
     if validate:
         reps["validate"] = reports.validate_report(base)
     if report_dir:
@@ -163,10 +181,10 @@ def run(spark: SparkSession, src: Sources, warehouse_root: str, report_dir: str
                           & F.col("product_type").eqNullSafe(C.DEFAULT_PRODUCT[1])
                           & F.col("segment").eqNullSafe(C.DEFAULT_PRODUCT[2])).agg(F.min("product_key").alias("product_key"))
     fact = fact_from_base(base, geo_row, prod_row)
-    if recreate:
-        wh.recreate_fact(fact)
-    else:
-        wh.upsert_fact(fact)
+    late = wh.recreate_fact(fact) if recreate else wh.upsert_fact(fact)
+    result.rejects = quality.union_rejects(rejects, late)
+    if report_dir:
+        reports.write_rejects(result.rejects, report_dir)
     result.counts = wh.counts()
     result.timings["load"] = time.time() - t0
     if perfcheck:

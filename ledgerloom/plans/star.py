@@ -1,6 +1,6 @@
 """The quarterly credit-metrics star built from the driver's tables.
 
-Role mapping (the reference's inputs → the TPC-H-style tables):
+Role mapping (the load's inputs → the TPC-H-style tables):
 
 * originations ← ``orders``: one origination per order, amount
   ``o_totalprice``, quarter of ``o_orderdate``;
@@ -25,14 +25,8 @@ from .. import contracts as C
 from ..functions.money import cents, ratio_half_up, round_half_up
 from ..functions.quarter import add_year_quarter, date_quarter_token, quarter_key
 from ..operators import enrich, keys
-from ..operators.scale import bounded_broadcast
-from ..operators.warehouse import MAX_QUARTERS
 from ..sources.tables import read_parquet
-from ..session import ensure_checkpoint_dir, input_bytes, size_shuffle
-
-# The first dimension load holds the members of quarters
-# before this key; the second load adds the rest.
-FIRST_LOAD_BEFORE = 19981
+from ..session import ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,12 +42,30 @@ def originations(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("quarter", "originations_cnt", (F.col("_c") / F.lit(100.0)).alias("origination_amt")))
 
 
-def balances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per ship quarter: quarter token, balance_amt."""
+def ship_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per ship quarter, from one pass over the line items: the integer sums
+    behind the balances and the three rate series.  One row per quarter,
+    written once; everything derived from it reads that."""
     li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy(date_quarter_token("l_shipdate").alias("quarter"))
-            .agg(F.sum(cents("l_extendedprice")).alias("_c"))
-            .select("quarter", (F.col("_c") / F.lit(100.0)).alias("balance_amt")))
+    disc = round_half_up(F.col("l_discount") * F.lit(100.0))
+    tax = round_half_up(F.col("l_tax") * F.lit(100.0))
+    ensure_checkpoint_dir(spark)
+    return (li.groupBy(F.year("l_shipdate").alias("year"), F.quarter("l_shipdate").alias("quarter"))
+            .agg(F.sum(cents("l_extendedprice")).alias("_bal_c"), F.sum(disc).alias("_disc_s"), F.count(disc).alias("_disc_n"),
+                 F.sum(tax).alias("_tax_s"), F.count(tax).alias("_tax_n"))
+            .checkpoint(eager=True))
+
+
+def _ratio(total: str, n: str) -> F.Column:
+    """An exact integer sum over its count, as a mean of doubles gives it."""
+    return F.try_divide(F.col(total).cast("double"), F.col(n).cast("double"))
+
+
+def balances(spark: SparkSession, sf_dir: str, ship: DataFrame | None = None) -> DataFrame:
+    """Per ship quarter: quarter token, balance_amt."""
+    ship = ship_quarters(spark, sf_dir) if ship is None else ship
+    token = F.concat(F.col("year").cast("string"), F.lit("Q"), F.col("quarter").cast("string"))
+    return ship.select(token.alias("quarter"), (F.col("_bal_c") / F.lit(100.0)).alias("balance_amt"))
 
 
 def percent_series(spark: SparkSession, sf_dir: str, value_col: str) -> DataFrame:
@@ -63,28 +75,68 @@ def percent_series(spark: SparkSession, sf_dir: str, value_col: str) -> DataFram
                      round_half_up(F.col(value_col) * F.lit(100.0)).cast("double").alias("value"))
 
 
-def default_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.default_quarterly(percent_series(spark, sf_dir, "l_discount"))
+def default_quarterly(spark: SparkSession, sf_dir: str, ship: DataFrame | None = None) -> DataFrame:
+    if ship is None:
+        return enrich.default_quarterly(percent_series(spark, sf_dir, "l_discount"))
+    return ship.select("year", F.col("quarter").alias("quarter_num"), (_ratio("_disc_s", "_disc_n") / F.lit(100.0)).alias("default_rate"))
 
 
-def prime_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.prime_quarterly(percent_series(spark, sf_dir, "l_tax"))
+def prime_quarterly(spark: SparkSession, sf_dir: str, ship: DataFrame | None = None) -> DataFrame:
+    if ship is None:
+        return enrich.prime_quarterly(percent_series(spark, sf_dir, "l_tax"))
+    return ship.select(quarter_key("year", "quarter").alias("quarter_key"), "year", "quarter", _ratio("_tax_s", "_tax_n").alias("prime_rate"))
 
 
-def lending_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = percent_series(spark, sf_dir, "l_tax")
-    return s.groupBy(F.year("date").alias("year")).agg(F.avg("value").alias("lending_rate"))
+def lending_yearly(spark: SparkSession, sf_dir: str, ship: DataFrame | None = None) -> DataFrame:
+    ship = ship_quarters(spark, sf_dir) if ship is None else ship
+    per = ship.groupBy("year").agg(F.sum("_tax_s").alias("_s"), F.sum("_tax_n").alias("_n"))
+    return per.select("year", _ratio("_s", "_n").alias("lending_rate"))
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def base(spark: SparkSession, sf_dir: str, ship: DataFrame | None = None) -> DataFrame:
     """J1 + F7: originations LEFT balances, with the quarter columns."""
-    return enrich.join_balances(originations(spark, sf_dir), balances(spark, sf_dir))
+    return enrich.join_balances(originations(spark, sf_dir), balances(spark, sf_dir, ship))
 
 
 def enriched_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base with default, prime and lending rates."""
-    return enrich.enrich_rates(base(spark, sf_dir), default_quarterly(spark, sf_dir),
-                               prime_quarterly(spark, sf_dir), lending_yearly(spark, sf_dir))
+    """The base with default, prime and lending rates; the line
+    items are read once for all four of their series."""
+    ship = ship_quarters(spark, sf_dir)
+    return enrich.enrich_rates(base(spark, sf_dir, ship), default_quarterly(spark, sf_dir, ship),
+                               prime_quarterly(spark, sf_dir, ship), lending_yearly(spark, sf_dir, ship))
+
+
+def member_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An enriched base at (member, quarter) grain with the faults that the
+    gates, the fill and the final dedupe exist for: missing, out-of-range
+    and negative values, leading and inner gaps, duplicate rows.  The member
+    is the supplier; the fault follows from the row's own key, and no row
+    is left out."""
+    li = table(spark, sf_dir, "lineitem")
+    y, q = F.year("l_shipdate"), F.quarter("l_shipdate")
+    per = li.groupBy(F.col("l_suppkey").alias("member"), y.alias("year"), q.alias("quarter_num")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(cents("l_extendedprice")).alias("amt_c"),
+        F.sum(cents(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")))).alias("bal_c"),
+        F.sum(round_half_up(F.col("l_discount") * F.lit(100.0))).alias("disc_s"),
+        F.sum(round_half_up(F.col("l_tax") * F.lit(100.0))).alias("tax_s"))
+    per = per.withColumn("quarter_key", quarter_key("year", "quarter_num"))
+    k = F.pmod(F.col("member") + F.col("quarter_key"), F.lit(11))
+    # Fault 6 is a duplicate of its key with one origination more.
+    per = per.withColumn("copy_no", F.explode(F.when(k == 6, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    rate = _ratio("disc_s", "n") / F.lit(100.0)
+    tax = _ratio("tax_s", "n")
+
+    def signed(value, fault: int):
+        return F.when(k == fault, -value).otherwise(value)
+
+    return per.select(
+        "member", "copy_no", "year", "quarter_num", "quarter_key",
+        signed(F.col("n") + F.col("copy_no"), 3).alias("originations_cnt"),
+        signed(F.col("amt_c") / F.lit(100.0), 4).alias("origination_amt"),
+        signed(F.col("bal_c") / F.lit(100.0), 5).alias("balance_amt"),
+        F.when(k == 0, F.lit(None)).when(k == 1, rate + F.lit(1.5)).when(k == 2, F.lit(-0.25)).otherwise(rate).cast("double").alias("default_rate"),
+        F.when((F.col("member") + F.col("quarter_num")) % 3 != 0, tax).alias("prime_rate"),
+        F.when(F.col("quarter_num") != F.col("member") % 4 + 1, tax).alias("lending_rate"))
 
 
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,11 +164,9 @@ def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The number of cells is bounded by quarters x nations x brand/type
     values, not by the number of line items; every later step (dimensions,
-    keys, rates) works on cells.  The shuffle is sized from the input
-    volume first, so partitions stay spill-friendly at any scale.
+    keys, rates) works on cells.
     """
     big = [table(spark, sf_dir, t) for t in ("lineitem", "orders", "part")]
-    size_shuffle(spark, input_bytes(big))
     li = big[0].select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
     o = big[1].select("o_orderkey", "o_custkey", "o_orderdate")
     p = big[2].select("p_partkey", "p_brand", "p_type")
@@ -148,50 +198,48 @@ def cells(spark: SparkSession, sf_dir: str, with_rates: bool = False) -> DataFra
 
 
 # ------------------------------------------------------------- dimensions
-def geo_members(c: DataFrame, early: bool = False, keep: tuple = ()) -> DataFrame:
+def quarter_index(key) -> F.Column:
+    """Quarter key → consecutive quarter number."""
+    key = F.col(key) if isinstance(key, str) else key
+    return (F.floor(key / 10) * 4 + key % 10 - 1).cast("int")
+
+
+def middle_quarter(c: DataFrame) -> F.Column:
+    """The middle of the frame's own quarters, as a scalar."""
+    i = quarter_index("quarter_key")
+    return c.agg(F.floor((F.min(i) + F.max(i)) / 2).cast("int")).scalar()
+
+
+def geo_members(c: DataFrame, keep: tuple = ()) -> DataFrame:
     """Geo members of the cells: nation level and region level (state
     NULL); city is always NULL."""
-    if early:
-        c = c.where(F.col("quarter_key") < FIRST_LOAD_BEFORE)
     nation = c.select("country", "state_province", "city", *keep)
     region = c.select("country", F.lit(None).cast("string").alias("state_province"), "city", *keep)
     return nation.unionByName(region)
 
 
-def product_members(c: DataFrame, early: bool = False, keep: tuple = ()) -> DataFrame:
+def product_members(c: DataFrame, keep: tuple = ()) -> DataFrame:
     """Product members of the cells: brand+type and brand level."""
-    if early:
-        c = c.where(F.col("quarter_key") < FIRST_LOAD_BEFORE)
     detail = c.select("product_code", "product_type", "segment", *keep)
     brand = c.select("product_code", F.lit(None).cast("string").alias("product_type"), "segment", *keep)
     return detail.unionByName(brand)
 
 
-def _two_load_dim(spark: SparkSession, c: DataFrame, members, schema, natural, key) -> DataFrame:
-    """J7 twice: a first load with the members of earlier quarters, then all
-    members (existing ones keep their keys, new ones follow in order)."""
-    empty = spark.createDataFrame([], schema)
-    # Members come from the checkpointed cells: no further materialising.
-    first, _ = keys.get_or_create(empty, members(c, early=True), natural, key, materialize=False)
-    dim, _ = keys.get_or_create(first, members(c), natural, key, materialize=False)
-    return dim
-
-
 def _load_order_dim(c: DataFrame, members, natural, key) -> DataFrame:
-    """The same keys as :func:`_two_load_dim`, from one aggregation."""
-    loads = members(c.withColumn("_load", F.when(F.col("quarter_key") < FIRST_LOAD_BEFORE, 0).otherwise(1)),
-                    keep=["_load"])
-    return keys.keys_in_load_order(loads, "_load", natural, key)
+    """J7 over two loads (the quarters before the middle one, then all):
+    existing members keep their keys, new ones follow in order."""
+    late = (quarter_index("quarter_key") >= middle_quarter(c)).cast("int")
+    return keys.keys_in_load_order(members(c.withColumn("_load", late), keep=("_load",)), "_load", natural, key)
 
 
 def geo_dim(spark: SparkSession, sf_dir: str, c: DataFrame | None = None) -> DataFrame:
     c = cells(spark, sf_dir) if c is None else c
-    return _two_load_dim(spark, c, geo_members, C.DIM_GEO, C.GEO_NATURAL_KEY, "geo_key")
+    return _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key")
 
 
 def product_dim(spark: SparkSession, sf_dir: str, c: DataFrame | None = None) -> DataFrame:
     c = cells(spark, sf_dir) if c is None else c
-    return _two_load_dim(spark, c, product_members, C.DIM_PRODUCT, C.PRODUCT_NATURAL_KEY, "product_key")
+    return _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key")
 
 
 def tax_rate_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,8 +284,8 @@ def _measures(rows: DataFrame) -> list:
 
 def _with_rates(spark: SparkSession, sf_dir: str, c: DataFrame) -> DataFrame:
     """Cells with the prime (quarter) and lending (year) sums of their
-    order quarter: one row per year, bounded by the calendar, broadcast."""
-    rates = bounded_broadcast(tax_rate_sums(spark, sf_dir), MAX_QUARTERS)
+    order quarter: one row per year; AQE broadcasts what it measures."""
+    rates = tax_rate_sums(spark, sf_dir)
     rows = c.withColumn("year", F.floor(F.col("quarter_key") / 10).cast("int")).join(rates, "year", "left")
     qn = F.col("quarter_key") % 10
 
@@ -267,10 +315,10 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four star tables from one materialised pass over the big tables:
     the dimensions are numbered once (J7) and the fact stamped with them."""
     c = cells(spark, sf_dir, with_rates=True)
-    geo, n_geo = _load_order_dim(c, geo_members, C.GEO_NATURAL_KEY, "geo_key")
-    prod, n_prod = _load_order_dim(c, product_members, C.PRODUCT_NATURAL_KEY, "product_key")
-    rows = keys.stamp_keys(c, geo, C.GEO_NATURAL_KEY, "geo_key", dim_rows=n_geo)
-    rows = keys.stamp_keys(rows, prod, C.PRODUCT_NATURAL_KEY, "product_key", dim_rows=n_prod)
+    geo = geo_dim(spark, sf_dir, c)
+    prod = product_dim(spark, sf_dir, c)
+    rows = keys.stamp_keys(c, geo, C.GEO_NATURAL_KEY, "geo_key")
+    rows = keys.stamp_keys(rows, prod, C.PRODUCT_NATURAL_KEY, "product_key")
     return {
         "dim_date_qtr": date_dim(spark, sf_dir),
         "dim_geo": geo.select("geo_key", *C.GEO_NATURAL_KEY),
@@ -286,5 +334,5 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = [
     "balances", "base", "date_dim", "default_quarterly", "enriched_base", "fact_measures", "fact_rows",
-    "geo_dim", "lending_yearly", "originations", "prime_quarterly", "product_dim", "star_tables", "table",
+    "geo_dim", "lending_yearly", "member_base", "originations", "prime_quarterly", "product_dim", "ship_quarters", "star_tables", "table",
 ]

@@ -89,30 +89,3 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
-
-
-def input_bytes(frames: list) -> int:
-    """Estimated size of the relations the frames read, from Spark's own
-    plan statistics (the file index is listed once when a frame is created;
-    no second listing here).  0 where the plan is not reachable (Connect)."""
-    total = 0
-    for df in frames:
-        try:
-            size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-            total += int(size if isinstance(size, int) else size.toString())
-        except Exception:
-            return 0
-    return total
-
-
-def size_shuffle(spark: SparkSession, bytes_in: int, target_bytes: int = 256 << 20,
-                 max_partitions: int = 200_000) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``bytes_in``
-    starts at about ``target_bytes`` per partition (AQE then merges small
-    ones).  Never lowers a cluster's setting; returns the value in force."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    want = min(max_partitions, -(-bytes_in // target_bytes))
-    if want > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(want))
-        return want
-    return current

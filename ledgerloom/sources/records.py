@@ -2,8 +2,7 @@
 
 ``<record><field name="Year">2001</field>…</record>`` elements, at any
 depth, become one ``map<string,string>`` per record (text trimmed, the last
-duplicate name wins via ``spark.sql.mapKeyDedupPolicy=LAST_WIN``).  The same
-record shape also comes from JSON text columns (``from_json``).
+duplicate name wins via ``spark.sql.mapKeyDedupPolicy=LAST_WIN``).
 """
 
 from __future__ import annotations
@@ -17,6 +16,8 @@ from ..functions.text import first_non_empty, lookup, text_to_int_truncating
 from ..session import ensure_checkpoint_dir
 
 CORRUPT = "_corrupt_record"
+#: A record's place among the records read.
+POSITION = "_position"
 
 # Field names of the lending-rate records and their fallbacks.
 COUNTRY_FIELDS = ("Country or Area", "Country")
@@ -40,7 +41,8 @@ def read_xml_records(spark: SparkSession, path: str) -> DataFrame | None:
         raw = (spark.read.format("xml").option("rowTag", "record").option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", CORRUPT)
                .schema(f"{KV_RECORD_XML}, {CORRUPT} string").load(path)
-               .withColumn("_file", F.col("_metadata.file_path")))
+               .withColumn("_file", F.col("_metadata.file_path"))
+               .withColumn(POSITION, F.monotonically_increasing_id()))
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return None
@@ -52,22 +54,21 @@ def read_xml_records(spark: SparkSession, path: str) -> DataFrame | None:
     raw = raw.checkpoint(eager=True)
     bad_files = raw.where(F.col(CORRUPT).isNotNull()).select("_file").distinct()
     good = raw.join(bad_files, "_file", "left_anti")
-    return good.select(fields_to_map(F.col("field")).alias("kv"))
+    return good.select(POSITION, fields_to_map(F.col("field")).alias("kv"))
 
 
-def json_records(df: DataFrame, text_col: str) -> DataFrame:
-    """Key/value records from a JSON text column (``{"k": 82}``)."""
-    return df.withColumn("kv", F.from_json(F.col(text_col), "map<string,string>"))
-
-
-def lending_yearly(records: DataFrame, country: str = DEFAULT_LENDING_COUNTRY, kv: str = "kv") -> DataFrame:
+def lending_yearly(records: DataFrame, country: str = DEFAULT_LENDING_COUNTRY, kv: str = "kv",
+                   keep_position: bool = False) -> DataFrame:
     """Records of ``country`` → ``(year, lending_rate)``; records missing
-    a year or a value, or holding unparsable ones, are skipped (P6, P7)."""
+    a year or a value, or holding unparsable ones, are skipped (P6, P7).
+    ``keep_position`` adds the record's place, to tell years apart that
+    occur twice."""
     m = F.col(kv)
     ctry = first_non_empty(*[lookup(m, k) for k in COUNTRY_FIELDS])
     y_txt = first_non_empty(*[lookup(m, k) for k in YEAR_FIELDS])
     v_txt = first_non_empty(*[lookup(m, k) for k in VALUE_FIELDS])
     out = records.where(ctry == F.lit(country)).select(
+        *([POSITION] if keep_position else []),
         text_to_int_truncating(y_txt).alias("year"),
         parse_number(v_txt).alias("lending_rate"),
     )

@@ -59,20 +59,15 @@ def series_from_frame(df: DataFrame, series_col: str | None = None) -> DataFrame
     """S5 on a frame: choose the date and value columns, coerce them, drop
     rows where either is NULL.  Returns ``series_id, date, value``;
     ``series_col`` (optional) names a column kept as the series id."""
-    names = [c.strip().lower() for c in df.columns]
-    sid_name = series_col.strip().lower() if series_col is not None else None
-    df = df.toDF(*names)
-    cols = [c for c in names if c != sid_name]
-    found = _parseable(df, cols)
-    date_col = next((c for c in cols if c in DATE_NAMES), None)
-    if date_col is None:
-        date_col = next((c for c in cols if found[c][0]), None)
-    if date_col is None:
-        return _empty_series(df.sparkSession)
-    others = [c for c in cols if c != date_col]
-    val_col = next((c for c in others if found[c][1]), None)
-    if val_col is None:
+    df = df.toDF(*[c.strip().lower() for c in df.columns])
+    sid_name = None if series_col is None else series_col.strip().lower()
+    found = _parseable(df, [c for c in df.columns if c != sid_name])
+    # Candidates ranked: a name that says date first, then any that parses.
+    dates = sorted((c not in DATE_NAMES, place, c) for place, (c, (is_date, _)) in enumerate(found.items()) if is_date or c in DATE_NAMES)
+    numbers = [c for c, (_, is_number) in found.items() if is_number and (not dates or c != dates[0][2])]
+    if not dates or not numbers:
         return _empty_series(df.sparkSession)
+    date_col, val_col = dates[0][2], numbers[0]
     sid = F.col(f"`{sid_name}`").cast("string") if sid_name else F.lit(None).cast("string")
     out = df.select(sid.alias("series_id"), _as_date(df, date_col).alias("date"),
                     _as_number(df, val_col).alias("value"))

@@ -74,12 +74,3 @@ def test_cents_half_up(spark):
     df = spark.createDataFrame([(0.125,), (-0.125,), (0.07,), (2.5,)], "x double")
     got = [r[0] for r in df.select(money.round_half_up(F.col("x") * 100)).collect()]
     assert got == [13, -13, 7, 250]
-
-
-def test_size_shuffle_only_raises(spark):
-    from ledgerloom.session import size_shuffle
-
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    assert size_shuffle(spark, 1 << 20) == int(before)
-    assert size_shuffle(spark, 100 << 30, target_bytes=1 << 30) == max(100, int(before))
-    spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -5,7 +5,9 @@ import pytest
 
 import __spark_entry__ as E
 
-NAMES = sorted(E.queries())
+from ledgerloom.plans import catalog
+
+NAMES = sorted(catalog.QUERIES)
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas"]
 
@@ -97,14 +99,25 @@ def test_parquet_schema_resolved_once(spark, sf_small):
     sc.setJobGroup("other", "other")
 
 
-def test_input_bytes_from_plan_statistics(spark, sf_small):
-    import os
-    from ledgerloom.plans import star
-    from ledgerloom.session import input_bytes
+def test_queries_leave_the_session_settings_alone(spark, sf_small):
+    before = dict(spark.conf.getAll)
+    for name in ("trend", "fact_build", "ffill_in_group", "geo_keys"):
+        E.queries()[name](spark, sf_small).count()
+    assert dict(spark.conf.getAll) == before
 
-    names = ("orders", "part")
-    want = sum(os.path.getsize(f"{sf_small}/{t}.parquet") for t in names)
-    assert input_bytes([star.table(spark, sf_small, t) for t in names]) == want
+
+def test_faulty_base_exercises_every_gate(spark, sf_small):
+    found = {r.rule: r.violations for r in E.queries()["violations"](spark, sf_small).collect()}
+    assert all(found.values()) and len(found) == 4
+    assert E.queries()["dup_keys"](spark, sf_small).first()[0] > 0
+    rates = E.queries()["null_rates"](spark, sf_small).first().asDict()
+    assert rates["null_rate_prime_rate"] > 0 and rates["range_bad_default"] > 0
+    gated = E.queries()["member_gated_base"](spark, sf_small)
+    assert gated.where("lending_rate is null").count() > 0  # leading gaps stay
+    from ledgerloom.plans import star
+    base = star.member_base(spark, sf_small)
+    assert gated.where("lending_rate is null").count() < base.where("lending_rate is null").count()
+    assert gated.groupBy("member", "quarter_key").count().where("count > 1").isEmpty()
 
 
 def _scans(plan: str, table: str) -> int:
@@ -114,13 +127,20 @@ def _scans(plan: str, table: str) -> int:
 def test_big_tables_scanned_once_per_need(plans):
     # The keyed star reads its materialised cells (with their rate sums),
     # never the line items again.
-    for name in ("fact_build", "fact_upsert", "fact_recreate", "not_null_violations"):
+    for name in ("fact_build", "fact_upsert", "fact_recreate"):
         assert _scans(plans[name], "lineitem") == 0, name
     # Marts: one big pass; the yearly prime rate adds one tax scan (both
     # rates come from one aggregate per ship year).
     assert _scans(plans["trend"], "lineitem") == 1
     assert _scans(plans["yearly"], "lineitem") == 2
-    # Fill: the segmented rows and the per-segment summary, nothing more.
-    assert _scans(plans["ffill_in_group"], "events") == 2
+    # The enriched base: its four line-item series come from one pass, which
+    # is written once; source_counts and fanout_guard also count rows.
+    for name in ("enrich_rates", "gated_base", "pipeline_fact", "coverage", "missing_source"):
+        assert _scans(plans[name], "lineitem") == 0, name
+    for name in ("null_profile", "null_rates", "violations", "dup_keys", "not_null_violations", "member_gated_base",
+                 "source_counts", "fanout_guard"):
+        assert _scans(plans[name], "lineitem") == 1, name
+    # Fill: the segmented rows are written once; both uses read that.
+    assert _scans(plans["ffill_in_group"], "events") == 0
     # Upsert example: the date dimension is materialised once.
     assert _scans(plans["dim_upsert"], "orders") == 0

@@ -9,6 +9,15 @@ from ledgerloom.operators import warehouse as W
 from conftest import rows
 
 
+def _dims(wh, *quarters):
+    """The dimension rows that the facts of these tests refer to."""
+    spark = wh.spark
+    wh.upsert_dim_date(spark.createDataFrame(
+        [(q, q // 10, q % 10, dt.date(q // 10, q % 10 * 3 - 2, 1), dt.date(q // 10, q % 10 * 3, 28)) for q in quarters], C.DIM_DATE_QTR))
+    wh.get_or_create("dim_geo", spark.createDataFrame([C.DEFAULT_GEO], "country string, state_province string, city string"))
+    wh.get_or_create("dim_product", spark.createDataFrame([C.DEFAULT_PRODUCT], "product_code string, product_type string, segment string"))
+
+
 def _fact(spark, data):
     return spark.createDataFrame(
         [(q, 1, 1, n, Decimal(a), None, None, None, None) for q, n, a in data], C.FACT_CREDIT_METRICS_QTR)
@@ -18,6 +27,7 @@ def test_upsert_idempotent_and_order_free(spark, tmp):
     wh = W.Warehouse(spark, tmp + "/a")
     wh.create_tables_if_missing()
     assert rows(wh.counts()) == [("dim_date_qtr", 0), ("dim_geo", 0), ("dim_product", 0), ("fact_credit_metrics_qtr", 0)]
+    _dims(wh, 20123, 20124, 20131)
     batch = _fact(spark, [(20123, 1, "1.00"), (20124, 2, "2.00"), (20131, 3, "3.00")])
     wh.upsert_fact(batch)
     once = rows(wh.read("fact_credit_metrics_qtr"))
@@ -26,6 +36,7 @@ def test_upsert_idempotent_and_order_free(spark, tmp):
     # disjoint halves in either order give the whole
     for order in ([0, 1], [1, 0]):
         wh2 = W.Warehouse(spark, f"{tmp}/b{order[0]}")
+        _dims(wh2, 20123, 20124, 20131)
         halves = [batch.where("quarter_key < 20131"), batch.where("quarter_key >= 20131")]
         for i in order:
             wh2.upsert_fact(halves[i])
@@ -34,6 +45,7 @@ def test_upsert_idempotent_and_order_free(spark, tmp):
 
 def test_upsert_overwrites_with_null_and_keeps_untouched(spark, tmp):
     wh = W.Warehouse(spark, tmp)
+    _dims(wh, 20123, 20124, 20131)
     wh.upsert_fact(_fact(spark, [(20123, 1, "1.00"), (20124, 2, "2.00")]))
     restated = _fact(spark, [(20124, 9, "9.00")]).withColumn("origination_amt", F.lit(None).cast("decimal(18,2)"))
     wh.upsert_fact(restated)
@@ -43,6 +55,25 @@ def test_upsert_overwrites_with_null_and_keeps_untouched(spark, tmp):
     assert rows(wh.read("fact_credit_metrics_qtr"), "quarter_key") == [(20131,)]
 
 
+def test_load_checks_set_violators_apart(spark, tmp):
+    import pytest
+
+    wh = W.Warehouse(spark, tmp)
+    _dims(wh, 20123, 20124)
+    twice = _fact(spark, [(20123, 1, "1.00"), (20123, 2, "2.00"), (99999, 3, "3.00"), (20124, 4, "4.00")])
+    with pytest.raises(ValueError, match="load order"):
+        wh.upsert_fact(twice)
+    nulls = twice.withColumn("seq", F.col("originations_cnt")).withColumn(
+        "geo_key", F.when(F.col("originations_cnt") != 4, F.col("geo_key")).cast("int"))
+    late = wh.upsert_fact(nulls, load_order=["seq"])
+    assert rows(late, "quarter_key", "dq_reason") == [
+        (20123, "fact_superseded"), (20124, "null_geo_key"), (99999, "quarter_key_orphan")]
+    # The last row of a key wins, as row-by-row upserts would leave it.
+    assert rows(wh.read("fact_credit_metrics_qtr"), "quarter_key", "originations_cnt") == [(20123, 2)]
+    with pytest.raises(ValueError, match="repeats"):
+        wh.upsert_dim_date(spark.createDataFrame([(1, 2012, 3, None, None)], "quarter_key int, year int, quarter int, quarter_start date, quarter_end date"))
+
+
 def test_dim_date_upsert_and_keys(spark, tmp):
     wh = W.Warehouse(spark, tmp)
     d = dt.date
@@ -76,14 +107,14 @@ def test_catalog_register_heal_and_sql_marts(spark, tmp):
 
     wh = W.Warehouse(spark, tmp + "/wh")
     d = dt.date
-    wh.upsert_dim_date(spark.createDataFrame([(20123, 2012, 3, d(2012, 7, 1), d(2012, 9, 30))], C.DIM_DATE_QTR))
+    _dims(wh, 20123)
     wh.upsert_fact(_fact(spark, [(20123, 4, "2.50")]))
     db = "mart_" + os.path.basename(tmp).replace("-", "_")
     W.register_tables(spark, tmp + "/wh", db)
     tr = marts.sql_query(spark, marts.TREND_SQL, db).collect()
     assert [(r.year, r.quarter, r.orig_amt_usd) for r in tr] == [(2012, 3, Decimal("2.50"))]
     assert dict((r.table_name, r.cnt) for r in marts.sql_query(spark, marts.COUNTS_SQL, db).collect()) == {
-        "dim_date_qtr": 1, "dim_geo": 0, "dim_product": 0, "fact_credit_metrics_qtr": 1}
+        "dim_date_qtr": 1, "dim_geo": 1, "dim_product": 1, "fact_credit_metrics_qtr": 1}
     yr = marts.sql_query(spark, marts.YEARLY_SQL, db).first()
     assert (yr.year, yr.cnt, yr.amt) == (2012, 4, Decimal("2.50"))
     # legacy product dimension healed in the catalog
