@@ -52,6 +52,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def steady(run):
+    """A worker function over batches, run without Python's search for
+    reference cycles: these functions make millions of lists and no cycles."""
+
+    def wrapped(batches):
+        import gc
+
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            gc.enable()
+
+    return wrapped
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -9,8 +9,9 @@ gives each the least document that holds it.
 What need not travel stays: a minimiser that occurs in one document only
 cannot belong to a repeated window, so texts are first read for minimisers
 alone (numbers, not strings) and only super-k-mers of shared ones are
-packed.  Equal packed strings are combined before the shuffle.  A bucket
-that more than ``HOT`` super-k-mers share (a passage in a third of all
+packed; the texts that hold them travel once, compressed.  Equal packed
+strings are combined in each task before the shuffle.  A bucket that more
+than ``HOT`` super-k-mers share (a passage in a third of all
 documents, seen with as many different surroundings) is dealt on window by
 window, by a 128-bit digest of the window, with map-side minima; it never
 meets in one task.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import columns_of, cut, partitions, prepare, table
+from ledgerloom.llm.common import columns_of, cut, partitions, prepare, steady, table
 
 WINDOW, MINIMISER = 50, 8
 HOT = 2_000
@@ -107,7 +108,7 @@ def minimisers(docs: DataFrame, window: int, size: int) -> DataFrame:
             def out():
                 of = pa.array(np.repeat(at, [len(p[0]) for p in parts]))
                 first, n, m = (np.concatenate([p[i] for p in parts]) for i in range(3))
-                return pa.RecordBatch.from_arrays([pa.array(m), b.column("d").take(of), b.column("th").take(of), pa.array(first.astype(np.int64)), pa.array(n.astype(np.int64))], ["m", "d", "th", "first", "n"])
+                return pa.RecordBatch.from_arrays([pa.array(m), b.column("d").take(of), b.column("th").take(of), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))], ["m", "d", "th", "first", "n"])
 
             for i, t in enumerate(b.column("text")):
                 found = super_kmers(_words(t), window, size)
@@ -121,31 +122,68 @@ def minimisers(docs: DataFrame, window: int, size: int) -> DataFrame:
             if rows:
                 yield out()
 
-    return docs.mapInArrow(run, "m long, d long, th long, first long, n long")
+    return docs.mapInArrow(run, "m long, d long, th long, first int, n int")
 
 
-def _pack(docs: DataFrame, window: int) -> DataFrame:
-    """Super-k-mers of the texts as packed strings: ``pid`` (digest of the
-    string), ``m, hot, d, th, first, packed``."""
+def compressed(docs: DataFrame) -> DataFrame:
+    """``d, th, z``: the texts, compressed for the way."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["pid", "m", "hot", "d", "th", "first", "packed"]
-        kinds = [pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            rows, size = [], 0
-            for d, th, text, runs in zip(b.column("d").to_pylist(), b.column("th").to_pylist(), b.column("text"), b.column("runs")):
-                words = _words(text)
-                for r in runs.as_py():
-                    packed = b" ".join(words[r["first"]:r["first"] + r["n"] + window - 1])
-                    rows.append((hashlib.blake2b(packed, digest_size=16).digest(), r["m"], r["hot"], d, th, r["first"], packed))
-                    size += len(packed)
-                if size > 1 << 22:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
+            z = pa.array([press.compress((t.as_py() or "").encode()) for t in b.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("d"), b.column("th"), z], ["d", "th", "z"])
+
+    return docs.mapInArrow(run, "d long, th long, z binary")
+
+
+def _packed_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[list[tuple]]:
+    """By stretches of documents, every super-k-mer as ``pid`` (the digest of
+    its packed string), ``m, hot, d, th, first, packed``."""
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
+    for b in batches:
+        rows = []
+        for d, th, z, runs in zip(b.column("d").to_pylist(), b.column("th").to_pylist(), b.column("z"), b.column("runs")):
+            words = press.decompress(z.as_py()).split()
+            for r in runs.as_py():
+                packed = b" ".join(words[r["first"]:r["first"] + r["n"] + window - 1])
+                rows.append((hashlib.blake2b(packed, digest_size=16).digest(), r["m"], r["hot"], d, th, r["first"], packed))
+            if len(rows) > 20_000:
+                yield rows
+                rows = []
+        if rows:
+            yield rows
+
+
+def _pack(docs: DataFrame, window: int) -> DataFrame:
+    """The super-k-mers as packed strings, equal ones of a stretch combined:
+    ``pid, m, hot, d`` (the least document) and ``packed``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _packed_runs(batches, window):
+            least: dict[bytes, tuple] = {}
+            for pid, m, hot, d, _, _, packed in rows:
+                if pid not in least or d < least[pid][2]:
+                    least[pid] = (m, hot, d, packed)
+            columns = [list(least), *([v[k] for v in least.values()] for k in range(4))]
+            kinds = [pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["pid", "m", "hot", "d", "packed"])
+
+    return docs.mapInArrow(steady(run), "pid binary, m long, hot boolean, d long, packed binary")
 
-    return docs.mapInArrow(run, "pid binary, m long, hot boolean, d long, th long, first long, packed binary")
+
+def _occurrences(docs: DataFrame, window: int) -> DataFrame:
+    """Where the super-k-mers stand: ``pid, d, th, first``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _packed_runs(batches, window):
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), *(pa.array([r[k] for r in rows], pa.int64()) for k in (3, 4, 5))], ["pid", "d", "th", "first"])
+
+    return docs.mapInArrow(steady(run), "pid binary, d long, th long, first long")
 
 
 def _windows(packed: bytes, window: int) -> list[bytes]:
@@ -160,15 +198,19 @@ def _sorted_buckets(packs: DataFrame, window: int) -> DataFrame:
     holding it, found by sorting the bucket's windows."""
 
     def bucket(rows):
-        spans = [_windows(p, window) for _, _, p in rows]
-        order = sorted((w, rows[k][1], k, j) for k, ws in enumerate(spans) for j, w in enumerate(ws))
+        packs: dict[bytes, list] = {}
+        for pid, d, packed in rows:
+            held = packs.setdefault(pid, [d, packed])
+            held[0] = min(held[0], d)
+        spans = [_windows(packed, window) for _, packed in packs.values()]
+        order = sorted((w, d, k, j) for k, ((d, _), ws) in enumerate(zip(packs.values(), spans)) for j, w in enumerate(ws))
         least = [[0] * len(ws) for ws in spans]
         last, low = None, 0
         for w, d, k, j in order:
             if w != last:
                 last, low = w, d
             least[k][j] = low
-        return [(rows[k][0], x) for k, x in enumerate(least)]
+        return list(zip(packs, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
@@ -177,7 +219,7 @@ def _sorted_buckets(packs: DataFrame, window: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.binary()), pa.array([x[1] for x in done], pa.list_(pa.int64()))], ["pid", "least"])
 
         for b in batches:
-            done, size = [], 0
+            done = []
             for m, pid, d, packed in zip(*(b.column(n).to_pylist() for n in ("m", "pid", "d", "packed"))):
                 if m != key:
                     if rows:
@@ -190,7 +232,7 @@ def _sorted_buckets(packs: DataFrame, window: int) -> DataFrame:
             yield out(bucket(rows))
 
     n = partitions(packs.sparkSession)
-    return packs.select("m", "pid", "d", "packed").repartition(n, "m").sortWithinPartitions("m").mapInArrow(run, "pid binary, least array<long>")
+    return packs.select("m", "pid", "d", "packed").repartition(n, "m").sortWithinPartitions("m").mapInArrow(steady(run), "pid binary, least array<long>")
 
 
 def _dealt_windows(packs: DataFrame, window: int) -> DataFrame:
@@ -205,7 +247,7 @@ def _dealt_windows(packs: DataFrame, window: int) -> DataFrame:
 
     each = packs.select("pid", "d", "packed").mapInArrow(run, "w binary, pid binary, j int, d long")
     least = each.groupBy("w").agg(F.min("d").alias("low"))
-    back = each.select("w", "pid", "j").join(least, "w")
+    back = each.select("w", "pid", "j").distinct().join(least, "w")
     return back.groupBy("pid").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "low"))), lambda x: x["low"]).alias("least"))
 
 
@@ -231,8 +273,8 @@ def _whole(words: list[bytes]) -> str:
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, size: int = MINIMISER, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """``(keyed, removed)``: the documents as ``doc_id, d, th, text`` and,
-    for those that lose words, ``d, th, text, spans`` with the spans of
-    removed windows."""
+    for those that lose words, ``d, th, z, spans``: the compressed text and
+    the spans of removed windows."""
     prepare(docs.sparkSession)
     keyed = columns_of(docs, {"doc_id": id_col, "text": text_col})
     keyed = keyed.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"), F.xxhash64("text").alias("th"), "text")
@@ -241,14 +283,26 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     kept = runs.join(shared.select("m", (F.col("c") > hot).alias("hot")), "m")
     kept = kept.groupBy("d", "th").agg(F.collect_list(F.struct("first", "n", "m", "hot")).alias("runs"))
     # Only texts with shared minimisers go on.
-    held = cut(keyed.select("d", "th", "text").join(kept, ["d", "th"]))
-    packed = _pack(held, window)
-    packs = packed.groupBy("pid").agg(F.first("m").alias("m"), F.first("hot").alias("hot"), F.min("d").alias("d"), F.first("packed").alias("packed"))
-    packs = cut(packs)
+    held = cut(compressed(keyed.select("d", "th", "text")).join(kept, ["d", "th"]))
+    packs = _pack(held, window)
     least = _sorted_buckets(packs.where(~F.col("hot")), window).unionByName(_dealt_windows(packs.where("hot"), window))
-    spans = _spans(packed.select("pid", "d", "th", "first").join(least, "pid"))
+    spans = _spans(_occurrences(held, window).join(least, "pid"))
     spans = spans.groupBy("d", "th").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
-    return keyed, held.select("d", "th", "text").join(spans, ["d", "th"])
+    return keyed, held.select("d", "th", "z").join(spans, ["d", "th"])
+
+
+def _left(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, list[bytes]]]]]:
+    """For each batch of ``removed``: how many words go, and those that stay."""
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
+    for b in batches:
+        out = []
+        for z, spans in zip(b.column("z"), b.column("spans").to_pylist()):
+            words = press.decompress(z.as_py()).split()
+            left = [w for w, k in zip(words, _mask(len(words), spans, window).tolist()) if k]
+            out.append((len(words) - len(left), left))
+        yield b, out
 
 
 def _mask(n: int, spans: list[dict], window: int) -> np.ndarray:
@@ -270,14 +324,8 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("d"), b.column("th"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["doc_id", "d", "th", "n_words", "sha"])
 
     def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for t, spans in zip(b.column("text"), b.column("spans").to_pylist()):
-                words = _words(t)
-                keep = _mask(len(words), spans, window)
-                left = [w for w, k in zip(words, keep.tolist()) if k]
-                rows.append((len(words) - len(left), _whole(left)))
-            yield pa.RecordBatch.from_arrays([b.column("d"), b.column("th"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["d", "th", "n_removed", "kept"])
+        for b, rows in _left(batches, window):
+            yield pa.RecordBatch.from_arrays([b.column("d"), b.column("th"), pa.array([n for n, _ in rows], pa.int64()), pa.array([_whole(w) for _, w in rows], pa.string())], ["d", "th", "n_removed", "kept"])
 
     every = keyed.mapInArrow(whole, f"doc_id {kind}, d long, th long, n_words long, sha string")
     less = removed.mapInArrow(thinned, "d long, th long, n_removed long, kept string").dropDuplicates(["d", "th"])
@@ -291,13 +339,8 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     keyed, removed = dedup(docs, id_col, text_col, window, size, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = []
-            for t, spans in zip(b.column("text"), b.column("spans").to_pylist()):
-                words = _words(t)
-                keep = _mask(len(words), spans, window)
-                texts.append(b" ".join([w for w, k in zip(words, keep.tolist()) if k]).decode())
-            yield pa.RecordBatch.from_arrays([b.column("d"), b.column("th"), pa.array(texts, pa.string())], ["d", "th", "less"])
+        for b, rows in _left(batches, window):
+            yield pa.RecordBatch.from_arrays([b.column("d"), b.column("th"), pa.array([b" ".join(w).decode() for _, w in rows], pa.string())], ["d", "th", "less"])
 
     less = removed.mapInArrow(run, "d long, th long, less string").dropDuplicates(["d", "th"])
     return keyed.join(less, ["d", "th"], "left").select("doc_id", F.coalesce("less", "text").alias("text"))

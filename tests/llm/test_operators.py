@@ -312,13 +312,15 @@ def test_bpe_equals_the_library(docs):
         assert sums[r.doc_id].n_tokens == len(r.ids) // 4 and sums[r.doc_id].ids_sha256 == hashlib.sha256(r.ids).hexdigest()
 
 
-def test_bpe_odd_characters():
+@pytest.mark.parametrize("kind", [lambda: bpe.Encoder(bpe.default_path(), bpe.Lexicon.compile([])), lambda: binary_ids._Library(bpe.default_path())])
+def test_bpe_odd_characters(kind, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 300)
     v = bpe.Vocabulary(bpe.default_path())
-    encoder = bpe.Encoder(bpe.default_path(), bpe.Lexicon.compile([]))
+    encoder = kind()
     r = random.Random(2)
     letters = "abAB éÉßſİıΣςǅǺ̈Å½²٣Ⅷ'’\n\t\x0b\x1c\u0085  .!<|>0_-😀日"
     texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(1500)]
-    texts += ["<|startoftext|>a<|endoftext|>", "<<|endoftext|>>", "x" * 20_000, "ab'll've''s", "<|STARTOFTEXT|>"]
+    texts += ["<|startoftext|>a<|endoftext|>", "<<|endoftext|>>", "x" * 20_000, "ab'll've''s", "<|STARTOFTEXT|>", "İ İžb Straße. Ÿ, Àb. a.' don't.", "Word word, WORD. wörd; WÖRD!?"]
     for t, ids in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == v.library.encode(t, add_special_tokens=False).ids, t
 
