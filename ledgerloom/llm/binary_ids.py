@@ -27,6 +27,7 @@ files.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe
-from ledgerloom.llm.common import columns_of, partitions, prepare, range_bounds, small, table
+from ledgerloom.llm.common import columns_of, partitions, prepare, range_bounds, small, steady, table
 from ledgerloom.session import ensure_checkpoint_dir
 
 BLOCK = 4096
@@ -119,16 +120,42 @@ class TokenFile:
             yield d, a, held[a - lo:a - lo + n]
 
 
-class _Library(bpe.Encoder):
-    """Distinct pieces encoded by the tokenizers library itself."""
+#: Letters whose lower case the normaliser leaves as it is.
+_LETTERS = re.compile(r"[a-zß-öø-įı-ſ]+")
+_TAILED = re.compile(r"([a-zß-öø-įı-ſ]+)([.,;:!?]+)")
+_BYTE = {b: c for b, c in enumerate(bpe._byte_chars())}
+
 
-    def learn(self, pieces: set[bytes]) -> None:
-        todo = list(pieces)
+class _Library(bpe.Encoder):
+    """Distinct pieces encoded by the tokenizers library itself.  Case of
+    plain Latin letters is folded first, as the tokenizer does, and
+    punctuation behind a word is encoded apart, as its word pattern cuts
+    there; so one call serves a word in all its guises.  A word of plain
+    letters goes to the library's BPE model at once, since normaliser and
+    word pattern leave it whole; anything else takes the library's full way."""
+
+    def parts(self, piece: bytes) -> list[str]:
+        text = piece.decode()
+        if "<" in text or not bpe._PLAIN.fullmatch(text):  # may hold a special token, or compose
+            return [text]
+        low = text.lower()
+        m = _TAILED.fullmatch(low)
+        return list(m.groups()) if m else [low]
+
+    def look_up(self, parts: list[str]) -> None:
         library = self.vocabulary.library
-        for at in range(0, len(todo), 20_000):
-            part = todo[at:at + 20_000]
-            for p, e in zip(part, library.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)):
-                self.memo[p] = np.array(e.ids, "<u4").tobytes()
+        model = library.model
+        rest = []
+        for p in parts:
+            if _LETTERS.fullmatch(p):
+                chars = p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE)
+                self.known[p] = np.array([t.id for t in model.tokenize(chars)], "<u4").tobytes()
+            else:
+                rest.append(p)
+        for at in range(0, len(rest), 20_000):
+            some = rest[at:at + 20_000]
+            for p, e in zip(some, library.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[p] = np.array(e.ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[str, _Library] = {}
@@ -192,7 +219,7 @@ def write_ids(docs: DataFrame, out: str, id_col: str = "doc_id", text_col: str =
         if held:
             yield done()
 
-    rows = d.mapInArrow(encode, "part int, doc_id long, kind string, ids binary")
+    rows = d.mapInArrow(steady(encode), "part int, doc_id long, kind string, ids binary")
     rows = rows.repartitionById(parts, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_last(), "ids")
     rows.mapInArrow(pack, "part int, file long, n_docs long, n_tokens long, data binary").write.parquet(out)
 

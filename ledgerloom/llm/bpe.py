@@ -36,15 +36,16 @@ from pyspark.files import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import columns_of, prepare, table
+from ledgerloom.llm.common import columns_of, prepare, steady, table
 
 #: Words compiled into the lexicon: the most frequent ones (a size, not a
 #: sample: the counts cover all documents).
 LEXICON_WORDS = 1 << 16
-#: Distinct pieces a worker remembers before it starts anew.
-MEMO = 600_000
+#: Distinct pieces in each of a worker's two generations of memory (what the
+#: younger one lacks is taken over from the older one), and distinct words.
+MEMO, KNOWN = 300_000, 1_000_000
 #: Texts are taken in groups of about this many bytes.
-GROUP = 1 << 21
+GROUP = 1 << 18
 
 _PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-įı-ſ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\x20\x09-\x0da-zß-öø-ſ0-9]+")
@@ -288,37 +289,63 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes pieces through the lexicon, then by merging; keeps a memo."""
+    """Encodes pieces through the lexicon, then by merging.  Two bounded
+    memos: of whole pieces, and of the words that they are made of."""
 
     def __init__(self, path: str, lexicon: Lexicon | None = None):
-        self.vocabulary, self.lexicon, self.memo = Vocabulary(path), lexicon, {}
-
-    def learn(self, pieces: set[bytes]) -> None:
-        """Encode pieces that the memo lacks."""
-        words = {p: self.vocabulary.words(p.decode()) for p in pieces}
-        distinct = [w for w in {w for ws in words.values() for w in ws if isinstance(w, str)}]
-        ids: dict[str | int, bytes] = {}
-        numbers = self.lexicon.find([w.encode() for w in distinct]) if self.lexicon else np.full(len(distinct), -1)
-        for w, k in zip(distinct, numbers.tolist()):
+        self.vocabulary, self.lexicon = Vocabulary(path), lexicon
+        self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.known: dict = {}
+
+    def parts(self, piece: bytes) -> list:
+        """What a piece's ids are joined from: words, or ids."""
+        return self.vocabulary.words(piece.decode())
+
+    def look_up(self, parts: list) -> None:
+        """Add the ids of distinct parts to ``known``."""
+        numbers = self.lexicon.find([w.encode() for w in parts]) if self.lexicon else np.full(len(parts), -1)
+        for w, k in zip(parts, numbers.tolist()):
             if k >= 0:
-                ids[w] = self.lexicon.ids[self.lexicon.starts[k]:self.lexicon.starts[k + 1]].tobytes()
+                self.known[w] = self.lexicon.ids[self.lexicon.starts[k]:self.lexicon.starts[k + 1]].tobytes()
             else:
-                ids[w] = np.array(self.vocabulary.merge(w), "<u4").tobytes()
-        for p, ws in words.items():
-            self.memo[p] = b"".join([ids[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in ws])
+                self.known[w] = np.array(self.vocabulary.merge(w), "<u4").tobytes()
+
+    def learn(self, pieces: set[bytes]) -> None:
+        """Add to the memo pieces that it lacks."""
+        if len(self.memo) + len(pieces) > MEMO:
+            self.memo, self.older = {}, self.memo
+        older, memo = self.older, self.memo
+        if older:
+            memo.update([(p, older[p]) for p in pieces if p in older])
+        made = [(p, self.parts(p)) for p in pieces if p not in memo]
+        new = {w for _, ws in made for w in ws if not isinstance(w, int)}.difference(self.known)
+        if len(self.known) + len(new) > KNOWN:
+            self.known.clear()
+            new = {w for _, ws in made for w in ws if not isinstance(w, int)}
+        self.look_up(list(new))
+        known = self.known
+        for p, ws in made:
+            memo[p] = b"".join([w.to_bytes(4, "little") if isinstance(w, int) else known[w] for w in ws])
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         for group in _groups(texts):
-            split = [[part.split() for part in _parts((t or "").encode())] for t in group]
-            need = set().union(*(p for parts in split for p in parts)).difference(self.memo)
-            if need:
-                if len(self.memo) + len(need) > MEMO and self.memo:
-                    self.memo.clear()
-                    need = set().union(*(p for parts in split for p in parts))
-                self.learn(need)
-            for parts in split:
-                yield b"".join([b"".join(map(self.memo.__getitem__, p)) for p in parts])
+            split = [list(_parts((t or "").encode())) for t in group]
+            counts = [len(parts) for parts in split]
+            pieces = [part.split() for parts in split for part in parts]
+            found = [list(map(self.memo.get, p)) for p in pieces]
+            missing = {x for p, f in zip(pieces, found) if None in f for x, y in zip(p, f) if y is None}
+            if missing:
+                self.learn(missing)
+                get = self.memo.get
+                for p, f in zip(pieces, found):
+                    if None in f:
+                        f[:] = [get(x) if y is None else y for x, y in zip(p, f)]
+            at = 0
+            for n in counts:
+                yield b"".join([b"".join(f) for f in found[at:at + n]])
+                at += n
 
 
 def _groups(texts: list) -> Iterator[list]:
@@ -373,10 +400,13 @@ def word_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
                     yield from out()
         yield from out()
 
-    counts = docs.select(docs[text_col].alias("text")).mapInArrow(run, "word string, n long")
+    counts = docs.select(docs[text_col].alias("text")).mapInArrow(steady(run), "word string, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+_HANDED_OUT: set[tuple[str, str]] = set()
+
+
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS, text_col: str = "text") -> str:
     """Compile the corpus's most frequent words; returns the name under
     which every executor has the file (at most ``words`` entries, a few MB)."""
@@ -389,8 +419,11 @@ def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS, text_c
     lexicon.save(local)
     with open(local, "rb") as f:
         name = f"lexicon-{hashlib.sha256(f.read()).hexdigest()[:24]}.bin"
-    os.rename(local, os.path.join(folder, name))
-    spark.sparkContext.addFile(os.path.join(folder, name))
+    sc = spark.sparkContext
+    if (sc.applicationId, name) not in _HANDED_OUT:  # else an equal lexicon is there already
+        os.rename(local, os.path.join(folder, name))
+        sc.addFile(os.path.join(folder, name))
+        _HANDED_OUT.add((sc.applicationId, name))
     return name
 
 
@@ -443,13 +476,13 @@ def _mapper(path: str, name: str, make, kinds: list, names: list[str]):
             for ids in encoder.encode([t.as_py() for t in b.column("text")]):
                 rows.append(make(ids, encoder.vocabulary.decode(np.frombuffer(ids, "<u4"))))
                 size += len(ids)
-                if size > 8 * GROUP:
+                if size > 64 * GROUP:
                     yield out()
                     at, rows, size = at + len(rows), [], 0
             if rows:
                 yield out()
 
-    return run
+    return steady(run)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import columns_of, cut, prepare, table
+from ledgerloom.llm.common import columns_of, cut, prepare, steady, table
 
 #: Labelled rows that the fit reads at most.
 FIT_ROWS = 20_000
@@ -271,7 +271,7 @@ def score(docs: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFram
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*b.schema.names, "__score"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "__score double"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(steady(run), schema)
 
 
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
