@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import columns_of, cut, partitions, prepare, small, table
+from ledgerloom.llm.common import columns_of, cut, drawn, partitions, prepare, small, table
 
 TABLES, HASHES, SLOT, SUCCESS = 3, 6, 2.0, 0.6
 REACH = 2  # slots looked at on each side: beyond 2 slots = 4 r lies nothing
@@ -111,8 +111,9 @@ class Hashing:
 
 def fit(classes: DataFrame, k: int) -> Hashing | None:
     """r is the median distance to the k-th neighbour within a sample of at
-    most ``FIT_ROWS`` distinct vectors (the least by hash)."""
-    got = classes.select("vec", "digest").orderBy("digest").limit(FIT_ROWS).collect()
+    most ``FIT_ROWS`` distinct vectors (drawn by hash)."""
+    few = drawn(classes.select("vec", "digest"), "digest", classes.count(), 2 * FIT_ROWS)
+    got = few.orderBy("digest").limit(FIT_ROWS).collect()
     if not got:
         return None
     x = np.array([np.frombuffer(r["vec"], "<f8") for r in got])

@@ -84,15 +84,25 @@ def same(a: Column, b: Column) -> Column:
 
 def range_bounds(df: DataFrame, col: str, parts: int) -> list[int]:
     """Ascending existing values of ``col`` that cut the rows in about
-    ``parts`` ranges; at most ``parts - 1`` of them, so what reaches the
-    driver is bounded by the number of partitions, not by the rows."""
+    ``parts`` ranges; at most ``parts - 1`` of them.  They are quantiles of
+    about 200 values a range, drawn by hash, so what one task and the driver
+    see is bounded by the number of partitions, not by the rows."""
     if parts < 2:
         return []
+    few = drawn(df.select(col), col, df.count(), 200 * parts)
     qs = [i / parts for i in range(1, parts)]
-    got = df.agg(F.percentile_approx(col, qs, F.lit(max(10_000, 20 * parts))).alias("q")).first()["q"]
+    got = few.agg(F.percentile_approx(col, qs, F.lit(20 * parts)).alias("q")).first()["q"]
     return sorted(set(got or []))
 
 
+def drawn(df: DataFrame, key: str, rows: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of the frame's ``rows`` rows, the same ones on every
+    run: those whose key's hash is low.  All rows if there are fewer."""
+    if rows <= wanted:
+        return df
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < F.lit(int(wanted / rows * (1 << 40))))
+
+
 def columns_of(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
     """Only the named columns, renamed: ``{own name: column of df}``.  Extra
     columns with clashing names never meet the operator's own."""

@@ -17,8 +17,8 @@ lone word counts only through the clause that it stands in.
 Learnt from labelled rows: the insult lexicon (words, and stems that begin
 longer words) with strengths, and the weights of the clause classes, which
 are drawn towards the grammar's own weights.  The fit reads at most
-``FIT_ROWS`` labelled rows, those with the least hash of their id; equal
-texts count once.  Language, source and id are never inputs of a score.
+``FIT_ROWS`` labelled rows, drawn by hash of their id; equal texts count
+once.  Language, source and id are never inputs of a score.
 
 Defined cases: null and empty texts get the score of a text without a
 match; rows whose id is null or not labelled are scored alike; without
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import columns_of, cut, prepare, steady, table
+from ledgerloom.llm.common import columns_of, cut, drawn, prepare, steady, table
 
 #: Labelled rows that the fit reads at most.
 FIT_ROWS = 20_000
@@ -171,9 +171,11 @@ def held_out(doc_id: Column) -> Column:
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """``text, y`` of at most ``rows`` labelled rows outside the held-out
-    part, the least by hash of the id; equal texts once."""
+    part, drawn by hash of the id; equal texts once."""
     known = columns_of(labels, {"_id": "doc_id", "y": "toxic"}).where(F.col("y").isNotNull() & ~held_out(F.col("_id")))
-    known = known.groupBy("_id").agg(F.max("y").alias("y")).orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(rows)
+    known = cut(known.groupBy("_id").agg(F.max("y").alias("y")))
+    # Few more than wanted are drawn before the exact choice among them.
+    known = drawn(known, "_id", known.count(), 2 * rows).orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(rows)
     known = F.broadcast(cut(known))  # at most ``rows`` rows
     picked = docs.join(known, docs["doc_id"] == known["_id"]).select("text", "y").where(F.col("text").isNotNull())
     return picked.groupBy("text").agg(F.max("y").alias("y"))
