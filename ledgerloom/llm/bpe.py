@@ -43,7 +43,7 @@ from ledgerloom.llm.common import columns_of, cut, prepare, steady, table
 LEXICON_WORDS = 1 << 16
 #: Distinct pieces in each of a worker's two generations of memory (what the
 #: younger one lacks is taken over from the older one), and distinct words.
-MEMO, KNOWN = 300_000, 1_000_000
+MEMO, KNOWN = 300_000, 600_000
 #: Texts are taken in groups of about this many bytes.
 GROUP = 1 << 18
 
