@@ -8,11 +8,18 @@ query visits the buckets around its own in the order of the product of
 these, until they add up to ``SUCCESS``.  Candidates of all tables are
 merged and ranked by their exact distance, computed in double precision.
 
+r is one number for all densities, so each query is judged by the distance d
+of its own k-th result: the normal law gives the chance that a neighbour at d
+lies in the buckets visited.  Below ``SURE`` the query visits more of them,
+in the order of their chance at d, until it is ``SURE``.  Where buckets as
+narrow as r would have to be visited in larger number than one table has
+cells, it is searched in every cell instead.
+
 Equal vectors are one candidate class that keeps its ``k + 1`` least ids
 (no result can need more), so a vector repeated a million times is compared
 once.  Buckets are dealt over cells of at most ``BLOCK`` vectors each; a
 cell answers with the nearest classes of each query, never with all pairs.
-A query with fewer than k results found is searched in every cell.
+A query with fewer than k results found is searched in every cell as well.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite
 components take no part; neither do vectors of another length than the
@@ -35,6 +42,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import columns_of, cut, drawn, partitions, prepare, small, table
 
 TABLES, HASHES, SLOT, SUCCESS = 3, 6, 2.0, 0.6
+SURE = 0.95  # of finding a neighbour at the distance of the k-th result
 REACH = 2  # slots looked at on each side: beyond 2 slots = 4 r lies nothing
 K = 10
 FIT_ROWS = 2_000
@@ -91,22 +99,53 @@ class Hashing:
         """A 64-bit name of a bucket (a clash only joins two buckets)."""
         return (slots.astype(np.int64) * self.mix).sum(-1)
 
-    def probes(self, place: np.ndarray) -> np.ndarray:
-        """Keys of the buckets that one query visits in one table, in the
-        order of their estimated success."""
-        home = np.floor(place)
-        slots = home[:, None] + np.arange(-REACH, REACH + 1)
-        edges = (np.concatenate([slots, slots[:, -1:] + 1], axis=1) - place[:, None]) * SLOT
+    def chances(self, place: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets around one query's place in one table, as slots a
+        hash and the chance of each (flat, all combinations) to hold a
+        neighbour at distance d."""
+        slots = np.floor(place)[:, None] + np.arange(-REACH, REACH + 1)
+        edges = (np.concatenate([slots, slots[:, -1:] + 1], axis=1) - place[:, None]) * (self.width / d)
         law = np.vectorize(lambda z: 0.5 * (1 + math.erf(z / math.sqrt(2))))(edges)
         chance = np.diff(law, axis=1)
         product = chance[0]
         for row in chance[1:]:
             product = np.multiply.outer(product, row)
-        flat = product.ravel()
+        return slots, product.ravel()
+
+    def visited(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets that one query visits in one table, in the order of
+        their estimated success, as flat positions; and the slots."""
+        slots, flat = self.chances(place, self.r)
         order = np.argsort(-flat, kind="stable")
-        order = order[:int(np.searchsorted(np.cumsum(flat[order]), SUCCESS * flat.sum())) + 1]
-        at = np.stack(np.unravel_index(order, product.shape), axis=1)
-        return self.key(slots[np.arange(len(place)), at])
+        return slots, order[:int(np.searchsorted(np.cumsum(flat[order]), SUCCESS * flat.sum())) + 1]
+
+    def named(self, slots: np.ndarray, order: np.ndarray) -> np.ndarray:
+        at = np.stack(np.unravel_index(order, (2 * REACH + 1,) * len(slots)), axis=1)
+        return self.key(slots[np.arange(len(slots)), at])
+
+    def probes(self, place: np.ndarray) -> np.ndarray:
+        """Keys of the buckets that one query visits in one table."""
+        return self.named(*self.visited(place))
+
+    def more(self, places: np.ndarray, d: float, most: int) -> list[np.ndarray] | None:
+        """Keys a table (none if the first visit was ``SURE`` at distance d)
+        of the buckets that one query has to visit besides; None if they
+        are not within reach or more than ``most``."""
+        seen, chances = [self.visited(p) for p in places], [self.chances(p, d)[1] for p in places]
+        nothing = [np.zeros(0, np.int64)] * len(places)
+        if d <= 0 or math.prod(1 - c[o].sum() for (_, o), c in zip(seen, chances)) <= 1 - SURE:
+            return nothing
+        out, each = [], 1 - (1 - SURE) ** (1 / len(places))
+        for (slots, first), flat in zip(seen, chances):
+            rest = flat.copy()
+            rest[first] = 0
+            order = np.argsort(-rest, kind="stable")
+            sums = flat[first].sum() + np.cumsum(rest[order])
+            if sums[-1] < each:
+                return None
+            need = 0 if flat[first].sum() >= each else int(np.searchsorted(sums, each)) + 1
+            out.append(self.named(slots, order[:need]))
+        return out if sum(map(len, out)) <= most else None
 
 
 def fit(classes: DataFrame, k: int) -> Hashing | None:
@@ -145,6 +184,25 @@ def hashed(classes: DataFrame, h: Hashing, probe: bool) -> DataFrame:
     return classes.select("cls", "vec").mapInArrow(run, "t int, key long, cls long, vec binary")
 
 
+def again(asked: DataFrame, h: Hashing, most: int) -> DataFrame:
+    """``t, key, cls, vec``: a row a further probe of the queries ``cls, vec,
+    d``; a query to be searched in every cell has one row, without a table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            places = h.places(_unpack(b.column("vec")))
+            for i, d in enumerate(b.column("d").to_pylist()):
+                keys = None if d is None else [np.zeros(0, np.int64)] if d == 0 else h.more(places[:, i], d, most)
+                ts = [None] if keys is None else np.repeat(np.arange(len(keys)), [len(x) for x in keys]).tolist()
+                flat = [None] if keys is None else np.concatenate(keys).tolist()
+                take = pa.array(np.full(len(ts), i))
+                yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int32()), pa.array(flat, pa.int64()), b.column("cls").take(take), b.column("vec").take(take)], ["t", "key", "cls", "vec"])
+
+    return asked.select("cls", "vec", "d").mapInArrow(run, "t int, key long, cls long, vec binary")
+
+
 def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell and role (0: the cell's vectors, 1: queries) to
     ``q, cls, dist``, the k + 1 nearest classes of the cell (ties kept)."""
@@ -189,11 +247,15 @@ def _cells(base: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(lambda it: _search(it, k), "q long, cls long, dist double")
 
 
-def _ranked(found: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """``q, near``: each query class's k + 1 nearest ids with distances."""
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """``q, cls, dist``: each query class's k + 1 nearest classes."""
     best = found.groupBy("q", "cls").agg(F.min("dist").alias("dist"))
-    order = Window.partitionBy("q").orderBy("dist", "cls")
-    best = best.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1)
+    nth = F.row_number().over(Window.partitionBy("q").orderBy("dist", "cls"))
+    return best.withColumn("nth", nth).where(F.col("nth") <= k + 1).drop("nth")
+
+
+def _ranked(best: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """``q, near``: each query class's k + 1 nearest ids with distances."""
     ids = best.join(classes.select("cls", "ids"), "cls").select("q", "dist", F.explode("ids").alias("id"))
     ids = ids.groupBy("q", "id").agg(F.min("dist").alias("dist"))
     nth = F.row_number().over(Window.partitionBy("q").orderBy("dist", "id"))
@@ -222,15 +284,21 @@ def search(df: DataFrame, queries, k: int = K, id_col: str = "vec_id", vec_col:
     asked = cut(asked)
     probes = hashed(asked, h, True).distinct().join(few, ["t", "key"])
     probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    near = cut(_ranked(_cells(base, probes, k), classes, k))
-    # Too few found: the exact way, every cell of one table.
-    short = asked.join(near.where(F.size("near") > k), asked["cls"] == near["q"], "left_anti")
-    if not short.isEmpty():
-        every = buckets.where("t = 0")
-        every = short.crossJoin(F.broadcast(every)) if every.count() <= 100_000 else short.crossJoin(every)
+    best = cut(_best(_cells(base, probes, k), k))
+    # Each query's own k-th distance (none: too few found) names what else it has to visit.
+    kth = _ranked(best, classes, k).where(F.size("near") > k).select("q", F.col("near")[k]["dist"].alias("d"))
+    every = buckets.where("t = 0")
+    cells = every.agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
+    further = cut(again(asked.join(kth, asked["cls"] == kth["q"], "left"), h, cells))
+    probes = further.where("t IS NOT NULL").distinct().join(few, ["t", "key"])
+    probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    found = best.unionByName(_cells(base, probes, k))
+    exact = further.where("t IS NULL").select("cls", "vec")
+    if not exact.isEmpty():
+        every = exact.crossJoin(F.broadcast(every)) if every.count() <= 100_000 else exact.crossJoin(every)
         every = every.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        more = _ranked(_cells(base.where("t = 0"), every, k), classes, k)
-        near = near.join(short, near["q"] == short["cls"], "left_anti").unionByName(more)
+        found = found.unionByName(_cells(base.where("t = 0"), every, k))
+    near = cut(_ranked(_best(found, k), classes, k))
     named = near.join(classes.select("cls", F.col("digest").alias("_d")), F.col("q") == F.col("cls")).select("_d", "near")
     out = asks.join(named, F.col("digest") == F.col("_d")).select(F.col("id").alias("query_id"), F.filter("near", lambda x: x["id"] != F.col("id")).alias("near"))
     out = out.select("query_id", F.posexplode(F.slice("near", 1, k)).alias("pos", "hit"))

@@ -504,3 +504,20 @@ def test_neighbours_of_few_vectors(spark):
     got = sorted(tuple(r)[:3] for r in ann.search(few, lambda i: i % 100 == 0).collect())
     assert got == [(0, 1, 5), (0, 2, 100), (100, 1, 0), (100, 2, 5)]
     assert ann.search(few.limit(0), lambda i: i % 100 == 0).count() == 0
+
+
+def test_neighbours_of_mixed_densities(spark):
+    """Recall of each density group, with r fitted on the larger one."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 32))
+    dense = rng.random(6000) < 0.6
+    x[dense] *= 0.33
+    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VEC).repartition(6)
+    got = {}
+    for r in ann.search(df, lambda i: i % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = ann_brute(rows)
+    for group in (dense, ~dense):
+        of = [q for q in want if group[q]]
+        assert sum(len(got[q] & {i for _, i in want[q]}) for q in of) >= 0.95 * 10 * len(of)
