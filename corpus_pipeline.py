@@ -2,7 +2,8 @@
 ``ledgerloom.llm`` on all that its predecessor kept.
 
 1. toxicity        documents that the fitted grammar rejects go
-2. line dedup      boilerplate lines of a source's documents go
+2. line dedup      boilerplate lines of a source's documents go; near copies
+                   count as one document there, and are left to stage 3
 3. near duplicates one document of each SimHash group stays
 4. mixing          sources are brought to their target weights; documents
                    repeat or go as the plan takes them
@@ -31,7 +32,7 @@ def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_boilerplate(docs, "text", "source").select(*docs.columns)
+    out = line_dedup.drop_boilerplate(docs, "text", "source", near=True).select(*docs.columns)
     kind = docs.schema["n_chars"].dataType
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
 

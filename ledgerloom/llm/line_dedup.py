@@ -6,6 +6,14 @@ least ``min_pages`` of them hold it, so that tiny hosts keep their text).
 Pages of a host with equal text count as one page: a page crawled or
 copied a thousand times says nothing about boilerplate.
 
+With ``near`` (the pipeline) neither do near copies: pages of a site whose
+pairs of adjacent words agree to ``ALIKE`` count as one page, in the lines'
+counts and in the site's pages, so the lines they share stay and the SimHash
+stage reduces them.  They are found by minimum hashes in bands; a page is
+compared with the least page of each bucket, and links are followed.  Words
+and not lines are compared: a page that is mostly boilerplate still counts
+for itself unless more than some 85 % of its words are the same.
+
 Counts are two-phase aggregates over (host, line digest, page digest), so
 one line or host holding a third of all rows is combined before the
 shuffle.  A host has at most ``lines per page / ratio`` boilerplate lines,
@@ -20,16 +28,26 @@ page may lose all its lines (its text is then empty) but never its row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import columns_of, cut, prepare, same, small, table
+from ledgerloom.llm.common import columns_of, cut, prepare, same, small, steady, table
+from ledgerloom.llm.components import components
 
 RATIO = 0.05
 MIN_PAGES = 4
 #: At most so many sites' line sets are broadcast (each set is bounded).
 BROADCAST_SITES = 10_000
 
+#: Near copies: minimum hashes a page, rows a band, and the part that agrees.
+MINIMA, BAND, ALIKE, SEED = 64, 4, 0.75, 42
+_CHUNK = 1 << 12
+_MIX = np.random.default_rng(SEED).integers(1, 1 << 63, size=MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
@@ -46,12 +64,74 @@ BLANK = "d41d8cd98f00b204e9800998ecf8427e"  # md5 of the empty line
 PAGE = "page"
 
 
-def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def minima(text: str) -> np.ndarray | None:
+    """The least of each mixed hash over the pairs of adjacent words; None
+    without words."""
+    from xxhash import xxh64_intdigest
+
+    words = text.encode().lower().split()
+    if not words:
+        return None
+    pairs = {b" ".join(p) for p in zip(words, words[1:])} or {words[0]}
+    h = np.array([xxh64_intdigest(p, SEED) for p in pairs], dtype=np.uint64)
+    least = np.full(MINIMA, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(h), _CHUNK):
+        x = h[at:at + _CHUNK, None] * _MIX
+        x ^= x >> np.uint64(32)  # the order follows the mixed low bits too
+        np.minimum(least, (x * _MIX).min(0), out=least)
+    return least
+
+
+def _page(site: str, text: str) -> Column:
+    return F.xxhash64(site, text)
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """``node, root``: the pages (by site and text) that are near copies of
+    another page of their site, and the one they count as."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, sigs, bands = [], [], []
+            for i, t in enumerate(b.column("text")):
+                m = minima(t.as_py()) if t.is_valid else None
+                if m is not None:
+                    at.append(i)
+                    sigs.append((m & np.uint64(255)).astype(np.uint8).tobytes())
+                    bands.append(m.reshape(-1, BAND) @ _MIX[:BAND])
+            take = pa.array(at, pa.int64())
+            bands = pa.array([x.view(np.int64) for x in bands], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("site").take(take), b.column("page").take(take), pa.array(sigs, pa.binary()), bands], ["site", "page", "sig", "bands"])
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(n).to_pylist()), np.uint8).reshape(-1, MINIMA) for n in ("x", "y"))
+            yield b.select(["u", "v"]).filter(pa.array((x == y).mean(1) >= ALIKE))
+
+    kind = docs.schema["site"].dataType.simpleString()
+    pages = docs.select("site", "text", _page("site", "text").alias("page"))
+    pages = pages.mapInArrow(steady(sketch), f"site {kind}, page long, sig binary, bands array<long>")
+    pages = cut(pages.dropDuplicates(["page"]))
+    held = pages.select("site", "page", F.posexplode("bands").alias("band", "key"))
+    held = held.select(F.xxhash64("site", "band", "key").alias("bucket"), F.col("page").alias("v"))
+    firsts = held.groupBy("bucket").agg(F.min("v").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = held.join(firsts.select("bucket", "u"), "bucket").where("u <> v").select("u", "v").distinct()
+    pairs = pairs.join(pages.select(F.col("page").alias("u"), F.col("sig").alias("x")), "u")
+    pairs = pairs.join(pages.select(F.col("page").alias("v"), F.col("sig").alias("y")), "v")
+    return components(pairs.select("u", "v", "x", "y").mapInArrow(alike, "u long, v long"))
+
+
+def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, near: bool = False) -> DataFrame:
     """``site, lines``: the digests of each site's boilerplate lines.
     ``docs`` has columns ``site`` and ``text``.  One pass over the texts
-    counts pages and lines alike; a null text has neither."""
+    counts pages and lines alike; a null text has neither.  With ``near``, near
+    copies count as one page."""
     lines = F.array_distinct(F.transform(_lines(F.col("text")), _digest))
     pages = docs.select("site", F.md5("text").alias("page"), F.array_append(lines, F.lit(PAGE)).alias("lines"))
+    if near:
+        groups = small(cut(near_copies(docs)))
+        pages = docs.select("site", _page("site", "text").alias("page"), F.array_append(lines, F.lit(PAGE)).alias("lines"))
+        pages = pages.join(groups, pages["page"] == groups["node"], "left").withColumn("page", F.coalesce("root", "page"))
     held = pages.select("site", "page", F.explode("lines").alias("line")).where(F.col("line") != BLANK).distinct()
     held = cut(held.groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= min_pages) | (F.col("line") == PAGE)))
     totals = small(cut(held.where(F.col("line") == PAGE).select(F.col("site").alias("_site"), F.col("n").alias("pages"))))
@@ -59,13 +139,13 @@ def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     return often.groupBy("site").agg(F.collect_set("line").alias("lines"))
 
 
-def drop_boilerplate(docs: DataFrame, text_col: str = "text", site: Column | str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, text_col: str = "text", site: Column | str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, near: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines of each page's site cut out of
     ``text_col``; plus ``__lines`` and ``__dropped``, the page's counts."""
     prepare(docs.sparkSession)
     site = docs[site] if isinstance(site, str) else site
     keyed = docs.withColumn("__own_site", site)
-    found = cut(boilerplate(keyed.select(F.col("__own_site").alias("site"), keyed[text_col].alias("text")), ratio, min_pages))
+    found = cut(boilerplate(keyed.select(F.col("__own_site").alias("site"), keyed[text_col].alias("text")), ratio, min_pages, near))
     found = small(found.select(F.col("site").alias("__at"), F.col("lines").alias("__often")), BROADCAST_SITES)
     out = keyed.join(found, same(F.col("__own_site"), F.col("__at")), "left")
     lines = _lines(F.col(text_col))

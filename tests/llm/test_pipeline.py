@@ -1,6 +1,7 @@
 """The corpus pipeline against a plain Python version of every stage."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -103,3 +104,25 @@ def test_stages_take_odd_rows(spark, sf_small):
         assert {r.doc_id for r in docs.collect()} <= {1, 2, 3, None}
     labels = f"{sf_small}/labels.parquet"
     assert spark.read.parquet(labels).count() > 0
+
+
+@pytest.mark.parametrize("variants, others, more", [(5, 60, 0), (40, 496, 30)])
+def test_near_copies_keep_the_lines_they_share(spark, sf_small, variants, others, more):
+    """One-word variants of a 13-line text in a small and in a hot source;
+    the footer that unlike pages share goes all the same."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    page = [" ".join(word() for _ in range(9)) for _ in range(13)]
+    footer = ["the footer of every other page", "and its second line"]
+    docs = []
+    for i in range(variants):
+        own = list(page)
+        own[i % 13] = " ".join([word()] + own[i % 13].split()[1:])
+        docs.append((i, "\n".join(own), "en", "a", 0))
+    for i in range(others):
+        own = [" ".join(word() for _ in range(9)) for _ in range(1 + i % 4)]
+        docs.append((1000 + i, "\n".join(own + footer * (i % 2)), "en", "a", 0))
+    docs += [(5000 + i, docs[0][1], "en", "a", 0) for i in range(more)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = {x.doc_id: x.text for x in corpus_pipeline._line_dedup(spark, frame, sf_small).collect()}
+    assert got == {i: "\n".join(x for x in t.split("\n") if x not in footer) for i, t, *_ in docs}
