@@ -30,8 +30,10 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def _mark(e: DataFrame):
+    """Count, sums of two 20-bit parts (longs for 2^43 edges) and parity."""
     h = F.xxhash64("u", "v")
-    return tuple(e.agg(F.count(F.lit(1)), F.sum(h.bitwiseAND(F.lit((1 << 40) - 1))), F.bit_xor(h)).first())
+    parts = [F.sum(F.shiftright(h, at).bitwiseAND(F.lit((1 << 20) - 1))) for at in (0, 20)]
+    return tuple(e.agg(F.count(F.lit(1)), *parts, F.bit_xor(h)).first())
 
 
 def components(edges: DataFrame) -> DataFrame:

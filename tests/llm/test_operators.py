@@ -521,3 +521,16 @@ def test_neighbours_of_mixed_densities(spark):
     for group in (dense, ~dense):
         of = [q for q in want if group[q]]
         assert sum(len(got[q] & {i for _, i in want[q]}) for q in of) >= 0.95 * 10 * len(of)
+
+
+# ------------------------------------------------------------- components
+def test_mark_of_many_edges(spark):
+    """More than 2^24 edges, where a sum of 40-bit hashes passes a long."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.llm.components import _mark
+
+    many = spark.range((1 << 24) + (1 << 22)).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    mark = _mark(many)
+    assert mark[0] == (1 << 24) + (1 << 22)
+    assert mark != _mark(many.withColumn("v", F.when(F.col("u") == 7, 9).otherwise(F.col("v"))))
