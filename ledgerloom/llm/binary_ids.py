@@ -27,18 +27,18 @@ files.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe
-from ledgerloom.llm.common import columns_of, partitions, prepare, range_bounds, small, steady, table
+from ledgerloom.llm import bpe, pieces
+from ledgerloom.llm.common import columns_of, hand_out, here, partitions, prepare, range_bounds, small, table
 from ledgerloom.session import ensure_checkpoint_dir
 
 BLOCK = 4096
@@ -120,52 +120,7 @@ class TokenFile:
             yield d, a, held[a - lo:a - lo + n]
 
 
-#: Letters whose lower case the normaliser leaves as it is.
-_LETTERS = re.compile(r"[a-zß-öø-įı-ſ]+")
-_TAILED = re.compile(r"([a-zß-öø-įı-ſ]+)([.,;:!?]+)")
-_BYTE = {b: c for b, c in enumerate(bpe._byte_chars())}
-
-
-class _Library(bpe.Encoder):
-    """Distinct pieces encoded by the tokenizers library itself.  Case of
-    plain Latin letters is folded first, as the tokenizer does, and
-    punctuation behind a word is encoded apart, as its word pattern cuts
-    there; so one call serves a word in all its guises.  A word of plain
-    letters goes to the library's BPE model at once, since normaliser and
-    word pattern leave it whole; anything else takes the library's full way."""
-
-    def parts(self, piece: bytes) -> list[str]:
-        text = piece.decode()
-        if "<" in text or not bpe._PLAIN.fullmatch(text):  # may hold a special token, or compose
-            return [text]
-        low = text.lower()
-        m = _TAILED.fullmatch(low)
-        return list(m.groups()) if m else [low]
-
-    def look_up(self, parts: list[str]) -> None:
-        library = self.vocabulary.library
-        model = library.model
-        rest = []
-        for p in parts:
-            if _LETTERS.fullmatch(p):
-                chars = p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE)
-                self.known[p] = np.array([t.id for t in model.tokenize(chars)], "<u4").tobytes()
-            else:
-                rest.append(p)
-        for at in range(0, len(rest), 20_000):
-            some = rest[at:at + 20_000]
-            for p, e in zip(some, library.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-
-
-_ENCODERS: dict[str, _Library] = {}
-
-
-def _encoder(path: str) -> _Library:
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = _Library(path)
-    return _ENCODERS[path]
+_Library = pieces.LibraryEncoder
 
 
 def write_ids(docs: DataFrame, out: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int | None = END_ID, file_tokens: int = FILE_TOKENS) -> None:
@@ -176,28 +131,21 @@ def write_ids(docs: DataFrame, out: str, id_col: str = "doc_id", text_col: str =
     parts = partitions(spark)
     bounds = np.array(range_bounds(d, "doc_id", parts), np.int64)
 
+    name = hand_out(spark, path)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = pieces.library_encoder(here(name))
         # Two bytes an id do on the way where they can hold them all.
-        kind = "<u2" if len(encoder.vocabulary.tokens) <= 1 << 16 else "<u4"
-        tail = b"" if end_id is None else np.array([end_id], kind).tobytes()
+        kind = "<u2" if encoder.size <= 1 << 16 else "<u4"
         for b in batches:
-            names = b.column("doc_id").to_pylist()
-            at, rows, size = 0, [], 0
-
-            def done():
-                own = names[at:at + len(rows)]
-                part = [len(bounds) if x is None else int(np.searchsorted(bounds, x, "right")) for x in own]
-                return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(own, pa.int64()), pa.array([kind] * len(own), pa.string()), pa.array(rows, pa.binary())], ["part", "doc_id", "kind", "ids"])
-
-            for ids in encoder.encode([t.as_py() for t in b.column("text")]):
-                rows.append(np.frombuffer(ids, "<u4").astype(kind).tobytes() + tail)
-                size += len(rows[-1])
-                if size > 1 << 24:
-                    yield done()
-                    at, rows, size = at + len(rows), [], 0
-            if rows:
-                yield done()
+            own = b.column("doc_id")
+            part = np.searchsorted(bounds, pc.fill_null(own, 0).to_numpy(), "right")
+            part[pc.is_null(own).to_numpy(zero_copy_only=False)] = len(bounds)
+            for at, ids, counts in encoder.batch_ids(b.column("text")):
+                ids, counts = pieces.with_end(ids, counts, end_id)
+                n = len(counts)
+                columns = [pa.array(part[at:at + n], pa.int32()), own.slice(at, n), pa.array([kind] * n, pa.string()), pieces.binary_column(ids.astype(kind), counts)]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "kind", "ids"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["part", "file", "n_docs", "n_tokens", "data"]
@@ -219,7 +167,7 @@ def write_ids(docs: DataFrame, out: str, id_col: str = "doc_id", text_col: str =
         if held:
             yield done()
 
-    rows = d.mapInArrow(steady(encode), "part int, doc_id long, kind string, ids binary")
+    rows = d.mapInArrow(pieces.released(encode), "part int, doc_id long, kind string, ids binary")
     rows = rows.repartitionById(parts, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_last(), "ids")
     rows.mapInArrow(pack, "part int, file long, n_docs long, n_tokens long, data binary").write.parquet(out)
 

@@ -18,7 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast only when its counted rows stay below this.
 BROADCAST_ROWS = 100_000
 
-_SHIPPED: set[str] = set()
+_SHIPPED: set = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -40,6 +40,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def hand_out(spark: SparkSession, path: str) -> str:
+    """Give every executor a copy of a file of the driver; returns the name
+    by which ``here`` finds it in a worker."""
+    sc = spark.sparkContext
+    if (sc.applicationId, path) not in _SHIPPED:
+        sc.addFile(path)
+        _SHIPPED.add((sc.applicationId, path))
+    return os.path.basename(path)
+
+
+def here(name: str) -> str:
+    """A worker's own copy of a file that ``hand_out`` gave it."""
+    from pyspark.files import SparkFiles
+
+    return SparkFiles.get(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import ann, binary_ids, bpe, chat, fingerprints, line_dedup, mixing, simhash, superkmer, toxicity
+from ledgerloom.llm import alignment, ann, binary_ids, bpe, chat, fingerprints, line_dedup, mixing, packing, simhash, superkmer, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.query,
     "op9_chat": chat.query,
     "op10_neighbours": ann.query,
+    "op11_alignment": alignment.query,
+    "op12_packing": packing.query,
+    "op13_whitening": whitening.query,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from ledgerloom.llm import bpe, line_dedup, toxicity
-from test_operators import mix_brute, simhash_brute, split
+from brute import mix_brute, simhash_brute, split
 
 
 def toxicity_brute(spark, docs, sf):
