@@ -101,6 +101,8 @@ TABLE_KEYS = {
     "dim_product": ["product_key"],
     "fact_credit_metrics_qtr": FACT_KEY,
 }
+# Tables cut in folders by one column.
+PARTITIONED_BY = {"fact_credit_metrics_qtr": "quarter_key"}
 TABLE_UNIQUE = {
     "dim_date_qtr": [["year", "quarter"]],
     "dim_geo": [GEO_NATURAL_KEY],

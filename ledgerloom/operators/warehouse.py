@@ -12,15 +12,16 @@ partitioned by ``quarter_key``.  Upserts are idempotent:
 Before a fact write, rows without a key, with a key its dimension lacks, or
 superseded within their batch are set apart as rejects (W9, J9).
 
-The merged result is checkpointed into the shared checkpoint folder before
-the target is overwritten, so a lost executor never re-reads a half-written
-table.
+No table is overwritten: a load writes new folders and publishes them all
+with one version file (:mod:`.snapshots`).  A load that dies before that
+leaves every table as it was, and its rerun starts from there.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from ..session import ensure_checkpoint_dir
 from .keys import get_or_create
 from .quality import dq_capture, keep_first, last_per_key, union_rejects
 from .scale import shuffle_partitions
+from .snapshots import Live, Snapshots
 
 
 def merge_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,42 +119,86 @@ def load_checks(rows: DataFrame, dims: dict[str, DataFrame], load_order: Sequenc
 
 
 class Warehouse:
-    """A folder of Parquet tables that follows the star-schema contract."""
+    """A folder of Parquet tables that follows the star-schema contract.
+
+    Each writing method publishes on its own; inside ``with wh.load():`` they
+    read what the load wrote so far, and everything is published at its end,
+    or nothing if it fails."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self.snapshots = Snapshots(spark, root)
+        self._open: dict[str, Live] | None = None
+        self._after = 0
+
+    @contextmanager
+    def load(self) -> Iterator[Warehouse]:
+        """One load: all of its tables are switched at once."""
+        if self._open is not None:  # part of the load around it
+            yield self
+            return
+        self._after = self.snapshots.number()
+        found = self.snapshots.tables(self._after)
+        self._open = {t: dict(live) for t, live in found.items()}
+        try:
+            yield self
+            if self._open != found:
+                self.snapshots.publish(self._after, self._open)
+        finally:
+            self._open = None
+
+    def _live(self, table: str) -> Live | None:
+        return (self.snapshots.tables() if self._open is None else self._open).get(table)
 
     def path(self, table: str) -> str:
+        """Where a table's generations lie."""
         return os.path.join(self.root, table)
 
     def exists(self, table: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return fs.exists(p)
+        return self._live(table) is not None or self.snapshots.exists(table)
 
     def read(self, table: str) -> DataFrame:
-        """Read a table against its contract (missing columns → NULL)."""
+        """Read a table against its contract (missing columns → NULL).
+        A table that no version names is read from its plain folder."""
         schema = C.TABLE_SCHEMAS[table]
-        if not self.exists(table):
-            return self.spark.createDataFrame([], schema)
-        # The contract schema, not inference: an empty partitioned table has
-        # no data files, and columns missing from older files read as NULL.
-        return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.fieldNames())
+        live = self._live(table)
+        reader, names = self.spark.read.schema(schema), schema.fieldNames()
+        if live is None and self.snapshots.exists(table):
+            return reader.parquet(self.path(table)).select(*names)
+        # The contract schema, not inference: columns missing from older
+        # files read as NULL.
+        out = None
+        for base, paths in self.snapshots.paths(live or {}).items():
+            one = reader.option("basePath", base).parquet(*paths).select(*names)
+            out = one if out is None else out.unionByName(one)
+        return self.spark.createDataFrame([], schema) if out is None else out
 
     def create_tables_if_missing(self) -> None:
         """An empty, typed table for every contract table not present."""
-        for name, schema in C.TABLE_SCHEMAS.items():
-            if not self.exists(name):
-                self._write(self.spark.createDataFrame([], schema), name, static=True)
+        with self.load():
+            for name, schema in C.TABLE_SCHEMAS.items():
+                if not self.exists(name):
+                    self._write(self.spark.createDataFrame([], schema), name, static=True)
 
     def _write(self, df: DataFrame, table: str, static: bool = False) -> None:
-        w = df.write.mode("overwrite")
-        if table == "fact_credit_metrics_qtr":
-            w = w.partitionBy("quarter_key")
-        w = w.option("partitionOverwriteMode", "static" if static else "dynamic")
-        w.parquet(self.path(table))
+        """Write the rows to a new generation, which replaces the table
+        (``static``) or the partitions it holds.  Rows may be read from the
+        table itself: its files stay."""
+        generation = self.snapshots.new_generation(table)
+        where = os.path.join(self.root, generation)
+        with self.load():
+            if table in C.PARTITIONED_BY:
+                df.write.partitionBy(C.PARTITIONED_BY[table]).parquet(where)
+                live = {part: generation for part in self.snapshots.partitions(generation)}
+                self._open[table] = live if static else (self._open.get(table) or self._legacy(table)) | live
+            else:
+                df.write.parquet(where)
+                self._open[table] = {"": generation}
+
+    def _legacy(self, table: str) -> Live:
+        """The partitions of a plain folder that no version names yet."""
+        return {part: table for part in self.snapshots.partitions(table)}
 
     def _materialize(self, df: DataFrame) -> DataFrame:
         ensure_checkpoint_dir(self.spark)
@@ -185,7 +231,7 @@ class Warehouse:
         dim, new = get_or_create(self.read(table), incoming, natural, key)
         new = self._materialize(new)
         if not new.isEmpty():
-            new.write.mode("append").parquet(self.path(table))
+            self._write(self.read(table).unionByName(new.select(*C.TABLE_SCHEMAS[table].fieldNames())), table, static=True)
         return self.read(table)
 
     def _loadable(self, rows: DataFrame, load_order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -204,10 +250,10 @@ class Warehouse:
         touched quarter partitions are rewritten.  Of rows that share a key
         the last in ``load_order`` wins.  Returns the rejected rows."""
         good, rejects = self._loadable(rows, load_order)
-        # Only the touched partitions are rewritten (dynamic overwrite).
+        # Only the touched partitions get a new generation.
         out = fact_partition_merge(self.read("fact_credit_metrics_qtr"), good)
         out = out.repartitionByRange(shuffle_partitions(self.spark), *C.FACT_KEY)
-        self._write(self._materialize(out), "fact_credit_metrics_qtr")
+        self._write(out, "fact_credit_metrics_qtr")
         return rejects
 
     def recreate_fact(self, rows: DataFrame, load_order: Sequence[str] = ()) -> DataFrame:
@@ -257,25 +303,54 @@ def schema_diff(actual: T.StructType, contract: T.StructType) -> list[tuple[str,
 
 
 def register_tables(spark: SparkSession, root: str, database: str | None = None) -> list[str]:
-    """``CREATE TABLE IF NOT EXISTS … USING parquet`` over the warehouse
-    folders (the fact ``PARTITIONED BY (quarter_key)``), so the star can be
-    queried with plain SQL.  Returns the qualified table names."""
-    names = []
+    """``CREATE TABLE IF NOT EXISTS … USING parquet`` over the published
+    folders (the fact ``PARTITIONED BY (quarter_key)``, each partition at its
+    own location), so the star can be queried with plain SQL.  Tables that are
+    there already are switched to the published version: ``ALTER TABLE … SET
+    LOCATION``, and for the fact only the partitions that moved.  Returns the
+    qualified table names."""
+    names, wh = [], Warehouse(spark, root)
+    found = wh.snapshots.tables()
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name, schema in C.TABLE_SCHEMAS.items():
         cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in schema.fields)
-        part = " PARTITIONED BY (quarter_key)" if name == "fact_credit_metrics_qtr" else ""
+        key = C.PARTITIONED_BY.get(name)
+        part = f" PARTITIONED BY ({key})" if key else ""
         qn = f"`{database}`.`{name}`" if database else f"`{name}`"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {qn} ({cols}) USING parquet{part} "
-                  f"LOCATION '{os.path.join(root, name)}'")
-        if part:
-            # Pick up quarter partitions already on disk.
+        live = found.get(name)
+        place = os.path.join(root, live[""]) if live and not key else wh.path(name)
+        known = spark.catalog.tableExists(qn)
+        if not known:
+            spark.sql(f"CREATE TABLE {qn} ({cols}) USING parquet{part} LOCATION '{place}'")
+        elif not key:
+            spark.sql(f"ALTER TABLE {qn} SET LOCATION '{place}'")
+        if key and live is None:
+            # A plain folder: pick up the partitions on disk.
             spark.sql(f"MSCK REPAIR TABLE {qn}")
+        elif key:
+            _switch_partitions(spark, qn, {p: os.path.join(root, g, p) for p, g in live.items()})
+        spark.catalog.refreshTable(qn)
         names.append(qn)
     return names
 
 
+def _switch_partitions(spark: SparkSession, table: str, wanted: dict[str, str]) -> None:
+    """Make a catalog table's partitions those of ``wanted`` (folder name →
+    location); a SET LOCATION to the same folder changes nothing."""
+    have = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    for part in have:
+        spec = "=".join(f"'{x}'" if k else f"`{x}`" for k, x in enumerate(part.split("=", 1)))
+        if part not in wanted:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        else:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{wanted[part]}'")
+    new = [p for p in sorted(wanted) if p not in set(have)]
+    for at in range(0, len(new), 100):
+        specs = " ".join("PARTITION (`{}`='{}') LOCATION '{}'".format(*p.split("=", 1), wanted[p]) for p in new[at:at + 100])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
 def heal_table(spark: SparkSession, table: str, contract: T.StructType) -> list[tuple[str, str]]:
     """W8 on a catalog table: add the contract columns it lacks (``ALTER
     TABLE … ADD COLUMNS``); returns what was found before healing.  Legacy

@@ -498,6 +498,41 @@ def fact_recreate(spark, d):
     return wh.read("fact_credit_metrics_qtr")
 
 
+class _Killed(Exception):
+    """Stands for a driver that is lost in the middle of a load."""
+
+
+@query("load_interrupted", O.with_(O.FACT, _INCOMING_SQL) + """
+SELECT 'killed' AS load, * FROM existing
+UNION ALL SELECT 'rerun', * FROM existing e WHERE NOT EXISTS (
+  SELECT 1 FROM incoming i WHERE i.quarter_key = e.quarter_key AND i.geo_key = e.geo_key AND i.product_key = e.product_key)
+UNION ALL SELECT 'rerun', * FROM incoming""")
+def load_interrupted(spark, d):
+    """W3 / W4 / K5 with an atomic switch: a load is lost after it wrote all
+    of its tables and before it published them (``killed``: what readers see
+    then), and run again (``rerun``)."""
+    tables = star.star_tables(spark, d)
+    fact = tables.pop("fact_credit_metrics_qtr").checkpoint(eager=True)
+    wh = warehouse.Warehouse(spark, scratch_path(spark, f"interrupted-{uuid.uuid4().hex}"))
+
+    def load(rows: DataFrame, killed: bool = False) -> DataFrame:
+        with wh.load():
+            for name, frame in tables.items():
+                wh._write(frame, name, static=True)
+            wh.upsert_fact(rows)
+            if killed:
+                raise _Killed
+        return wh.read("fact_credit_metrics_qtr")
+
+    load(fact.where(_split(fact)[0]))
+    try:
+        load(_restated(fact), killed=True)
+    except _Killed:
+        before = wh.read("fact_credit_metrics_qtr")
+    after = load(_restated(fact))
+    return before.select(F.lit("killed").alias("load"), "*").unionByName(after.select(F.lit("rerun").alias("load"), "*"))
+
+
 _LINE_FACT_SQL = f"""lines AS (
   SELECT {O.qkey('l_shipdate')} AS quarter_key, CAST(l_suppkey AS INTEGER) AS geo_key, CAST(1 AS INTEGER) AS product_key,
          CAST(l_quantity AS BIGINT) AS originations_cnt, CAST(l_extendedprice AS DECIMAL(18,2)) AS origination_amt,
@@ -727,3 +762,22 @@ SELECT year, CAST(SUM(c) AS BIGINT) AS cnt, CAST(SUM(o) AS DECIMAL(38,2)) AS amt
 FROM calendar GROUP BY 1""")
 def yearly(spark, d):
     return marts.yearly(star.fact_measures(spark, d), star.date_dim(spark, d))
+
+
+@query("trend_sql", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM, O.FACT) + _PER_QUARTER_SQL + """
+SELECT year, quarter, CAST(SUM(o) AS DECIMAL(38,2)) AS orig_amt_usd, CAST(SUM(b) AS DECIMAL(38,2)) AS balance_usd,
+       CAST(SUM(ds) AS DOUBLE) / SUM(dn) AS default_rate
+FROM calendar WHERE year BETWEEN (SELECT max(year) - 1 FROM date_dim) AND (SELECT max(year) FROM date_dim)
+GROUP BY 1, 2 ORDER BY 1, 2""")
+def trend_sql(spark, d):
+    """W1 + W10: the star is loaded into a warehouse folder, registered in the
+    catalog, and asked in SQL for its last two years; the year is a filter on
+    the date dimension."""
+    wh = warehouse.Warehouse(spark, scratch_path(spark, f"mart-{uuid.uuid4().hex}"))
+    with wh.load():
+        for name, frame in star.star_tables(spark, d).items():
+            wh._write(frame, name, static=True)
+    db = f"mart_{uuid.uuid4().hex}"
+    warehouse.register_tables(spark, wh.root, db)
+    last = f"(SELECT MAX(year) FROM `{db}`.dim_date_qtr)"
+    return marts.sql_query(spark, marts.TREND_YEARS_SQL, db, first=f"{last} - 1", last=last)

@@ -71,6 +71,18 @@ SELECT year, CAST(SUM(c) AS BIGINT) AS cnt, CAST(SUM(o) AS DECIMAL(38,2)) AS amt
 FROM per NATURAL JOIN {db}dim_date_qtr
 GROUP BY ALL"""
 
+# W10 over a span of years.  The year is a filter on the date dimension; the
+# fact's partitions are pruned by the quarters it leaves (dynamic pruning).
+TREND_YEARS_SQL = """
+WITH per AS (
+  SELECT quarter_key, SUM(origination_amt) AS o, SUM(balance_amt) AS b, SUM(default_rate) AS s, COUNT(default_rate) AS n
+  FROM {db}fact_credit_metrics_qtr GROUP BY quarter_key)
+SELECT year, quarter, CAST(SUM(o) AS DECIMAL(38,2)) AS orig_amt_usd, CAST(SUM(b) AS DECIMAL(38,2)) AS balance_usd,
+       try_divide(CAST(SUM(s) AS DOUBLE), SUM(n)) AS default_rate
+FROM per NATURAL JOIN {db}dim_date_qtr
+WHERE year BETWEEN {first} AND {last}
+GROUP BY ALL ORDER BY 1, 2"""
+
 COUNTS_SQL = """
 SELECT 'dim_date_qtr' AS table_name, COUNT(*) AS cnt FROM {db}dim_date_qtr
 UNION ALL SELECT 'dim_geo', COUNT(*) FROM {db}dim_geo
@@ -78,6 +90,6 @@ UNION ALL SELECT 'dim_product', COUNT(*) FROM {db}dim_product
 UNION ALL SELECT 'fact_credit_metrics_qtr', COUNT(*) FROM {db}fact_credit_metrics_qtr"""
 
 
-def sql_query(spark, template: str, database: str | None = None):
+def sql_query(spark, template: str, database: str | None = None, **values):
     """Run one of the star queries through ``spark.sql``."""
-    return spark.sql(template.format(db=f"`{database}`." if database else ""))
+    return spark.sql(template.format(db=f"`{database}`." if database else "", **values))

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 
+from ledgerloom.operators.warehouse import Warehouse
 from ledgerloom.plans import marts, pipeline
 from conftest import rows
 from fixtures import bal_csv, lending_xml, orig_csv, series_csv
@@ -42,10 +43,10 @@ def test_end_to_end_load(spark, tmp):
     assert os.path.isdir(tmp + "/rep/rejects") and os.path.isdir(tmp + "/rep/coverage")
     fan = {r.label: r.fanout_warn for r in res.fanout.collect()}
     assert fan == {"default_q": False, "prime": False, "lending": False}
-    first = rows(spark.read.parquet(tmp + "/wh/fact_credit_metrics_qtr"))
+    first = rows(Warehouse(spark, tmp + "/wh").read("fact_credit_metrics_qtr"))
     # idempotent: a second run leaves the same tables
     pipeline.run(spark, src, tmp + "/wh")
-    assert rows(spark.read.parquet(tmp + "/wh/fact_credit_metrics_qtr")) == first
+    assert rows(Warehouse(spark, tmp + "/wh").read("fact_credit_metrics_qtr")) == first
     assert dict((r.table_name, r.cnt) for r in res.counts.collect())["dim_geo"] == 1
 
 
@@ -73,7 +74,6 @@ def test_golden_totals_on_source_files(spark, tmp):
         2012, 2025, 20123, 20251, 51)
     counts = dict((r.table_name, r.cnt) for r in res.counts.collect())
     assert counts == {"dim_date_qtr": 51, "dim_geo": 1, "dim_product": 1, "fact_credit_metrics_qtr": 51}
-    from ledgerloom.operators.warehouse import Warehouse
     wh = Warehouse(spark, tmp + "/wh")
     fact, dd = wh.read("fact_credit_metrics_qtr"), wh.read("dim_date_qtr")
     yearly = {r.year: (r.cnt, r.amt) for r in marts.yearly(fact, dd).collect()}
