@@ -43,9 +43,9 @@ from ledgerloom.llm import pieces
 from ledgerloom.llm.common import columns_of, cut, hand_out, here, prepare, small, table
 from ledgerloom.session import ensure_checkpoint_dir
 
-BLOCK = 8 << 20
-#: Stretches of text handed to a tokenizer in one line.
-TOGETHER = 128
+BLOCK = 4 << 20
+#: Stretches of text handed to a tokenizer in one line, and lines at a time.
+TOGETHER, LINES = 128, 64
 
 _DOC = "doc_id: array<bigint>, n_a: array<bigint>, n_b: array<bigint>, n_groups: array<bigint>, n_links: array<bigint>, groups_sha256: array<string>"
 _BLOCK = f"block bigint, key array<bigint>, n array<bigint>, docs struct<{_DOC}>, links binary"
@@ -132,8 +132,8 @@ def encoded(parts: pa.Array, encode, tokens: pa.Array) -> tuple[np.ndarray, np.n
     # Lines of whole stretches; what ends in white space ends its line.
     last = np.flatnonzero(~shut | (np.arange(1, len(parts) + 1) % TOGETHER == 0) | (np.arange(1, len(parts) + 1) == len(parts)))
     cuts = np.concatenate([[0], ends[last]])
-    made = encode([raw[x:y].decode() for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())])
-    ids = np.concatenate([np.zeros(0, np.int64), *made])
+    lines = [raw[x:y].decode() for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+    ids = np.concatenate([np.zeros(0, np.int64), *(x for k in range(0, len(lines), LINES) for x in encode(lines[k:k + LINES]))])
     told = tokens.take(pa.array(ids))
     stops = np.cumsum(pc.binary_length(told).to_numpy().astype(np.int64))
     wrong = np.zeros(len(parts), bool)
@@ -257,8 +257,13 @@ def _block(aligner: Aligner, ids: pa.Array, texts: pa.Array) -> tuple[pa.StructA
     held = np.unique(np.repeat(np.arange(n), words_of) * len(made.pairs) + words)
     doc, word = held // len(made.pairs), held % len(made.pairs)
     many = made.pairs[word]
-    at = np.repeat((np.cumsum(made.pairs) - made.pairs)[word] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-    once = np.unique(np.repeat(doc, many) * len(made.key) + made.pair[at])
+    at = np.repeat((np.cumsum(made.pairs) - made.pairs)[word] - (np.cumsum(many) - many), many)
+    at += np.arange(len(at))
+    at = made.pair[at]
+    at += np.repeat(doc * len(made.key), many)
+    at.sort()
+    once = at[np.flatnonzero(np.diff(at, prepend=-1))]
+    del at
     holders = np.bincount(once % len(made.key), minlength=len(made.key))
     used = np.flatnonzero(holders)  # pairs of texts without tokens are none
     renamed = np.cumsum(holders > 0) - 1

@@ -9,7 +9,7 @@ texts by numpy, never word by word.
 
 A worker holds one group of texts, and remembers words as two flat columns
 bounded in words and in bytes (the longest unused go first).  Ids never depend
-on what is remembered.  Arrow's spare memory goes back when a task ends.
+on what is remembered.  Free memory goes back when a task ends.
 """
 
 from __future__ import annotations
@@ -190,15 +190,27 @@ def binary_column(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(numbers))])
 
 
+def give_back() -> None:
+    """Return the process's free memory, Arrow's and the allocator's, to the
+    system: a worker waits for its next task with what it holds."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def released(run):
-    """A worker function over batches that gives Arrow's spare memory back
-    when its task ends."""
+    """A worker function over batches that gives its free memory back when
+    its task ends."""
 
     def wrapped(batches):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return wrapped
 
