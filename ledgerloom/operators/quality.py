@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import MEASURES, NON_NEGATIVE, REJECT_DEFAULT_COLUMNS
 from ..functions.money import out_of_contract
+from ..session import ensure_checkpoint_dir
 from .scale import spread_copies
 
 
@@ -28,13 +29,14 @@ def dq_capture(df: DataFrame, condition: Column, reason: str, keep_cols: Sequenc
     return df.where(F.coalesce(condition, F.lit(False))).select(*keep_cols, F.lit(reason).alias("dq_reason"))
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence, count_as: str | None = None) -> DataFrame:
     """W-2 / W-3: one row per key, the first in ``order_by`` (ascending,
     NULLs first); remaining columns break ties, so the pick is deterministic.
 
     Implemented as ``min(struct(order…, rest…))`` per key: the aggregate runs
     partially on the map side, so a key holding a large share of all rows
-    collapses to one row per task before the shuffle.
+    collapses to one row per task before the shuffle.  ``count_as`` adds the
+    number of rows of the key.
     """
     keys = list(keys)
     order = _order_exprs(order_by)
@@ -43,8 +45,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFr
     named = [c for c in order_by if isinstance(c, str) and c in rest]
     fields = [F.col(o) if o in named else e.alias(f"_o{i}") for i, (o, e) in enumerate(zip(order_by, order))]
     fields += [F.col(c) for c in rest if c not in named]
-    first = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
-    return first.select(*keys, *[F.col("_first").getField(c).alias(c) for c in rest]).select(*df.columns)
+    counts = [F.count(F.lit(1)).alias(count_as)] if count_as else []
+    first = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"), *counts)
+    out = [*df.columns, *([count_as] if count_as else [])]
+    return first.select("*", *[F.col("_first").getField(c).alias(c) for c in rest]).select(*out)
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], load_order: Sequence[str], reason: str) -> tuple[DataFrame, DataFrame]:
@@ -86,6 +90,20 @@ def ensure_unique(df: DataFrame, keys: Sequence[str], order_by: Sequence, name:
     return clean, rejects
 
 
+def copies_as_rejects(counted: DataFrame, count: Column | str, cols: Sequence[str], reason: str) -> DataFrame:
+    """Q2 rejects from counts: ``count`` copies of each row's ``cols``."""
+    n = F.col(count) if isinstance(count, str) else count
+    return spread_copies(counted.select(*cols, n.alias("_extra")).where("_extra > 0"), "_extra").withColumn("dq_reason", F.lit(reason))
+
+
+def ensure_unique_once(df: DataFrame, keys: Sequence[str], order_by: Sequence, name: str) -> tuple[DataFrame, DataFrame]:
+    """Q2 as :func:`ensure_unique`, with ``df`` read once: first rows and
+    counts come from one materialised aggregate (a row a key)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    counted = keep_first(df, keys, order_by, count_as="_rows").checkpoint(eager=True)
+    return counted.drop("_rows"), copies_as_rejects(counted, F.col("_rows") - 1, list(keys), f"{name}_duplicate_keys")
+
+
 def range_gate(df: DataFrame, col: str, lo: float = 0.0, hi: float = 1.0,
                reason: str | None = None, keep_cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Q3: values outside ``[lo, hi]`` are rejected, then set to NULL.

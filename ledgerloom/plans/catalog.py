@@ -781,3 +781,6 @@ def trend_sql(spark, d):
     warehouse.register_tables(spark, wh.root, db)
     last = f"(SELECT MAX(year) FROM `{db}`.dim_date_qtr)"
     return marts.sql_query(spark, marts.TREND_YEARS_SQL, db, first=f"{last} - 1", last=last)
+
+
+from . import load_queries  # noqa: E402, F401  (registers the queries of the load's files)

@@ -5,8 +5,12 @@ fan-out checks → range / non-negative gates → forward fill within the year
 → final grain dedupe → reports → (unless dry run) star-schema load →
 table counts → optional yearly query.
 
-Steps up to the reports are one lazy plan.  The gated base is checkpointed
-once (reports, the date dimension and the fact all read it).
+Every source is read in one aggregate, written once with a row per key: its
+first rows, its rejects and its row count (R1) come from there, so neither the
+reports nor the rejects go back to the files.  (Counts of ``DataFrame.observe``
+would be as cheap, but a task repeated after a lost executor adds to them
+twice.)  The gated base is checkpointed once: the reports R2–R5, the fan-out
+checks, the date dimension and the fact all read it.
 """
 
 from __future__ import annotations
@@ -88,18 +92,16 @@ def build_base(spark: SparkSession, src: Sources):
     lendy = records.lending_yearly(recs, src.lending_country, keep_position=True) if recs is not None else None
 
     rejects = []
-    orig, r = csv_files.split_too_long(orig); rejects.append(r)
-    bal, r = csv_files.split_too_long(bal); rejects.append(r)
     # One row per quarter, whatever its layout: the first of the file.
-    orig_u, r = _first_per_quarter(orig, "orig"); rejects.append(r)
-    bal_u, r = _first_per_quarter(bal, "bal"); rejects.append(r)
+    orig_u, r, orig = _first_per_quarter(orig, "orig"); rejects += r
+    bal_u, r, bal = _first_per_quarter(bal, "bal"); rejects += r
     bal_u = bal_u.drop(csv_files.LINE)
     if prime is not None:
-        prime, r = quality.ensure_unique(prime, ["quarter_key"], ["year"], "prime"); rejects.append(r)
+        prime, r = quality.ensure_unique_once(prime, ["quarter_key"], ["year"], "prime"); rejects.append(r)
     if dfltq is not None:
-        dfltq, r = quality.ensure_unique(dfltq, ["year", "quarter_num"], ["default_rate"], "dfltq"); rejects.append(r)
+        dfltq, r = quality.ensure_unique_once(dfltq, ["year", "quarter_num"], ["default_rate"], "dfltq"); rejects.append(r)
     if lendy is not None:
-        lendy, r = quality.ensure_unique(lendy, ["year"], [records.POSITION], "lendy"); rejects.append(r)
+        lendy, r = quality.ensure_unique_once(lendy, ["year"], [records.POSITION], "lendy"); rejects.append(r)
         lendy = lendy.drop(records.POSITION)
 
     joined = enrich.join_balances(orig_u, bal_u)
@@ -125,11 +127,24 @@ def build_base(spark: SparkSession, src: Sources):
     return base, quality.union_rejects(*rejects), fanout, sources, joined
 
 
-def _first_per_quarter(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Q2 on the normalised quarter; rows without one (footers) go."""
-    token = rows.withColumn("_token", normalize_quarter("quarter")).where(F.col("_token").isNotNull())
-    kept, rejects = quality.ensure_unique(token, ["_token"], [csv_files.LINE], name)
-    return kept.drop("_token"), rejects.withColumnRenamed("_token", "quarter")
+#: Rows behind each row of a counted source.
+ROWS = "_rows"
+
+
+def _first_per_quarter(rows: DataFrame, name: str) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+    """Q2 on the normalised quarter; rows without one (footers) go, and rows
+    with surplus fields (their values may be shifted) are rejected as they
+    stand.  One pass: ``(first rows, rejects, the counted rows for R1)``."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    token = normalize_quarter("quarter")
+    surplus = F.coalesce(F.col(csv_files.SURPLUS), F.lit(False)) & token.isNotNull() if csv_files.SURPLUS in rows.columns else F.lit(False)
+    keyed = rows.withColumns({"_token": token, "_long": F.when(surplus, F.col("quarter"))}).drop(csv_files.SURPLUS)
+    counted = quality.keep_first(keyed, ["_token", "_long"], [csv_files.LINE], count_as=ROWS).checkpoint(eager=True)
+    good = counted.where("_long IS NULL")
+    named = good.where("_token IS NOT NULL")
+    rejects = [quality.copies_as_rejects(counted.where("_long IS NOT NULL").withColumn("quarter", F.col("_long")), ROWS, ["quarter"], "row_too_long"),
+               quality.copies_as_rejects(named.withColumn("quarter", F.col("_token")), F.col(ROWS) - 1, ["quarter"], f"{name}_duplicate_keys")]
+    return named.drop("_token", "_long", ROWS), rejects, good
 
 
 def fact_from_base(base: DataFrame, geo_key: DataFrame, product_key: DataFrame) -> DataFrame:
@@ -153,7 +168,7 @@ def run(spark: SparkSession, src: Sources, warehouse_root: str, report_dir: str
     rejects = quality.union_rejects(rejects, gate_rejects, load_rejects)
     # Several actions read the gated base: materialise it once.
     base = base.checkpoint(eager=True)
-    reps = reports.run_report(base, sources)
+    reps = reports.run_report(base, sources, ROWS)
     # What the gates and the dedupe found, which is gone behind them.
     reps["violations_before_gates"] = reports.violations(before)
     reps["dupes_before_dedupe"] = reports.dup_keys(joined)

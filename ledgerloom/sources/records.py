@@ -7,13 +7,15 @@ duplicate name wins via ``spark.sql.mapKeyDedupPolicy=LAST_WIN``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import DEFAULT_LENDING_COUNTRY, KV_RECORD_XML
 from ..functions.money import parse_number
 from ..functions.text import first_non_empty, lookup, text_to_int_truncating
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 CORRUPT = "_corrupt_record"
 #: A record's place among the records read.
@@ -47,14 +49,15 @@ def read_xml_records(spark: SparkSession, path: str) -> DataFrame | None:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return None
         raise
-    # Parse once: the records are read twice below (bad-file check, data),
-    # and Spark refuses a query on the raw file that only reads the
-    # corrupt-record column.
-    ensure_checkpoint_dir(spark)
-    raw = raw.checkpoint(eager=True)
-    bad_files = raw.where(F.col(CORRUPT).isNotNull()).select("_file").distinct()
-    good = raw.join(bad_files, "_file", "left_anti")
-    return good.select(POSITION, fields_to_map(F.col("field")).alias("kv"))
+    # The files are parsed once: their records go to the shared folder as maps,
+    # with a mark where a file is malformed.  A file's validity is known only
+    # when all of it was read; it is then one small aggregate by file over the
+    # marks (Parquet statistics skip whole row groups without one).
+    staged = scratch_path(spark, f"records-{uuid.uuid4().hex}")
+    raw.select("_file", POSITION, F.col(CORRUPT).isNotNull().alias("_bad"), fields_to_map(F.col("field")).alias("kv")).write.parquet(staged)
+    parsed = spark.read.schema(f"_file string, {POSITION} bigint, _bad boolean, kv map<string,string>").parquet(staged)
+    bad_files = parsed.where("_bad").groupBy("_file").agg(F.count(F.lit(1)).alias("faults"))
+    return parsed.join(bad_files, "_file", "left_anti").select(POSITION, "kv")
 
 
 def lending_yearly(records: DataFrame, country: str = DEFAULT_LENDING_COUNTRY, kv: str = "kv",

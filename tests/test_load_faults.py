@@ -4,6 +4,7 @@ from decimal import Decimal
 
 from ledgerloom.functions.quarter import normalize_quarter
 from ledgerloom.operators import quality
+from ledgerloom.operators.warehouse import Warehouse
 from ledgerloom.plans import pipeline
 from ledgerloom.sources import csv_files
 from conftest import rows
@@ -57,7 +58,7 @@ def test_values_beyond_the_load_types_are_rejected(spark, tmp):
     res = pipeline.run(spark, pipeline.Sources(originations=orig, lending_records=lend), tmp + "/wh")
     found = sorted((r.quarter_key, r.dq_reason) for r in res.rejects.collect())
     assert found == [(20123, "lending_rate_out_of_contract"), (20123, "origination_amt_out_of_contract"), (20124, "lending_rate_out_of_contract")]
-    got = {r.quarter_key: r for r in spark.read.parquet(tmp + "/wh/fact_credit_metrics_qtr").collect()}
+    got = {r.quarter_key: r for r in Warehouse(spark, tmp + "/wh").read("fact_credit_metrics_qtr").collect()}
     assert got[20123].origination_amt is None and got[20124].origination_amt == Decimal("1000000000.00")
 
 
@@ -94,6 +95,6 @@ def test_look_alike_of_the_full_source_files(spark, tmp):
     assert dict((r.source, r.rows) for r in res.reports["sources"].collect())["orig_rows"] == 54
     cov = res.reports["coverage"].first()
     assert (cov.min_quarter_key, cov.max_quarter_key, cov.rows_after_merge) == (20123, 20251, 51)
-    fact = spark.read.parquet(tmp + "/wh/fact_credit_metrics_qtr").selectExpr("sum(originations_cnt) c", "sum(origination_amt) o", "sum(balance_amt) b").first()
+    fact = Warehouse(spark, tmp + "/wh").read("fact_credit_metrics_qtr").selectExpr("sum(originations_cnt) c", "sum(origination_amt) o", "sum(balance_amt) b").first()
     n = sum(range(51))
     assert (fact.c, fact.o, fact.b) == (51 * 10_500_000 + n * 1_000_000, Decimal(51 * 50.25 + n) * 10**9, Decimal("600.10") * 51 * 10**9 + n * 10**9)

@@ -109,3 +109,25 @@ def test_command_line(tmp, capsys, spark):
     main(["--orig", src.originations, "--bal", src.balances, "--warehouse", tmp + "/wh", "--validate", "--perfcheck"])
     out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["counts"]["fact_credit_metrics_qtr"] == 4 and out["rows_ready"] == 4
+
+
+def test_every_source_is_scanned_once(spark, tmp):
+    """The load and all of its reports and rejects read each CSV source in
+    one pass (a series is also read to choose its columns)."""
+    src = _sources(tmp)
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    pipeline.run(spark, src, tmp + "/wh", report_dir=tmp + "/rep", validate=True)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = store.executionsList(int(before), 10_000)
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+
+    def scans(path):
+        # An adaptive plan is described twice, as planned and as run.
+        held = [sum("InMemoryFileIndex" in line and path in line for line in plan.splitlines()) for plan in plans]
+        assert max(held) <= 2
+        return sum(n > 0 for n in held)
+
+    assert scans("/src/orig.csv") == 1 and scans("/src/bal.csv") == 1
+    # A series: its header line (read on its own), its columns, its values.
+    assert scans("/src/prime.csv") <= 4 and scans("/src/delinquency.csv") <= 4 and scans("/src/lend/wb.xml") == 1

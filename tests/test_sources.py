@@ -93,3 +93,36 @@ def test_series_discovery_one_pass(spark):
     assert wider == narrow <= 2
     empty = spark.createDataFrame([], "a string, b string")
     assert series.series_from_frame(empty).count() == 0
+
+
+def test_headers_of_a_folder_are_read_by_executors(spark, tmp, monkeypatch):
+    """Three layouts, a blank and an empty file; each line by its own header."""
+    from fixtures import write
+
+    write(tmp + "/in/a b.csv", "YRQTR,New Originations ($Billions),Number of New Accounts (Millions)\n2012Q3,$1.00,2\n2012Q4,$3.00\n")
+    write(tmp + "/in/b.csv", "\ufeffSource: x\n\nNumber of New Accounts (Millions),QUARTER,New Originations ($Billions)\n4,2013Q1,$5.00\n6,2013Q2,$7.00,8\nSource: x\n")
+    write(tmp + "/in/c.csv", "Note,YRQTR,New Originations ($Billions),Number of New Accounts (Millions)\n\"a, \"\"b\"\"\",2013Q3,\"$1,000.00\",9\n")
+    write(tmp + "/in/d.csv", "\n  \n")
+    write(tmp + "/in/e.csv", "")
+    write(tmp + "/in/_hidden.csv", "x\n")
+    files = csv_files.data_files(spark, tmp + "/in")
+    assert [f.rsplit("/", 1)[1] for f in files] == ["a b.csv", "b.csv", "c.csv", "d.csv"]
+    heads = {r.name: (r.preamble, r.header) for r in csv_files.file_heads(spark, files).collect()}
+    assert heads["b.csv"] == ("\ufeffSource: x", "Number of New Accounts (Millions),QUARTER,New Originations ($Billions)")
+    assert heads["a b.csv"][0] is None and set(heads) == {"a b.csv", "b.csv", "c.csv"}
+    for broadcast in (10_000, 0):
+        monkeypatch.setattr(csv_files, "BROADCAST_FILES", broadcast)
+        kept, long = csv_files.split_too_long(csv_files.extract_origination(spark, tmp + "/in"))
+        got = rows(kept.where("origination_amt IS NOT NULL"), "quarter", "origination_amt", "originations_cnt")
+        assert got == [("2012Q3", 1e9, 2000000), ("2012Q4", 3e9, None), ("2013Q1", 5e9, 4000000), ("2013Q3", 1000e9, 9000000)]
+        assert rows(long) == [("2013Q2", "row_too_long")]
+    blank = write(tmp + "/blank.csv", "\n \n")
+    assert csv_files.read_fed_csv(spark, blank) is None
+
+
+def test_a_misnested_file_is_dropped_and_parsed_once(spark, tmp):
+    from fixtures import write
+
+    lending_xml(tmp + "/x/good.xml", [[("Country", "A"), ("Year", "2001"), ("Value", "1")]] * 3)
+    write(tmp + "/x/bad.xml", '<Root><record><field name="Country">A</field></record><record><field name="Year">2001</record></field></Root>')
+    assert rows(records.lending_yearly(records.read_xml_records(spark, tmp + "/x"), "A")) == [(2001, 1.0)] * 3
