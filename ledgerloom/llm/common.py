@@ -18,13 +18,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast only when its counted rows stay below this.
 BROADCAST_ROWS = 100_000
 
+#: Spark's own 10,000 whole documents are some 30 MB, in the executor and again
+#: in each Python worker.
+ARROW_ROWS, _ARROW_ROWS = 2_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _SHIPPED: set = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Make the checkpoint folder known and the package importable in
-    Python workers (as ``--py-files`` would), once per application."""
+    Python workers (as ``--py-files`` would), once per application; and let
+    Arrow batches hold ``ARROW_ROWS`` rows where the session names no number."""
     ensure_checkpoint_dir(spark)
+    if spark.conf.get(_ARROW_ROWS, None) is None:
+        spark.conf.set(_ARROW_ROWS, str(ARROW_ROWS))
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

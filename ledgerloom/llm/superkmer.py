@@ -10,11 +10,12 @@ What need not travel stays: a minimiser that occurs in one document only
 cannot belong to a repeated window, so texts are first read for minimisers
 alone (numbers, not strings) and only super-k-mers of shared ones are
 packed; the texts that hold them travel once, compressed.  Equal packed
-strings are combined in each task before the shuffle.  A bucket that more
-than ``HOT`` super-k-mers share (a passage in a third of all
-documents, seen with as many different surroundings) is dealt on window by
-window, by a 128-bit digest of the window, with map-side minima; it never
-meets in one task.
+strings are combined in each task before the shuffle.  A super-k-mer of more
+than ``LONGEST`` windows (one word a thousand times) travels in parts.  A bucket
+of more than ``HOT`` windows (a passage in a third of all documents, seen with
+as many different surroundings) is dealt on window by window, by a 128-bit
+digest of the window, with map-side minima; it never meets in one task.  So no
+task holds more than ``HOT`` windows, of at most ``WINDOW`` words each, at once.
 
 Defined cases: a null text has no words; a null id is larger than any other
 id; repeated rows and rows that share an id are one document (no window is
@@ -33,9 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import columns_of, cut, partitions, prepare, steady, table
+from ledgerloom.llm.pieces import released
 
 WINDOW, MINIMISER = 50, 8
-HOT = 2_000
+#: Windows of a bucket that is sorted in one task, and of a packed string.
+HOT, LONGEST = 20_000, 256
+#: Packed strings are passed on in batches of about this many bytes.
+BATCH = 1 << 22
 #: Words hashed at a time; longer texts are read in overlapping stretches.
 STRETCH = 200_000
 _LAST = (1 << 63) - 1
@@ -82,15 +87,20 @@ def _stretch(words: list[bytes], window: int, size: int) -> tuple[np.ndarray, np
 
 def super_kmers(words: list[bytes], window: int = WINDOW, size: int = MINIMISER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First window, number of windows and minimiser (signed) of each
-    super-k-mer of a text.  A stretch's end may cut one in two; its windows
-    keep their minimiser, so nothing is lost."""
+    super-k-mer of a text.  A stretch's end, or its length, may cut one in
+    parts; its windows keep their minimiser, so nothing is lost."""
     out = []
     for at in range(0, max(0, len(words) - window + 1), STRETCH):
         first, n, m = _stretch(words[at:at + STRETCH + window - 1], window, size)
         out.append((first + at, n, m.view(np.int64)))
     if not out:
         return tuple(np.zeros(0, np.int64) for _ in range(3))
-    return tuple(np.concatenate(x) for x in zip(*out))
+    first, n, m = (np.concatenate(x) for x in zip(*out))
+    parts = -(-n // LONGEST)
+    if len(parts) < parts.sum():
+        at = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        first, n, m = np.repeat(first, parts) + at * LONGEST, np.minimum(np.repeat(n, parts) - at * LONGEST, LONGEST), np.repeat(m, parts)
+    return first, n, m
 
 
 def _words(text: pa.Scalar) -> list[bytes]:
@@ -141,39 +151,40 @@ def compressed(docs: DataFrame) -> DataFrame:
 
 def _packed_runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[list[tuple]]:
     """By stretches of documents, every super-k-mer as ``pid`` (the digest of
-    its packed string), ``m, hot, d, th, first, packed``."""
+    its packed string), ``m, d, th, first, packed``."""
     import zstandard
 
     press = zstandard.ZstdDecompressor()
     for b in batches:
-        rows = []
+        rows, size = [], 0
         for d, th, z, runs in zip(b.column("d").to_pylist(), b.column("th").to_pylist(), b.column("z"), b.column("runs")):
             words = press.decompress(z.as_py()).split()
-            for r in runs.as_py():
-                packed = b" ".join(words[r["first"]:r["first"] + r["n"] + window - 1])
-                rows.append((hashlib.blake2b(packed, digest_size=16).digest(), r["m"], r["hot"], d, th, r["first"], packed))
-            if len(rows) > 20_000:
-                yield rows
-                rows = []
+            for first, n, m in zip(*(runs.values.field(f).to_pylist() for f in ("first", "n", "m"))):
+                packed = b" ".join(words[first:first + n + window - 1])
+                rows.append((hashlib.blake2b(packed, digest_size=16).digest(), m, d, th, first, packed))
+                size += len(packed) + 200
+                if size > BATCH:
+                    yield rows
+                    rows, size = [], 0
         if rows:
             yield rows
 
 
 def _pack(docs: DataFrame, window: int) -> DataFrame:
     """The super-k-mers as packed strings, equal ones of a stretch combined:
-    ``pid, m, hot, d`` (the least document) and ``packed``."""
+    ``pid, m, d`` (the least document) and ``packed``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _packed_runs(batches, window):
             least: dict[bytes, tuple] = {}
-            for pid, m, hot, d, _, _, packed in rows:
-                if pid not in least or d < least[pid][2]:
-                    least[pid] = (m, hot, d, packed)
-            columns = [list(least), *([v[k] for v in least.values()] for k in range(4))]
-            kinds = [pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["pid", "m", "hot", "d", "packed"])
+            for pid, m, d, _, _, packed in rows:
+                if pid not in least or d < least[pid][1]:
+                    least[pid] = (m, d, packed)
+            columns = [list(least), *([v[k] for v in least.values()] for k in range(3))]
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["pid", "m", "d", "packed"])
 
-    return docs.mapInArrow(steady(run), "pid binary, m long, hot boolean, d long, packed binary")
+    return docs.mapInArrow(released(steady(run)), "pid binary, m long, d long, packed binary")
 
 
 def _occurrences(docs: DataFrame, window: int) -> DataFrame:
@@ -181,9 +192,9 @@ def _occurrences(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _packed_runs(batches, window):
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), *(pa.array([r[k] for r in rows], pa.int64()) for k in (3, 4, 5))], ["pid", "d", "th", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), *(pa.array([r[k] for r in rows], pa.int64()) for k in (2, 3, 4))], ["pid", "d", "th", "first"])
 
-    return docs.mapInArrow(steady(run), "pid binary, d long, th long, first long")
+    return docs.mapInArrow(released(steady(run)), "pid binary, d long, th long, first long")
 
 
 def _windows(packed: bytes, window: int) -> list[bytes]:
@@ -219,20 +230,24 @@ def _sorted_buckets(packs: DataFrame, window: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.binary()), pa.array([x[1] for x in done], pa.list_(pa.int64()))], ["pid", "least"])
 
         for b in batches:
-            done = []
-            for m, pid, d, packed in zip(*(b.column(n).to_pylist() for n in ("m", "pid", "d", "packed"))):
+            done, held = [], 0
+            for m, pid, d, packed in zip(b.column("m").to_pylist(), b.column("pid").to_pylist(), b.column("d").to_pylist(), b.column("packed")):
                 if m != key:
                     if rows:
                         done += bucket(rows)
+                        held += sum(len(x[1]) for x in done[-len(rows):])
                     key, rows = m, []
-                rows.append((pid, d, packed))
+                    if held > 10 * HOT:
+                        yield out(done)
+                        done, held = [], 0
+                rows.append((pid, d, packed.as_py()))
             if done:
                 yield out(done)
         if rows:
             yield out(bucket(rows))
 
     n = partitions(packs.sparkSession)
-    return packs.select("m", "pid", "d", "packed").repartition(n, "m").sortWithinPartitions("m").mapInArrow(steady(run), "pid binary, least array<long>")
+    return packs.select("m", "pid", "d", "packed").repartition(n, "m").sortWithinPartitions("m").mapInArrow(released(steady(run)), "pid binary, least array<long>")
 
 
 def _dealt_windows(packs: DataFrame, window: int) -> DataFrame:
@@ -240,8 +255,8 @@ def _dealt_windows(packs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for pid, d, packed in zip(*(b.column(n).to_pylist() for n in ("pid", "d", "packed"))):
-                w = [hashlib.blake2b(x, digest_size=16).digest() for x in _windows(packed, window)]
+            for pid, d, packed in zip(b.column("pid").to_pylist(), b.column("d").to_pylist(), b.column("packed")):
+                w = [hashlib.blake2b(x, digest_size=16).digest() for x in _windows(packed.as_py(), window)]
                 n = len(w)
                 yield pa.RecordBatch.from_arrays([pa.array(w, pa.binary()), pa.array([pid] * n, pa.binary()), pa.array(range(n), pa.int32()), pa.array([d] * n, pa.int64())], ["w", "pid", "j", "d"])
 
@@ -279,13 +294,15 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     keyed = columns_of(docs, {"doc_id": id_col, "text": text_col})
     keyed = keyed.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("d"), F.xxhash64("text").alias("th"), "text")
     runs = minimisers(keyed.select("d", "th", "text"), window, size)
-    shared = runs.groupBy("m").agg(F.min("d").alias("a"), F.max("d").alias("b"), F.count(F.lit(1)).alias("c")).where("a < b")
+    shared = runs.groupBy("m").agg(F.min("d").alias("a"), F.max("d").alias("b"), F.sum("n").alias("c")).where("a < b")
     kept = runs.join(shared.select("m", (F.col("c") > hot).alias("hot")), "m")
-    kept = kept.groupBy("d", "th").agg(F.collect_list(F.struct("first", "n", "m", "hot")).alias("runs"))
-    # Only texts with shared minimisers go on.
+    # A set: rows that repeat an id and a text bring equal runs.
+    kept = kept.groupBy("d", "th").agg(F.collect_set(F.struct("first", "n", "m", "hot")).alias("runs"))
+    # Only texts with shared minimisers go on; each packs a run once.
     held = cut(compressed(keyed.select("d", "th", "text")).join(kept, ["d", "th"]))
-    packs = _pack(held, window)
-    least = _sorted_buckets(packs.where(~F.col("hot")), window).unionByName(_dealt_windows(packs.where("hot"), window))
+    cold = held.withColumn("runs", F.filter("runs", lambda r: ~r["hot"])).where(F.size("runs") > 0)
+    warm = held.withColumn("runs", F.filter("runs", lambda r: r["hot"])).where(F.size("runs") > 0)
+    least = _sorted_buckets(_pack(cold, window), window).unionByName(_dealt_windows(cut(_pack(warm, window)), window))
     spans = _spans(_occurrences(held, window).join(least, "pid"))
     spans = spans.groupBy("d", "th").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
     return keyed, held.select("d", "th", "z").join(spans, ["d", "th"])

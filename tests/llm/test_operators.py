@@ -452,3 +452,17 @@ def test_mark_of_many_edges(spark):
     mark = _mark(many)
     assert mark[0] == (1 << 24) + (1 << 22)
     assert mark != _mark(many.withColumn("v", F.when(F.col("u") == 7, 9).otherwise(F.col("v"))))
+
+
+def test_periodic_texts_and_copies_under_one_id(spark):
+    """One word over and over, in texts of many lengths (one super-k-mer of
+    thousands of equal windows), and a thousand rows of one id and text."""
+    r = random.Random(8)
+    periodic = [(k, "ab " * r.randint(40, 900), "en", "s", 0) for k in range(60)]
+    periodic += [(100 + k, "one two " * r.randint(20, 400), "en", "s", 0) for k in range(20)]
+    copies = [(500, " ".join(f"c{k}" for k in range(80)), "en", "s", 0)] * 1000 + [(501, " ".join(f"c{k}" for k in range(10, 80)), "en", "s", 0)]
+    rows = periodic + copies
+    want = windows_brute([(r[0], r[1]) for r in rows], 50)
+    for hot in (superkmer.HOT, 300):
+        got = superkmer.digests(spark.createDataFrame(rows, DOCS).repartition(6), hot=hot).collect()
+        assert len(got) == len(rows) and {x.doc_id: tuple(x)[1:] for x in got} == want
