@@ -9,14 +9,17 @@ exactly by the vocabulary's merge ranks.  The lexicon only saves time; ids
 never depend on it.
 
 Texts are cut at ASCII blanks first: the tokenizer drops white space, and
-its normaliser, special tokens and word pattern never look across it.  Each
-distinct piece is encoded once per worker (a bounded memo).  Pieces beyond
-ASCII and plain Latin letters take their words from the tokenizers
-library's own normaliser and pre-tokenizer.
+its normaliser, special tokens and word pattern never look across it.  The
+distinct words of a group of texts (see ``pieces``) step through the automaton
+together; those it lacks are merged together, in numpy, and remembered within
+bounds.  Pieces beyond ASCII and plain Latin letters take their words from the
+tokenizers library's own normaliser and pre-tokenizer.
 
 Defined cases: null text is empty; an empty text has no ids and decodes to
 an empty text; special tokens in a text encode to their ids; repeated rows
-give repeated results; rows without an id are encoded like any other.
+give repeated results; rows without an id are encoded like any other; very long
+texts are encoded in parts and very long words in n log n; an empty table gives
+no rows; other columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,20 +35,21 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.files import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import columns_of, cut, prepare, steady, table
+from ledgerloom.llm import pieces
+from ledgerloom.llm.common import columns_of, cut, hand_out, here, prepare, table
 
 #: Words compiled into the lexicon: the most frequent ones (a size, not a
 #: sample: the counts cover all documents).
 LEXICON_WORDS = 1 << 16
-#: Distinct pieces in each of a worker's two generations of memory (what the
-#: younger one lacks is taken over from the older one), and distinct words.
-MEMO, KNOWN = 300_000, 600_000
-#: Texts are taken in groups of about this many bytes.
-GROUP = 1 << 18
+#: Distinct words that a worker counts before it passes the counts on.
+MEMO = 300_000
+#: Words merged at a time; longer ones than ``WIDE`` bytes are merged alone.
+TOGETHER, WIDE = 1 << 14, 32
 
 _PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-įı-ſ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\x20\x09-\x0da-zß-öø-ſ0-9]+")
@@ -57,18 +61,7 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _byte_chars() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies:
-    printable Latin-1 stands for itself, the rest for U+0100 and up."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    out, extra = [], 0
-    for b in range(256):
-        if b in printable:
-            out.append(chr(b))
-        else:
-            out.append(chr(256 + extra))
-            extra += 1
-    return out
+_byte_chars = pieces.byte_chars
 
 
 class Vocabulary:
@@ -93,14 +86,82 @@ class Vocabulary:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+        self._merge_tables()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         size = 1 + max([*vocab.values(), *self.special.values()])
-        self.tokens = [b""] * size
+        self.tokens, self.names = [b""] * size, None
         for t, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = t.encode()
 
+    def _merge_tables(self) -> None:
+        """The merges as sorted arrays, and directly by the two parts where
+        both are single bytes."""
+        pairs = np.array([(a << 32) | b for a, b in self.merges], np.int64)
+        ranks, made = (np.array([m[k] for m in self.merges.values()], np.int64) for k in (0, 1))
+        order = np.argsort(pairs)
+        self.pairs, self.ranks = pairs[order], ranks[order]
+        self.made = np.zeros(int(ranks.max(initial=0)) + 1, np.int64)
+        self.made[ranks] = made
+        self.byte_ids = np.array([self.inner, self.final], np.int64)
+
+    def ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of merging each a with its b; ``NEVER`` if they do not."""
+        pair = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.ranks[at], NEVER)
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """``merge`` of many words, as ``<u4`` bytes: in each round every word
+        makes its best merge, the leftmost of equal ones."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        for at in range(0, len(order), TOGETHER):
+            own = order[at:at + TOGETHER]
+            for k in own[sizes[own] > WIDE].tolist():
+                out[k] = np.array(self.merge(words[k].decode()), "<u4").tobytes()
+            own = own[(sizes[own] <= WIDE) & (sizes[own] > 0)]
+            if len(own):
+                ids, n = self._merge_block([words[k] for k in own.tolist()], sizes[own])
+                ends = np.cumsum(n) * 4
+                raw = ids[np.arange(ids.shape[1]) < n[:, None]].astype("<u4").tobytes()
+                for k, a, z in zip(own.tolist(), (ends - 4 * n).tolist(), ends.tolist()):
+                    out[k] = raw[a:z]
+        return out
+
+    def _merge_block(self, words: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        width = int(sizes.max())
+        raw = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(-1, width)
+        column = np.arange(width)
+        ids = np.where(column == sizes[:, None] - 1, self.byte_ids[1][raw], self.byte_ids[0][raw])
+        ids[column >= sizes[:, None]] = 0
+        left = sizes.copy()
+        rank = np.full(ids.shape, NEVER)
+        if width > 1:
+            on = column[1:] < sizes[:, None]
+            rank[:, :-1][on] = self.ranks_of(ids[:, :-1][on], ids[:, 1:][on])
+        go = np.flatnonzero(rank.min(1) < NEVER)
+        while len(go):
+            at = rank[go].argmin(1)
+            ids[go, at] = self.made[rank[go, at]]
+            # What stands behind the merged pair moves up.
+            behind = column > at[:, None]
+            for table, fill in ((ids, 0), (rank, NEVER)):
+                rows = table[go]
+                moved = np.concatenate([rows[:, 1:], np.full((len(go), 1), fill)], axis=1)
+                table[go] = np.where(behind, moved, rows)
+            left[go] -= 1
+            last = at == left[go] - 1
+            rank[go[last], at[last]] = NEVER
+            some, i = go[~last], at[~last]
+            rank[some, i] = self.ranks_of(ids[some, i], ids[some, i + 1])
+            some, i = go[at > 0], at[at > 0]
+            rank[some, i - 1] = self.ranks_of(ids[some, i - 1], ids[some, i])
+            go = go[rank[go].min(1) < NEVER]
+        return ids, left
+
     def words(self, piece: str) -> list[str | int]:
         """The words of a text piece without blanks at which the tokenizer
         merges, and the ids of special tokens between them."""
@@ -165,7 +226,18 @@ class Vocabulary:
             return self.library.decode(ids.tolist(), skip_special_tokens=False).encode()
         return b" ".join(map(self.tokens.__getitem__, ids.tolist()))
 
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The texts that consecutive runs of ids decode to."""
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        if self.library.decoder is not None:
+            return pa.array([self.decode(ids[a:z]).decode() for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.string())
+        if self.names is None:
+            self.names = pa.array([t.decode() for t in self.tokens], pa.string())
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), self.names.take(pa.array(ids))), " ")
+
 
+#: The rank of what is never merged.
+NEVER = np.int64(1 << 40)
 _UNMAP = {c: b for b, c in enumerate(_byte_chars())}
 
 
@@ -259,17 +331,22 @@ class Lexicon:
         return cls(arrays)
 
     def find(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word in the lexicon, or -1; all words step
-        through the automaton together."""
+        """The number of each word in the lexicon, or -1."""
+        return self.find_all(pa.array(words, pa.binary()))
+
+    def find_all(self, words: pa.Array) -> np.ndarray:
+        """The same for an Arrow column; all words step through the
+        automaton together."""
         n = len(words)
         out = np.full(n, -1, np.int64)
         if not n or not len(self.keys):
             return out
-        lengths = np.array([len(w) for w in words])
+        words = pa.concat_arrays([words])  # without an offset
+        places, buffer = np.frombuffer(words.buffers()[1], np.int32, n + 1), words.buffers()[2]
+        buffer = np.frombuffer(buffer, np.uint8) if buffer else np.zeros(1, np.uint8)
+        lengths = np.diff(places)
         order = np.argsort(-lengths, kind="stable")
-        ends = lengths[order]
-        buffer = np.frombuffer(b"".join(words) + b"\0", np.uint8)
-        begins = (np.cumsum(lengths) - lengths)[order]
+        ends, begins = lengths[order], places[:-1][order].astype(np.int64)
         state, number, alive = np.zeros(n, np.int64), np.zeros(n, np.int64), np.ones(n, bool)
         for step in range(int(ends[0])):
             on = int(np.searchsorted(-ends, -step, "left"))  # words longer than step come first
@@ -288,122 +365,84 @@ class Lexicon:
         return out
 
 
-class Encoder:
-    """Encodes pieces through the lexicon, then by merging.  Two bounded
-    memos: of whole pieces, and of the words that they are made of."""
+class Encoder(pieces.Encoder):
+    """Encodes distinct words through the lexicon, then by merging."""
 
     def __init__(self, path: str, lexicon: Lexicon | None = None):
         self.vocabulary, self.lexicon = Vocabulary(path), lexicon
-        self.memo: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.known: dict = {}
-
-    def parts(self, piece: bytes) -> list:
-        """What a piece's ids are joined from: words, or ids."""
-        return self.vocabulary.words(piece.decode())
-
-    def look_up(self, parts: list) -> None:
-        """Add the ids of distinct parts to ``known``."""
-        numbers = self.lexicon.find([w.encode() for w in parts]) if self.lexicon else np.full(len(parts), -1)
-        for w, k in zip(parts, numbers.tolist()):
-            if k >= 0:
-                self.known[w] = self.lexicon.ids[self.lexicon.starts[k]:self.lexicon.starts[k + 1]].tobytes()
-            else:
-                self.known[w] = np.array(self.vocabulary.merge(w), "<u4").tobytes()
-
-    def learn(self, pieces: set[bytes]) -> None:
-        """Add to the memo pieces that it lacks."""
-        if len(self.memo) + len(pieces) > MEMO:
-            self.memo, self.older = {}, self.memo
-        older, memo = self.older, self.memo
-        if older:
-            memo.update([(p, older[p]) for p in pieces if p in older])
-        made = [(p, self.parts(p)) for p in pieces if p not in memo]
-        new = {w for _, ws in made for w in ws if not isinstance(w, int)}.difference(self.known)
-        if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = {w for _, ws in made for w in ws if not isinstance(w, int)}
-        self.look_up(list(new))
-        known = self.known
-        for p, ws in made:
-            memo[p] = b"".join([w.to_bytes(4, "little") if isinstance(w, int) else known[w] for w in ws])
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        for group in _groups(texts):
-            split = [list(_parts((t or "").encode())) for t in group]
-            counts = [len(parts) for parts in split]
-            pieces = [part.split() for parts in split for part in parts]
-            found = [list(map(self.memo.get, p)) for p in pieces]
-            missing = {x for p, f in zip(pieces, found) if None in f for x, y in zip(p, f) if y is None}
-            if missing:
-                self.learn(missing)
-                get = self.memo.get
-                for p, f in zip(pieces, found):
-                    if None in f:
-                        f[:] = [get(x) if y is None else y for x, y in zip(p, f)]
-            at = 0
-            for n in counts:
-                yield b"".join([b"".join(f) for f in found[at:at + n]])
-                at += n
-
-
-def _groups(texts: list) -> Iterator[list]:
-    group, size = [], 0
-    for t in texts:
-        group.append(t)
-        size += len(t or "")
-        if size >= GROUP:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
-_BLANK = re.compile(rb"[\x20\x09-\x0d]")
-
-
-def _parts(raw: bytes) -> Iterator[bytes]:
-    """A long text in parts cut at blanks."""
-    at = 0
-    while len(raw) - at > GROUP:
-        m = _BLANK.search(raw, at + GROUP)
-        if not m:
-            break
-        yield raw[at:m.start()]
-        at = m.end()
-    yield raw[at:] if at else raw
+        self.known = pieces.Known()
+        self.starts = np.asarray(lexicon.starts) if lexicon else np.zeros(1, np.int64)
+        self.ids = np.asarray(lexicon.ids) if lexicon else np.zeros(0, "<u4")
+
+    def word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        number = self.lexicon.find_all(words) if self.lexicon else np.full(len(words), -1)
+        new = number < 0
+        lens, ids = self.known.ids_of(words.filter(pa.array(new)), self._merged) if new.any() else (np.zeros(0, np.int64), np.zeros(0, "<u4"))
+        # The lexicon's runs first, then the merged ones.
+        sizes = np.concatenate([np.diff(self.starts), lens])
+        place = number.copy()
+        place[new] = len(self.starts) - 1 + np.arange(len(lens))
+        return sizes[place], pieces.gather(sizes, np.concatenate([self.ids, ids]).astype("<u4"), place)
+
+    def _merged(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        made = self.vocabulary.merge_all(words.cast(pa.binary()).to_pylist())
+        return np.array([len(x) // 4 for x in made], np.int64), np.frombuffer(b"".join(made), "<u4")
+
+    def piece_ids(self, odd: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts = [self.vocabulary.words(p) for p in odd.to_pylist()]
+        flat = [w for ws in parts for w in ws]
+        on = np.array([isinstance(w, str) for w in flat], bool)
+        coded = pa.array([w for w in flat if isinstance(w, str)], pa.string()).dictionary_encode()
+        sizes, ids = self.word_ids(coded.dictionary)
+        # Special tokens are runs of one id behind those of the words.
+        special = np.array([w for w in flat if not isinstance(w, str)], "<u4")
+        place = np.zeros(len(flat), np.int64)
+        place[on] = coded.indices.to_numpy()
+        place[~on] = len(sizes) + np.arange(len(special))
+        sizes = np.concatenate([sizes, np.ones(len(special), np.int64)])
+        data = pieces.gather(sizes, np.concatenate([ids, special]).astype("<u4"), place)
+        counts = np.array([len(ws) for ws in parts], np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes[place])])
+        stops = np.concatenate([[0], np.cumsum(counts)])
+        return np.diff(ends[stops]), data
 
 
 def word_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``word, n`` over all whole texts; counted in the workers first."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, seen = Vocabulary(path), Counter()
-
-        def out():
-            words = Counter()
-            for piece, n in seen.items():
-                for w in vocabulary.words(piece.decode()):
-                    if isinstance(w, str):
-                        words[w] += n
-            seen.clear()
-            for at in range(0, len(keys := list(words)), 100_000):
-                part = keys[at:at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([words[w] for w in part], pa.int64())], ["word", "n"])
+    name = hand_out(prepare(docs.sparkSession), path)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _encoder(here(name), None).vocabulary
+        held = pa.table({"word": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
         for b in batches:
-            for t in b.column(0):
-                for part in _parts((t.as_py() or "").encode()):
-                    seen.update(part.split())
-                if len(seen) > MEMO:
-                    yield from out()
-        yield from out()
-
-    counts = docs.select(docs[text_col].alias("text")).mapInArrow(steady(run), "word string, n long")
+            for group in pieces.groups(b.column(0)):
+                held = pa.concat_tables([held, _counted(vocabulary, group)]).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+                if len(held) > MEMO:
+                    yield from held.to_batches(100_000)
+                    held = held.slice(0, 0)
+        yield from held.combine_chunks().to_batches(100_000)
+
+    counts = docs.select(docs[text_col].alias("text")).mapInArrow(pieces.released(run), "word string, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _counted(vocabulary: Vocabulary, texts: pa.Array) -> pa.Table:
+    """The words of a group of texts, counted."""
+    units = pieces.Units(texts)
+    often = np.bincount(units.pieces, minlength=len(units.pair))
+    n = np.bincount(units.pair.ravel(), np.repeat(often, 2)).astype(np.int64) if len(units.pair) else np.zeros(1, np.int64)
+    plain = units.words.to_pylist() + units.tails.to_pylist()
+    words = Counter()
+    for piece, k in zip(units.odd.to_pylist(), n[1 + len(plain):].tolist()):
+        for w in vocabulary.words(piece):
+            if isinstance(w, str):
+                words[w] += k
+    made = [pa.concat_arrays([units.words, units.tails, pa.array(list(words), pa.string())]), pa.array(np.concatenate([n[1:1 + len(plain)], np.array(list(words.values()), np.int64)]))]
+    table = pa.table(made, ["word", "n"])
+    return table.filter(pc.greater(pc.binary_length(table["word"]), 0))
+
+
 _HANDED_OUT: set[tuple[str, str]] = set()
 
 
@@ -457,7 +496,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     d = columns_of(docs, {"doc_id": id_col, "text": text_col})
     name = build_lexicon(d, path, words)
     kind = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(_mapper(path, name, lambda ids, text: [ids, text], [pa.binary(), pa.string()], ["ids", "decoded"]), f"doc_id {kind}, ids binary, decoded string")
+
+    def columns(ids, counts, told):
+        return [pieces.binary_column(ids, counts), told]
+
+    return d.mapInArrow(_mapper(hand_out(docs.sparkSession, path), name, columns, ["ids", "decoded"]), f"doc_id {kind}, ids binary, decoded string")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, words: int = LEXICON_WORDS) -> DataFrame:
@@ -468,33 +511,24 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     name = build_lexicon(d, path, words)
     kind = d.schema["doc_id"].dataType.simpleString()
 
-    def digest(ids: bytes, text: bytes):
-        return [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()]
+    def columns(ids, counts, told):
+        raw, ends = memoryview(np.ascontiguousarray(ids)).cast("B"), 4 * np.cumsum(counts)
+        sums = [hashlib.sha256(raw[a:z]).hexdigest() for a, z in zip((ends - 4 * counts).tolist(), ends.tolist())]
+        return [pa.array(counts, pa.int64()), pa.array(sums), pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in told])]
 
-    return d.mapInArrow(_mapper(path, name, digest, [pa.int64(), pa.string(), pa.string()], ["n_tokens", "ids_sha256", "decoded_sha256"]),
+    return d.mapInArrow(_mapper(hand_out(docs.sparkSession, path), name, columns, ["n_tokens", "ids_sha256", "decoded_sha256"]),
                         f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _mapper(path: str, name: str, make, kinds: list, names: list[str]):
+def _mapper(path: str, name: str, columns, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, name)
+        encoder = _encoder(here(path), name)
         for b in batches:
-            at, rows, size = 0, [], 0
-
-            def out():
-                columns = [pa.array([r[k] for r in rows], kinds[k]) for k in range(len(kinds))]
-                return pa.RecordBatch.from_arrays([b.column("doc_id").slice(at, len(rows)), *columns], ["doc_id", *names])
-
-            for ids in encoder.encode([t.as_py() for t in b.column("text")]):
-                rows.append(make(ids, encoder.vocabulary.decode(np.frombuffer(ids, "<u4"))))
-                size += len(ids)
-                if size > 64 * GROUP:
-                    yield out()
-                    at, rows, size = at + len(rows), [], 0
-            if rows:
-                yield out()
-
-    return steady(run)
+            for at, ids, counts in encoder.batch_ids(b.column("text")):
+                told = encoder.vocabulary.decode_all(ids, counts)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(at, len(counts)), *columns(ids, counts, told)], ["doc_id", *names])
+
+    return pieces.released(run)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
