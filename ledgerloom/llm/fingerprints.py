@@ -19,14 +19,16 @@ travels once more, to the end of the range before it: one shuffle, no
 global window, one text at a time in memory besides a group of about
 ``GROUP`` characters.
 
-A text of few characters has too few such windows to rank: below ``SHORT``
-characters all windows of ``SHORT_WINDOW`` bytes are features.
+Windows are short enough that a text of a hundred characters has several
+features: texts of all lengths are treated alike, and a text shares features
+with what is left of it when a part is cut off.
 
-Defined cases: null text is empty and has no features; a long text without
-an improbable window has its first one as a feature; two empty digests have likeness 1, an empty and
+Defined cases: null text is empty and has no features; a text without an
+improbable window (or shorter than one) has its first bytes as a feature; two empty digests have likeness 1, an empty and
 another one 0; equal texts have equal fingerprints wherever they stand;
 rows of equal ids are ordered by text; rows without an id come last; a
-single row is its own next.
+single row is its own next; an empty table gives no rows; other columns are
+left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,9 +44,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import columns_of, partitions, prepare, range_bounds, table
 
-WINDOW, POPULAR, WEAK = 64, 16, 100
-#: Texts of fewer characters give all their windows of so many bytes.
-SHORT, SHORT_WINDOW = 256, 8
+WINDOW, POPULAR, WEAK = 16, 2, 100
 BITS, PER_FILTER, HASHES = 2048, 160, 5
 GROUP = 1 << 19
 _STRIDE = 1 << 18
@@ -56,7 +56,7 @@ _C = np.arange(WINDOW + 1)
 _CLOG = np.rint(_C * np.log2(np.maximum(_C, 1)) * _SCALE).astype(np.int64)
 _STEP = np.diff(_CLOG, prepend=0)
 _STEP[0] = 0
-_FULL = WINDOW * 6 * _SCALE
+_FULL = int(_CLOG[WINDOW])  # all bytes differ
 
 
 def _scores(raw: np.ndarray) -> np.ndarray:
@@ -105,17 +105,14 @@ def _popular(raw: np.ndarray, rank: np.ndarray) -> np.ndarray:
 def features(texts: list[str], rank: np.ndarray) -> list[list[bytes]]:
     """The distinct features of each text, in order."""
     raws = [t.encode() for t in texts]
-    raw, begins = _padded([r if len(t) >= SHORT else b"" for t, r in zip(texts, raws)])
+    raw, begins = _padded(raws)
     found = _popular(raw, rank)
     edges = np.searchsorted(found, begins), np.searchsorted(found, np.r_[begins[1:], len(raw)])
     whole = raw.tobytes()
     out = []
-    for t, r, a, b in zip(texts, raws, *edges):
-        if len(t) < SHORT:
-            own = [r[i:i + SHORT_WINDOW] for i in range(max(1, len(r) - SHORT_WINDOW + 1))] if r else []
-        else:
-            own = [whole[s:s + WINDOW] for s in found[a:b].tolist()] or [r[:WINDOW]]
-        out.append(list(dict.fromkeys(own)))
+    for r, a, b in zip(raws, *edges):
+        own = [whole[s:s + WINDOW] for s in found[a:b].tolist()] or [r[:WINDOW]]
+        out.append(list(dict.fromkeys(own)) if r else [])
     return out
 
 

@@ -1,10 +1,11 @@
 """Line dedup by site-relative frequency.
 
-Pages are grouped by host; a line is boilerplate of a host if the pages of
-that host holding it, divided by the host's pages, exceed ``ratio`` (and at
-least ``min_pages`` of them hold it, so that tiny hosts keep their text).
-Pages of a host with equal text count as one page: a page crawled or
-copied a thousand times says nothing about boilerplate.
+Pages are grouped by host; a line of a page is boilerplate if the part of the
+host's other pages that hold it too exceeds ``ratio``.  The page itself is left
+out on both sides: else every line of a host of a few pages would be over the
+ratio by standing on its own page.  Pages of a host with equal text count as
+one page: a page crawled or copied a thousand times says nothing about
+boilerplate.
 
 With ``near`` (the pipeline) neither do near copies: pages of a site whose
 pairs of adjacent words agree to ``ALIKE`` count as one page, in the lines'
@@ -14,20 +15,24 @@ compared with the least page of each bucket, and links are followed.  Words
 and not lines are compared: a page that is mostly boilerplate still counts
 for itself unless more than some 85 % of its words are the same.
 
-Counts are two-phase aggregates over (host, line digest, page digest), so
-one line or host holding a third of all rows is combined before the
-shuffle.  A host has at most ``lines per page / ratio`` boilerplate lines,
-whatever its number of pages; these sets are joined by host, broadcast
-only if they are few.
+Counts are two-phase aggregates over (host, line, page), the latter two as
+128-bit digests, so one line or host holding a third of all rows is combined
+before the shuffle.  A host has at most ``lines per page / ratio`` boilerplate
+lines, whatever its number of pages; these sets are joined by host, broadcast
+only if all of them together are few lines.
 
 Defined cases: lines are compared without blanks at their ends; blank lines
 are never counted and never dropped; a line is dropped everywhere in the
-host's pages; null text stays null; a null host is a host of its own; a
-page may lose all its lines (its text is then empty) but never its row.
+host's pages; null text stays null; a null host is a host of its own; a page
+alone on its host keeps its lines; repeated rows are treated alike; a page may
+lose all its lines (its text is then empty) but never its row; an empty table
+stays one; other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,11 +42,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import columns_of, cut, prepare, same, small, steady, table
 from ledgerloom.llm.components import components
+from ledgerloom.session import ensure_checkpoint_dir
 
 RATIO = 0.05
-MIN_PAGES = 4
-#: At most so many sites' line sets are broadcast (each set is bounded).
-BROADCAST_SITES = 10_000
+#: The sets are broadcast if they hold at most so many lines (16 bytes each).
+BROADCAST_LINES = 200_000
 
 #: Near copies: minimum hashes a page, rows a band, and the part that agrees.
 MINIMA, BAND, ALIKE, SEED = 64, 4, 0.75, 42
@@ -53,15 +58,13 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _digest(line: Column) -> Column:
-    return F.md5(F.btrim(line, F.lit(" \t\r\x0b\x0c")))
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
 
 
-BLANK = "d41d8cd98f00b204e9800998ecf8427e"  # md5 of the empty line
-
-
-#: Stands for the page itself among its line digests, to count pages.
-PAGE = "page"
+def _digest(value: Column) -> list[Column]:
+    """128 bits as two longs; null if the value is."""
+    return [F.when(value.isNotNull(), F.xxhash64(F.lit(k), value)) for k in (0, 1)]
 
 
 def minima(text: str) -> np.ndarray | None:
@@ -121,36 +124,44 @@ def near_copies(docs: DataFrame) -> DataFrame:
     return components(pairs.select("u", "v", "x", "y").mapInArrow(alike, "u long, v long"))
 
 
-def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, near: bool = False) -> DataFrame:
-    """``site, lines``: the digests of each site's boilerplate lines.
-    ``docs`` has columns ``site`` and ``text``.  One pass over the texts
+def boilerplate(docs: DataFrame, ratio: float = RATIO, near: bool = False) -> DataFrame:
+    """``site, a, b``: the digests of each site's boilerplate lines, a row a
+    line.  ``docs`` has columns ``site`` and ``text``.  One pass over the texts
     counts pages and lines alike; a null text has neither.  With ``near``, near
     copies count as one page."""
-    lines = F.array_distinct(F.transform(_lines(F.col("text")), _digest))
-    pages = docs.select("site", F.md5("text").alias("page"), F.array_append(lines, F.lit(PAGE)).alias("lines"))
+    # The null line stands for the page itself.
+    lines = F.array_append(F.array_distinct(F.transform(_lines(F.col("text")), _bare)), F.lit(None))
+    pages = docs.where("text IS NOT NULL").select("site", "text", *(d.alias(n) for d, n in zip(_digest(F.col("text")), ("p", "q"))))
     if near:
         groups = small(cut(near_copies(docs)))
-        pages = docs.select("site", _page("site", "text").alias("page"), F.array_append(lines, F.lit(PAGE)).alias("lines"))
-        pages = pages.join(groups, pages["page"] == groups["node"], "left").withColumn("page", F.coalesce("root", "page"))
-    held = pages.select("site", "page", F.explode("lines").alias("line")).where(F.col("line") != BLANK).distinct()
-    held = cut(held.groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= min_pages) | (F.col("line") == PAGE)))
-    totals = small(cut(held.where(F.col("line") == PAGE).select(F.col("site").alias("_site"), F.col("n").alias("pages"))))
-    often = held.where(F.col("line") != PAGE).join(totals, same(F.col("site"), F.col("_site"))).where(F.col("n") > F.lit(ratio) * F.col("pages"))
-    return often.groupBy("site").agg(F.collect_set("line").alias("lines"))
+        pages = pages.withColumn("p", _page("site", "text")).join(groups, F.col("p") == groups["node"], "left")
+        pages = pages.select("site", "text", F.coalesce("root", "p").alias("p"), F.lit(0).alias("q"))
+    held = pages.select("site", "p", "q", F.explode(lines).alias("line")).where("line IS NULL OR line <> ''")
+    held = held.select("site", "p", "q", *(d.alias(n) for d, n in zip(_digest(F.col("line")), ("a", "b")))).distinct()
+    held = cut(held.groupBy("site", "a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR a IS NULL"))
+    totals = small(cut(held.where("a IS NULL").select(F.col("site").alias("_site"), F.col("n").alias("pages"))))
+    often = held.where("a IS NOT NULL").join(totals, same(F.col("site"), F.col("_site")))
+    return often.where((F.col("n") - 1) > F.lit(ratio) * (F.col("pages") - 1)).select("site", "a", "b")
 
 
-def drop_boilerplate(docs: DataFrame, text_col: str = "text", site: Column | str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, near: bool = False) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, text_col: str = "text", site: Column | str = "source", ratio: float = RATIO, near: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines of each page's site cut out of
     ``text_col``; plus ``__lines`` and ``__dropped``, the page's counts."""
     prepare(docs.sparkSession)
     site = docs[site] if isinstance(site, str) else site
     keyed = docs.withColumn("__own_site", site)
-    found = cut(boilerplate(keyed.select(F.col("__own_site").alias("site"), keyed[text_col].alias("text")), ratio, min_pages, near))
-    found = small(found.select(F.col("site").alias("__at"), F.col("lines").alias("__often")), BROADCAST_SITES)
-    out = keyed.join(found, same(F.col("__own_site"), F.col("__at")), "left")
+    often = cut(boilerplate(keyed.select(F.col("__own_site").alias("site"), keyed[text_col].alias("text")), ratio, near))
+    few = often.count() <= BROADCAST_LINES
+    found = often.groupBy(F.col("site").alias("__at")).agg(F.collect_set(F.struct("a", "b")).alias("__often"))
+    found = found.withColumn("__first", F.transform("__often", lambda o: o["a"]))
+    out = keyed.join(F.broadcast(found) if few else found, same(F.col("__own_site"), F.col("__at")), "left")
     lines = _lines(F.col(text_col))
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__often"), _digest(x)))
-    kept = F.when(F.col("__often").isNull(), lines).otherwise(kept)
+
+    def dropped(x: Column) -> Column:
+        a, b = _digest(_bare(x))
+        return F.array_contains("__first", a) & F.exists("__often", lambda o: (o["a"] == a) & (o["b"] == b)) & (_bare(x) != "")
+
+    kept = F.when(F.col("__often").isNull(), lines).otherwise(F.filter(lines, lambda x: ~dropped(x)))
     out = out.withColumn("__kept", kept).withColumn("__lines", F.coalesce(F.size(lines), F.lit(0)))
     out = out.withColumn("__dropped", F.coalesce(F.col("__lines") - F.size("__kept"), F.lit(0)))
     out = out.withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.array_join("__kept", "\n")))
@@ -182,7 +193,10 @@ def query(spark, sf_dir: str) -> DataFrame:
     prepare(spark)
     p = columns_of(table(spark, sf_dir, "pages"), {"page_id": "page_id", "url": "url", "html": "html"})
     p = p.select("page_id", host_of(F.col("url")).alias("host"), html_lines(F.col("html")).alias("text"))
-    out = drop_boilerplate(p, "text", "host")
+    # The markup is taken off once; both passes read the visible lines.
+    seen = os.path.join(ensure_checkpoint_dir(spark), f"pages-{uuid.uuid4().hex}")
+    p.write.parquet(seen)
+    out = drop_boilerplate(spark.read.schema(p.schema).parquet(seen), "text", "host")
     return out.select("page_id", "host", F.col("__lines").cast("long").alias("n_lines"), F.col("__dropped").cast("long").alias("n_dropped"), "text")
 
 
@@ -198,7 +212,7 @@ totals AS (SELECT host, count(DISTINCT text) AS pages FROM seen WHERE text IS NO
 often AS (
   SELECT l.host, l.line FROM (SELECT DISTINCT host, text, line FROM lines WHERE line <> '') l
   JOIN totals t ON l.host IS NOT DISTINCT FROM t.host
-  GROUP BY l.host, l.line, t.pages HAVING count(*) >= {MIN_PAGES} AND count(*) > {RATIO}::DOUBLE * t.pages),
+  GROUP BY l.host, l.line, t.pages HAVING count(*) > 1 AND count(*) - 1 > {RATIO}::DOUBLE * (t.pages - 1)),
 marked AS (
   SELECT l.page_id, l.pos, l.raw, o.line IS NOT NULL AS often FROM lines l
   LEFT JOIN often o ON l.host IS NOT DISTINCT FROM o.host AND l.line = o.line),

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import columns_of, cut, partitions, prepare, table
@@ -60,17 +60,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` with ``fp`` as a signed 64-bit integer."""
-    d = columns_of(docs, {"doc_id": id_col, "text": text_col})
-    kind = d.schema["doc_id"].dataType
+def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, also: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp`` with ``fp`` as a signed 64-bit integer, and the columns
+    named in ``also``."""
+    d = columns_of(docs, {"doc_id": id_col, **{c: c for c in also}, "text": text_col})
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column("text")], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps.view(np.int64))], ["doc_id", *also, "fp"])
 
-    return d.mapInArrow(run, f"doc_id {kind.simpleString()}, fp long")
+    return d.mapInArrow(run, f"{kinds}, fp long")
 
 
 def _signature(counts: list):
@@ -211,8 +212,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = prepare(docs.sparkSession)
     own = cut(with_fingerprints(docs, id_col, text_col, shingle))
     each = own.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = cut(components(links(own, radius, block)))
-    named = each.join(roots, each["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = each.join(roots(own, radius, block), F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     # The least id of a component, combined before it meets its members.
     firsts = named.groupBy("root").agg(F.min("least").alias("component_id"))
     members = cut(named.select("fp", "root").join(firsts, "root").select(F.col("fp").alias("_fp"), "component_id"))
@@ -221,16 +221,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
+def roots(own: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """``node, root``: linked fingerprints and the one that stands for
+    their component (it has no row of its own)."""
+    return cut(components(links(own, radius, block)))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one whose id names
-    it (of rows that repeat that id, the least text).  Rows without an id
-    cannot be chosen by id: they stay, once per distinct text."""
-    found = near_duplicates(docs, id_col, text_col)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.where(docs[id_col].isNotNull()).join(keep, docs[id_col] == F.col("__keep"), "left_semi")
-    order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
-    kept = kept.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").drop("__nth")
-    return kept.unionByName(docs.where(docs[id_col].isNull()).dropDuplicates([text_col]))
+    """``docs`` with one row of each component of fingerprints: that of the
+    least id (rows without an id come last; of rows that share it, the one of
+    the least digest).  Unrelated texts under one id are in components of
+    their own and stay each."""
+    prepare(docs.sparkSession)
+    # A row's content as 128 bits; a null counts as such.
+    content = [x for c in docs.columns for x in (docs[c].isNull(), docs[c])]
+    keyed = docs.withColumns({f"__row{k}": F.xxhash64(F.lit(k), *content) for k in (0, 1)})
+    row = ["__row0", "__row1"]
+    own = cut(with_fingerprints(keyed, id_col, text_col, also=tuple(row)))
+    named = own.join(roots(own), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *row)).alias("first"))
+    keep = first.select(*[F.col("first")[r].alias(r) for r in row]).distinct()
+    return keyed.join(keep, row, "left_semi").dropDuplicates(row).drop(*row)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,10 @@ once.  Language, source and id are never inputs of a score.
 
 Defined cases: null and empty texts get the score of a text without a
 match; rows whose id is null or not labelled are scored alike; without
-labels the lexicon is empty and the grammar's own weights hold.
+labels the lexicon is empty and the grammar's own weights hold; repeated rows
+and equal texts get equal scores (in the fit, equal texts count once, toxic if
+one of them is); very long texts are read whole, a clause at a time; an empty
+table gives no rows; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,17 +40,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import columns_of, cut, drawn, prepare, steady, table
+from ledgerloom.llm.pieces import released
 
 #: Labelled rows that the fit reads at most.
 FIT_ROWS = 20_000
-#: Entries of the learnt lexicon at most (the strongest).
-LEXICON = 4096
 #: An entry must be this unlikely to be toxic so often by chance.
 CHANCE = 1e-6
 PRECISION = 0.7
 STEMS = range(4, 9)
 #: Words whose class a worker remembers before it starts anew.
-MEMO = 500_000
+MEMO = 200_000
 
 # Function words and threat verbs of the four languages.
 THREATS = {
@@ -209,7 +211,8 @@ def learn_lexicon(known: DataFrame, rows: int, toxic: int) -> tuple[dict[str, fl
     counts = counts.where((F.length(F.regexp_replace("f", r"\*", "")) >= 3) & (q >= PRECISION) & (q > p))
     counts = counts.withColumn("chance", -n * (q * F.log(q / p) + other)).where(F.col("chance") < math.log(CHANCE))
     counts = counts.withColumn("strength", F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (rows - toxic + 1.0)))
-    top = counts.orderBy("chance", "f").limit(LEXICON).select("f", "strength", "toxic").collect()
+    # All entries that pass: words of at most ``FIT_ROWS`` texts, each in several.
+    top = counts.orderBy("chance", "f").select("f", "strength", "toxic").collect()
     found = {r["f"]: min(1.0, max(0.1, r["strength"] / 6)) for r in top}
     # A stem that only repeats one of its words adds nothing but risk.
     seen: dict[str, int] = {}
@@ -273,7 +276,7 @@ def score(docs: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFram
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*b.schema.names, "__score"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "__score double"])
-    return docs.mapInArrow(steady(run), schema)
+    return docs.mapInArrow(released(steady(run)), schema)
 
 
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ def lines_brute(docs):
         pages[d["source"]].add(d["text"])
         for x in {x.strip(" \t\r\x0b\x0c") for x in d["text"].split("\n")} - {""}:
             held[d["source"], x].add(d["text"])
-    often = {k for k, v in held.items() if len(v) >= line_dedup.MIN_PAGES and len(v) > line_dedup.RATIO * len(pages[k[0]])}
+    often = {k for k, v in held.items() if len(v) - 1 > line_dedup.RATIO * (len(pages[k[0]]) - 1)}
     out = []
     for d in docs:
         text = "\n".join(x for x in d["text"].split("\n") if (d["source"], x.strip(" \t\r\x0b\x0c")) not in often)

@@ -46,14 +46,27 @@ def test_simhash_links_of_dense_groups_in_small_blocks(spark, block):
     assert simhash.links(df, 2, block).count() <= 42 * len(fps) * (1 if block > 3 else 20)
 
 
-def test_one_of_each_keeps_unnamed_rows_and_one_per_component(spark):
+def test_one_of_each_keeps_one_row_per_component(spark):
     a, b = "one two three four five six " * 9, "seven eight nine ten eleven twelve " * 9
     rows = [(3, a, "en", "s", 1), (1, a, "en", "s", 1), (1, a, "en", "s", 1), (2, b, "en", "s", 1), (None, b, "en", "s", 1)]
     got = sorted(((r.doc_id or 0) for r in simhash.one_of_each(spark.createDataFrame(rows, DOCS)).collect()))
-    assert got == [0, 1, 2]
+    assert got == [1, 2]
     assert simhash.one_of_each(empty(spark)).count() == 0 and simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_one_of_each_loses_no_unrelated_text_under_a_repeated_id(spark):
+    r = random.Random(1)
+    texts = [" ".join("".join(r.choice("abcdef") for _ in range(5)) for _ in range(30)) for _ in range(12)]
+    rows = [(1, texts[0], "en", "s", 1), (1, texts[1], "en", "s", 1), (2, texts[0], "en", "s", 1), (2, texts[2], "en", None, 1), (2, texts[2], "en", "s", None)]
+    rows += [(7, t, "en", "s", 1) for t in texts] + [(None, t, "en", "s", 1) for t in texts[:6]] + [(None, "only unnamed " * 9, "en", "s", 1)] * 3
+    got = simhash.one_of_each(clashing(spark.createDataFrame(rows, DOCS)).drop("ids")).collect()
+    kept = sorted((x.text, x.doc_id) for x in got)
+    least = {}
+    for i, t, *_ in rows:
+        least[t] = min(least.get(t, 99), 99 if i is None else i)
+    assert kept == sorted((t, None if i == 99 else i) for t, i in least.items())
+
+
 # ----------------------------------------------------------- fingerprints
 def test_fingerprints_edit_order_and_equal_texts(spark, docs):
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), reverse=True)
@@ -84,11 +97,100 @@ def test_fingerprint_edge_tables(spark):
     assert fingerprints.compare(spark.createDataFrame(odd, DOCS)).count() == 4
 
 
+def fingerprint_brute(texts, corpus_texts, window=16, popular=2, weak=100):
+    """Bits of each text's filters, window by window in plain Python."""
+    from collections import Counter
+
+    import math
+
+    from xxhash import xxh3_64_intdigest
+
+    def entropies(raw):
+        clog = lambda c: round(c * math.log2(c) * 2**32) if c else 0
+        full = clog(window)
+        parts = [raw[i:i + window] for i in range(len(raw) - window + 1)]
+        return [1000 * ((full - sum(clog(c) for c in Counter(p).values())) >> 16) // (full >> 16) for p in parts]
+
+    seen = Counter(e for t in corpus_texts for e in entropies((t or "").encode()))
+    rank = {e: k for k, e in enumerate(sorted(range(weak, 1001), key=lambda e: (seen[e], -e)))}
+    out = []
+    for t in texts:
+        raw = (t or "").encode()
+        es = entropies(raw)
+        wins = Counter()
+        # Every stretch of neighbouring windows, those over the ends included.
+        for at in range(1 - window, len(es)):
+            near = [(rank[es[i]], i) for i in range(max(0, at), min(len(es), at + window)) if es[i] in rank]
+            if near:
+                wins[min(near)[1]] += 1
+        own = [raw[i:i + window] for i in sorted(wins) if wins[i] >= popular] or ([raw[:window]] if raw else [])
+        own = list(dict.fromkeys(own))
+        filters = []
+        for k in range(0, len(own), 160):
+            h = [xxh3_64_intdigest(f) for f in own[k:k + 160]]
+            filters.append({x >> 11 * j & 2047 for x in h for j in range(5)})
+        out.append(filters)
+    return out
+
+
+def likeness_brute(a, b):
+    if not a or not b:
+        return float(a == b)
+    if len(a) > len(b):
+        a, b = b, a
+    total = 0.0
+    for x in a:
+        best = 0.0
+        for y in b:
+            chance, most = len(x) * len(y) / 2048, min(len(x), len(y))
+            best = max(best, min(1.0, max(0.0, (len(x & y) - chance) / max(most - chance, 1e-9))))
+        total += best * len(x)
+    return total / sum(map(len, a))
+
+
+def test_fingerprints_equal_a_plain_version(spark):
+    r = random.Random(6)
+    texts = [" ".join("".join(r.choice("abcdeé日") for _ in range(r.randint(1, 9))) for _ in range(r.randint(0, 90))) for _ in range(25)]
+    texts += [None, "", "x", "aaaa" * 20, "z" * 15, "exactly16 bytes!"]
+    rows = [(k, t, "en", "s", 0) for k, t in enumerate(texts)]
+    got = {x.doc_id: x for x in fingerprints.compare(spark.createDataFrame(rows, DOCS).repartition(4)).collect()}
+    order = list(range(len(texts) - 1, -1, -1))
+    after = {i: order[(k + 1) % len(order)] for k, i in enumerate(order)}
+    plain = [t or "" for t in texts]
+    changed = [t[:len(t) - len(t) // 3] + plain[after[i]][:len(t) // 3] for i, t in enumerate(plain)]
+    own, other = fingerprint_brute(plain, plain), fingerprint_brute(changed, plain)
+    for i in range(len(texts)):
+        for text, filters in ((got[i].fingerprint, own[i]), (got[i].edited_fingerprint, other[i])):
+            bits = np.unpackbits(fingerprints.from_text(text), axis=1)
+            assert [set(np.flatnonzero(b).tolist()) for b in bits] == filters
+        assert abs(got[i].near_edited - likeness_brute(own[i], other[i])) < 1e-12
+        assert abs(got[i].near_next - likeness_brute(own[i], own[after[i]])) < 1e-12
+        assert got[i].edited_sha256 == hashlib.sha256(changed[i].encode()).hexdigest() and got[i].n_chars == len(plain[i])
+
+
+def test_a_text_stays_near_its_shortened_copy():
+    r = random.Random(9)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    texts = []
+    for n in range(100, 2000, 10):
+        t = " ".join(r.choice(words) for _ in range(n))
+        texts.append(t[:n])
+    counts = np.zeros(1001, np.int64)
+    for t in texts:
+        for e in fingerprints._scores(np.frombuffer(t.encode(), np.uint8)):
+            counts[e] += 1
+    rank = fingerprints.ranks(counts)
+    own = fingerprints.fingerprint(texts, rank)
+    less = fingerprints.fingerprint([t[:len(t) - len(t) // 3] for t in texts], rank)
+    assert min(fingerprints.likeness(a, b) for a, b in zip(own, less)) >= 0.6
+    assert max(fingerprints.likeness(a, b) for a, b in zip(own, own[7:])) < 0.5
+
+
 def test_entropy_is_that_of_each_window():
     raw = np.frombuffer("aaa bbb the quick brown fox é".encode() * 8, np.uint8)
     for s, score in enumerate(fingerprints._scores(raw)):
-        p = np.unique(raw[s:s + 64], return_counts=True)[1] / 64
-        assert abs(score - 1000 * -(p * np.log2(p)).sum() / 6) < 1.01
+        p = np.unique(raw[s:s + fingerprints.WINDOW], return_counts=True)[1] / 64
+        assert abs(score - 1000 * -(p * np.log2(p)).sum() / np.log2(fingerprints.WINDOW)) < 1.01
 
 
 # ------------------------------------------------------------- binary ids
@@ -328,7 +430,7 @@ def test_boilerplate_lines_go_and_copies_count_once(spark):
     assert len(got) == len(rows)
     assert got[4] == ("own line 4\nmore 16\n", 5, 2)  # footer and the line "y" of half the pages
     assert got[100][0] == "copied page\nits second line"
-    assert got[200][0] == "footer of a\nother 0"  # another host, too few pages
+    assert got[200][0] == "other 0"  # another host, all of its three pages
     assert got[300] == (None, 0, 0) and got[301][0] == "" and got[302][0] == "footer of a"
     assert line_dedup.drop_boilerplate(empty(spark)).count() == 0
 
