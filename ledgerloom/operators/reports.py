@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import MEASURES
@@ -108,6 +108,53 @@ def run_report(base: DataFrame, sources: dict[str, DataFrame | None], counted: s
     }
 
 
+#: K3: the run report as one document (read back with this schema).
+RUN_DOCUMENT = (
+    "sources map<string,bigint>, "
+    "coverage struct<min_year:int,max_year:int,min_quarter_key:int,max_quarter_key:int,rows_after_merge:bigint>, "
+    "null_profile map<string,struct<non_null:bigint,null:bigint,null_pct:double>>, "
+    "violations map<string,bigint>, dupes_on_quarter_key bigint, generated_at string")
+#: K4: the validation snapshot.
+VALIDATION_DOCUMENT = "rows bigint, null_rates map<string,double>, range_bad_default bigint"
+
+
+def _entries(frame: DataFrame, key: str, *values: str) -> Column:
+    """A small frame as one map, key → value (or struct of values)."""
+    value = F.struct(*values) if len(values) > 1 else F.col(values[0])
+    return frame.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), value)))).scalar()
+
+
+def run_document(frames: dict[str, DataFrame]) -> DataFrame:
+    """K3: the report frames of :func:`run_report` as one nested row.  Every
+    part is a scalar subquery of a few rows."""
+    one = frames["generated_at"].sparkSession.range(1)
+    cover = frames["coverage"]
+    return one.select(
+        _entries(frames["sources"], "source", "rows").alias("sources"),
+        cover.agg(F.first(F.struct(*cover.columns))).scalar().alias("coverage"),
+        _entries(frames["null_profile"], "column_name", "non_null", "null", "null_pct").alias("null_profile"),
+        _entries(frames["violations"], "rule", "violations").alias("violations"),
+        frames["dupes_on_quarter_key"].scalar().alias("dupes_on_quarter_key"),
+        frames["generated_at"].scalar().alias("generated_at"))
+
+
+def validation_document(base: DataFrame, cols: Sequence[str] = MEASURES) -> DataFrame:
+    """K4: :func:`validate_report` with its rates as one map."""
+    flat = validate_report(base, cols)
+    rates = [c for c in flat.columns if c.startswith("null_rate_")]
+    pairs = F.map_from_entries(F.array(*[F.struct(F.lit(c[len("null_rate_"):]).alias("key"), F.col(c).alias("value")) for c in rates]))
+    return flat.select("rows", pairs.alias("null_rates"), "range_bad_default")
+
+
+def write_document(document: DataFrame, path: str) -> None:
+    """One JSON file with the whole document, over an earlier one."""
+    document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def read_document(spark: SparkSession, path: str, schema: str = RUN_DOCUMENT) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
 def write_reports(frames: dict[str, DataFrame], out_dir: str) -> None:
     """K3 / K4: each report frame as a one-file JSON folder."""
     for name, df in frames.items():
@@ -128,6 +175,6 @@ def write_rejects(rejects: DataFrame | None, out_dir: str) -> DataFrame | None:
 
 
 __all__ = [
-    "coverage", "dup_keys", "null_profile", "run_report", "source_counts", "table_counts",
+    "coverage", "dup_keys", "null_profile", "read_document", "run_document", "run_report", "validation_document", "write_document", "source_counts", "table_counts",
     "validate_report", "violations", "write_rejects", "write_reports",
 ]

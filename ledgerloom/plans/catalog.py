@@ -561,21 +561,23 @@ def upsert_duplicate_keys(spark, d):
 
 
 @query("load_rejects", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM, _LINE_FACT_SQL) + """,
-keyed AS (SELECT CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE geo_key END AS geo_key, quarter_key, product_key, l_orderkey FROM lines),
+keyed AS (SELECT CASE WHEN l_partkey % 50 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN -geo_key - 1 ELSE geo_key END AS geo_key, quarter_key, product_key, l_orderkey FROM lines),
 known AS (SELECT * FROM keyed WHERE geo_key IS NOT NULL),
 dated AS (SELECT * FROM known WHERE quarter_key IN (SELECT quarter_key FROM date_dim)),
-placed AS (SELECT * FROM dated WHERE geo_key IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 5 <> 0))
+placed AS (SELECT * FROM dated WHERE geo_key IN (SELECT s_suppkey FROM supplier))
 SELECT quarter_key, geo_key, product_key, 'null_geo_key' AS dq_reason FROM keyed WHERE geo_key IS NULL
 UNION ALL SELECT quarter_key, geo_key, product_key, 'quarter_key_orphan' FROM known WHERE quarter_key NOT IN (SELECT quarter_key FROM date_dim)
-UNION ALL SELECT quarter_key, geo_key, product_key, 'geo_key_orphan' FROM dated WHERE geo_key NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 5 <> 0)
+UNION ALL SELECT quarter_key, geo_key, product_key, 'geo_key_orphan' FROM dated WHERE geo_key NOT IN (SELECT s_suppkey FROM supplier)
 UNION ALL SELECT quarter_key, geo_key, product_key, 'fact_superseded' FROM (
   SELECT *, row_number() OVER (PARTITION BY quarter_key, geo_key, product_key ORDER BY l_orderkey DESC) AS rn FROM placed) WHERE rn > 1""")
 def load_rejects(spark, d):
     """W9 + J9: what the load checks set apart.  Some line facts lack their
-    geo key; the dimension holds four fifths of the nations' suppliers; the
-    ship quarters reach beyond the order quarters."""
-    rows = _line_facts(spark, d).withColumn("geo_key", F.when(F.col("l_partkey") % 50 != 0, F.col("geo_key")))
-    geo = T(spark, d, "supplier").where(F.col("s_nationkey") % 5 != 0).select(F.col("s_suppkey").cast("int").alias("geo_key"))
+    geo key, others have one that no supplier has; the ship quarters reach
+    beyond the order quarters."""
+    part = F.col("l_partkey")
+    geo_key = F.when(part % 50 == 0, F.lit(None)).when(part % 7 == 0, -F.col("geo_key") - 1).otherwise(F.col("geo_key"))
+    rows = _line_facts(spark, d).withColumn("geo_key", geo_key.cast("int"))
+    geo = T(spark, d, "supplier").select(F.col("s_suppkey").cast("int").alias("geo_key"))
     dims = {"dim_date_qtr": star.date_dim(spark, d), "dim_geo": geo,
             "dim_product": spark.range(1, 2).select(F.col("id").cast("int").alias("product_key"))}
     return warehouse.load_checks(rows, dims, _LOAD_ORDER)[1]

@@ -13,12 +13,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import contracts as C
 from ..functions.money import cents
 from ..functions.quarter import date_quarter_token
-from ..operators import quality, reports
+from ..operators import evolve, footers, quality, reports, warehouse
 from ..session import scratch_path
 from ..sources import csv_files, records
 from . import oracle as O
+from . import star
 from .catalog import T, query
 
 
@@ -166,4 +168,111 @@ def rejects_file(spark, d):
     return back.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
 
 
-__all__ = ["csv_balances", "csv_scan", "rejects_file", "xml_records"]
+# ------------------------------------------------------ K3, K4, R6, F18
+@query("report_document", O.with_(O.MEMBERS) + """,
+profile AS (UNPIVOT (SELECT """ + ", ".join(f"COUNT({c}) AS {c}" for c in C.MEASURES) + """ FROM members) ON COLUMNS(*) INTO NAME name VALUE non_null),
+total AS (SELECT COUNT(*) AS n FROM members)
+SELECT 'sources' AS section, 'base_rows' AS name, 'rows' AS field, CAST(n AS DOUBLE) AS value FROM total
+UNION ALL SELECT 'sources', 'absent', 'rows', 0.0
+UNION ALL (UNPIVOT (SELECT 'coverage' AS section, 'base' AS name, CAST(min(year) AS DOUBLE) AS min_year, CAST(max(year) AS DOUBLE) AS max_year,
+    CAST(min(quarter_key) AS DOUBLE) AS min_quarter_key, CAST(max(quarter_key) AS DOUBLE) AS max_quarter_key, CAST(COUNT(*) AS DOUBLE) AS rows_after_merge
+    FROM members) ON min_year, max_year, min_quarter_key, max_quarter_key, rows_after_merge INTO NAME field VALUE value)
+UNION ALL SELECT 'null_profile', name, 'non_null', CAST(non_null AS DOUBLE) FROM profile
+UNION ALL SELECT 'null_profile', name, 'null', CAST(n - non_null AS DOUBLE) FROM profile, total
+UNION ALL SELECT 'null_profile', name, 'null_pct', """ + O.half_even("(n - non_null) * 100", "n", 2) + """ FROM profile, total
+UNION ALL SELECT 'violations', 'default_rate_out_of_range', 'rows', CAST(COUNT(*) FILTER (WHERE default_rate < 0 OR default_rate > 1) AS DOUBLE) FROM members
+UNION ALL SELECT 'violations', 'neg_originations_cnt', 'rows', CAST(COUNT(*) FILTER (WHERE originations_cnt < 0) AS DOUBLE) FROM members
+UNION ALL SELECT 'violations', 'neg_origination_amt', 'rows', CAST(COUNT(*) FILTER (WHERE origination_amt < 0) AS DOUBLE) FROM members
+UNION ALL SELECT 'violations', 'neg_balance_amt', 'rows', CAST(COUNT(*) FILTER (WHERE balance_amt < 0) AS DOUBLE) FROM members
+UNION ALL SELECT 'dupes_on_quarter_key', 'base', 'keys', CAST(COUNT(*) AS DOUBLE) FROM (SELECT quarter_key FROM members GROUP BY 1 HAVING COUNT(*) > 1)
+UNION ALL SELECT 'generated_at', 'utc', 'stated', 1.0
+UNION ALL SELECT 'validation', name, 'null_rate', """ + O.half_up("(n - non_null)", "n", 3) + """ FROM profile, total
+UNION ALL SELECT 'validation', 'base', 'rows', CAST(n AS DOUBLE) FROM total
+UNION ALL SELECT 'validation', 'base', 'range_bad_default', CAST(COUNT(*) FILTER (WHERE NOT (default_rate BETWEEN 0 AND 1 OR default_rate IS NULL)) AS DOUBLE) FROM members""")
+def report_document(spark, d):
+    """K3 + K4 + R1-R7: the run report and the validation snapshot of a base
+    with faults, each written as one nested JSON document, read back by its
+    schema and laid out as rows."""
+    base = star.member_base(spark, d).checkpoint(eager=True)
+    out = scratch_path(spark, f"report-{uuid.uuid4().hex}")
+    reports.write_document(reports.run_document(reports.run_report(base, {"base_rows": base, "absent": None})), f"{out}/run_report")
+    reports.write_document(reports.validation_document(base), f"{out}/validation")
+    doc = reports.read_document(spark, f"{out}/run_report")
+    check = reports.read_document(spark, f"{out}/validation", reports.VALIDATION_DOCUMENT)
+
+    def rows(frame: DataFrame, section: str, values: dict[tuple[str, str], Column]) -> DataFrame:
+        one = [F.struct(F.lit(section).alias("section"), F.lit(n).alias("name"), F.lit(f).alias("field"), v.cast("double").alias("value")) for (n, f), v in values.items()]
+        return frame.select(F.inline(F.array(*one)))
+
+    def mapped(frame: DataFrame, section: str, column: str, field: str, value) -> DataFrame:
+        return frame.select(F.explode(column).alias("name", "v")).select(F.lit(section).alias("section"), "name", F.lit(field).alias("field"), value(F.col("v")).cast("double").alias("value"))
+
+    cover = {("base", f): F.col("coverage")[f] for f in ("min_year", "max_year", "min_quarter_key", "max_quarter_key", "rows_after_merge")}
+    stated = F.col("generated_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?Z$")
+    parts = [mapped(doc, "sources", "sources", "rows", lambda v: v), rows(doc, "coverage", cover)]
+    parts += [mapped(doc, "null_profile", "null_profile", f, lambda v, f=f: v[f]) for f in ("non_null", "null", "null_pct")]
+    parts += [mapped(doc, "violations", "violations", "rows", lambda v: v), rows(doc, "dupes_on_quarter_key", {("base", "keys"): F.col("dupes_on_quarter_key")}),
+              rows(doc, "generated_at", {("utc", "stated"): stated.cast("int")}), mapped(check, "validation", "null_rates", "null_rate", lambda v: v),
+              rows(check, "validation", {("base", "rows"): F.col("rows"), ("base", "range_bad_default"): F.col("range_bad_default")})]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every
+
+
+# ------------------------------------------------------ W1, W12, A5, A9
+@query("footer_stats", O.with_(O.ORIG, O.BAL, O.BASE, O.DATE_DIM, O.FACT) + """
+SELECT 'dim_date_qtr' AS table_name, COUNT(*) AS cnt, CAST(min(year) AS BIGINT) AS first, CAST(max(year) AS BIGINT) AS last FROM date_dim
+UNION ALL SELECT 'dim_geo', COUNT(*), CAST(min(geo_key) AS BIGINT), CAST(max(geo_key) AS BIGINT) FROM geo_dim
+UNION ALL SELECT 'dim_product', COUNT(*), CAST(min(product_key) AS BIGINT), CAST(max(product_key) AS BIGINT) FROM product_dim
+UNION ALL SELECT 'fact_credit_metrics_qtr', COUNT(*), CAST(min(originations_cnt) AS BIGINT), CAST(max(originations_cnt) AS BIGINT) FROM fact""")
+def footer_stats(spark, d):
+    """W1 + W12 + A9: tables created empty, then loaded; their row counts and
+    a column's range, from the Parquet footers alone."""
+    wh = warehouse.Warehouse(spark, scratch_path(spark, f"footers-{uuid.uuid4().hex}"))
+    with wh.load():
+        wh.create_tables_if_missing()
+        for name, frame in star.star_tables(spark, d).items():
+            wh._write(frame, name, static=True)
+    return footers.table_stats(wh, {"dim_date_qtr": "year", "dim_geo": "geo_key", "dim_product": "product_key", "fact_credit_metrics_qtr": "originations_cnt"})
+
+
+# ------------------------------------------------------------- S10, W8
+_GENERATIONS_SQL = """gens AS (
+  SELECT CAST(p_partkey AS INTEGER) AS product_key, NULL AS product_code, NULL AS product_type, NULL AS segment, CAST(p_size AS INTEGER) AS product_number, NULL AS lost
+  FROM part WHERE p_partkey % 3 = 0
+  UNION ALL SELECT CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_partkey AS INTEGER) END, p_brand, p_type, NULL, NULL,
+         CASE WHEN p_partkey % 5 = 0 THEN 'product_key_out_of_contract' END FROM part WHERE p_partkey % 3 = 1
+  UNION ALL SELECT CAST(p_partkey AS INTEGER), p_brand, p_type, 'Consumer', NULL, NULL FROM part WHERE p_partkey % 3 = 2),
+firsts AS (SELECT product_code, product_type, segment, min(product_key) AS kept FROM gens WHERE product_key IS NOT NULL GROUP BY ALL)"""
+
+
+@query("schema_generations", O.with_(_GENERATIONS_SQL) + """
+SELECT g.product_key, g.product_code, g.product_type, g.segment, g.product_number, CAST(NULL AS INTEGER) AS kept_product_key, CAST(NULL AS VARCHAR) AS dq_reason
+FROM gens g JOIN firsts f ON g.product_key = f.kept
+UNION ALL SELECT g.product_key, NULL, NULL, NULL, NULL, f.kept, 'uq_prod' FROM gens g JOIN firsts f
+  ON g.product_code IS NOT DISTINCT FROM f.product_code AND g.product_type IS NOT DISTINCT FROM f.product_type AND g.segment IS NOT DISTINCT FROM f.segment
+WHERE g.product_key <> f.kept
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, lost FROM gens WHERE lost IS NOT NULL""")
+def schema_generations(spark, d):
+    """S10 + W8: the product dimension in files of three generations (a legacy
+    one without its natural key, one with wider keys, some of them beyond the
+    contract, and one of the contract), read to the contract, and its unique
+    key repaired."""
+    p = T(spark, d, "part")
+    key, out = F.col("p_partkey"), scratch_path(spark, f"generations-{uuid.uuid4().hex}")
+    wide = F.when(key % 5 == 0, key + F.lit(1 << 40)).otherwise(key)
+    made = {
+        "a": p.where(key % 3 == 0).select(key.cast("int").alias("product_key"), F.col("p_size").cast("smallint").alias("product_number")),
+        "b": p.where(key % 3 == 1).select(wide.alias("product_key"), F.col("p_brand").alias("product_code"), F.col("p_type").alias("product_type")),
+        "c": p.where(key % 3 == 2).select(key.cast("int").alias("product_key"), F.col("p_brand").alias("product_code"), F.col("p_type").alias("product_type"), F.lit("Consumer").alias("segment")),
+    }
+    for name, frame in made.items():
+        frame.write.parquet(f"{out}/{name}")
+    rows, lost = evolve.read_generations(spark, [f"{out}/{n}" for n in made], C.DIM_PRODUCT, ["product_key"])
+    kept, losers = evolve.repair_unique(rows.where("product_key IS NOT NULL"), C.PRODUCT_NATURAL_KEY, "product_key", "uq_prod")
+    kept = kept.withColumn("product_number", F.col("product_number").cast("int"))
+    return kept.unionByName(losers, allowMissingColumns=True).unionByName(lost, allowMissingColumns=True)
+
+
+__all__ = ["csv_balances", "csv_scan", "footer_stats", "rejects_file", "report_document", "schema_generations", "xml_records"]

@@ -177,6 +177,9 @@ def run(spark: SparkSession, src: Sources, warehouse_root: str, report_dir: str
     if report_dir:
         reports.write_rejects(rejects, report_dir)
         reports.write_reports(reps, report_dir)
+        reports.write_document(reports.run_document(reps), f"{report_dir}/run_report")
+        if validate:
+            reports.write_document(reports.validation_document(base), f"{report_dir}/validation")
         fanout.coalesce(1).write.mode("overwrite").json(f"{report_dir}/fanout")
     result = RunResult(base=base, rejects=rejects, reports=reps, fanout=fanout)
     result.timings["transform"] = time.time() - t0
