@@ -21,7 +21,7 @@ from ..session import scratch_path
 from ..sources import csv_files, records
 from . import oracle as O
 from . import star
-from .catalog import T, query
+from .catalog import ORACLE_SQL, T, query
 
 
 def _files(lines: DataFrame, name: str, files: int) -> str:
@@ -275,4 +275,60 @@ def schema_generations(spark, d):
     return kept.unionByName(losers, allowMissingColumns=True).unionByName(lost, allowMissingColumns=True)
 
 
-__all__ = ["csv_balances", "csv_scan", "footer_stats", "rejects_file", "report_document", "schema_generations", "xml_records"]
+# ------------------------------------------- the whole load, K5, K6, W1-W7
+def _one_file(spark: SparkSession, name: str, header: str, rows: DataFrame) -> str:
+    """``place, line`` behind a header, as one file."""
+    data = rows.select(F.lit(0).alias("file"), F.col("place").cast("long").alias("place"), "line")
+    for place, line in ((_FIRST, header), (_LAST, ""), (_LAST + 1, "Source: example survey")):
+        data = data.unionByName(_fixed(spark, 1, place, F.lit(line)))
+    return _files(data, name, 1)
+
+
+def _decimal(c: Column, places: int) -> Column:
+    """A whole number as text, divided by a power of ten."""
+    return F.concat((c / F.lit(10 ** places)).cast("bigint").cast("string"), F.lit("."), F.lpad((c % F.lit(10 ** places)).cast("string"), places, "0"))
+
+
+def _load_sources(spark: SparkSession, d: str):
+    """The five source files of the load, from the driver's tables."""
+    from .pipeline import Sources
+
+    dollars = F.concat(F.lit('"$'), _decimal(F.round(F.col("amt") * 100).cast("bigint"), 11), F.lit('"'))
+    o = star.originations(spark, d).withColumn("amt", F.col("origination_amt"))
+    orig = o.select(F.pmod(F.hash("quarter"), F.lit(1 << 30)).alias("place"), F.concat_ws(",", "quarter", dollars, _decimal(F.col("originations_cnt"), 6)).alias("line"))
+    b = star.balances(spark, d).withColumn("amt", F.col("balance_amt"))
+    bal = b.select(F.pmod(F.hash("quarter"), F.lit(1 << 30)).alias("place"), F.concat_ws(",", "quarter", dollars).alias("line"))
+
+    def series_file(name: str, column: str) -> str:
+        rows = star.percent_series(spark, d, column).select(F.lit(0).alias("place"), F.concat_ws(",", "date", F.col("value").cast("int")).alias("line"))
+        return _files(rows.withColumn("file", F.lit(0)).unionByName(_fixed(spark, 1, _FIRST, F.lit(f"observation_date,{name}")), allowMissingColumns=True), name.lower(), 1)
+
+    rate = F.concat(F.lit('<record><field name="Country or Area">United States</field><field name="Year">'), F.col("year").cast("string"),
+                    F.lit('</field><field name="Value">'), F.col("lending_rate").cast("string"), F.lit("</field></record>"))
+    xml = star.lending_yearly(spark, d).select(F.lit(0).alias("file"), F.col("year").cast("long").alias("place"), rate.alias("line"))
+    for place, line in ((_FIRST, "<Root><data>"), (_LAST, "</data></Root>")):
+        xml = xml.unionByName(_fixed(spark, 1, place, F.lit(line)))
+    return Sources(
+        originations=_one_file(spark, "orig", "YRQTR,New Originations ($Billions),Number of New Accounts (Millions)", orig),
+        balances=_one_file(spark, "bal", '"YRQTR","Total Balances ($Billions)"', bal),
+        prime_series=series_file("PRIME", "l_tax"), default_series=series_file("DELINQUENCY", "l_discount"),
+        lending_records=_files(xml, "lend", 1))
+
+
+@query("load_run", ORACLE_SQL["pipeline_fact"])
+def load_run(spark, d):
+    """The load itself, from files to the warehouse: CSV originations and
+    balances, two daily series, lending records in XML.  A dry run first (it
+    must write nothing), then the load."""
+    from . import pipeline
+
+    src, root = _load_sources(spark, d), scratch_path(spark, f"load-{uuid.uuid4().hex}")
+    pipeline.run(spark, src, root, dry_run=True)
+    wh = warehouse.Warehouse(spark, root)
+    if wh.snapshots.exists():
+        raise AssertionError("a dry run wrote to the warehouse")
+    pipeline.run(spark, src, root)
+    return wh.read("fact_credit_metrics_qtr")
+
+
+__all__ = ["csv_balances", "csv_scan", "footer_stats", "load_run", "rejects_file", "report_document", "schema_generations", "xml_records"]
