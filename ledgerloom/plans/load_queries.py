@@ -18,7 +18,7 @@ from ..functions.money import cents
 from ..functions.quarter import date_quarter_token
 from ..operators import evolve, footers, quality, reports, warehouse
 from ..session import scratch_path
-from ..sources import csv_files, records
+from ..sources import csv_files, records, series
 from . import oracle as O
 from . import star
 from .catalog import ORACLE_SQL, T, query
@@ -147,6 +147,33 @@ def xml_records(spark, d):
     return records.lending_yearly(found, "purchase").groupBy("year", "lending_rate").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ------------------------------------------------------------------ S5
+SERIES_FILES, LATE = 30, 1500
+
+
+@query("series_exports", f"""
+SELECT CAST(ts AS DATE) AS date, CAST(floor(value * 100 + 0.5) AS DOUBLE) AS value, COUNT(*) AS n
+FROM events
+WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND NOT (event_id % {SERIES_FILES} % 3 = 1 AND event_id < {LATE})
+GROUP BY ALL""")
+def series_exports(spark, d):
+    """Events as 30 series exports of three layouts: a named date column;
+    one without a name whose first rows hold no date, behind a note; and the
+    value before the date.  Unreadable dates and values are dropped."""
+    e = T(spark, d, "events")
+    file = F.pmod(F.col("event_id"), F.lit(SERIES_FILES)).cast("int")
+    layout = file % 3
+    date = F.when((F.col("event_id") % 7 == 0) | ((layout == 1) & (F.col("event_id") < LATE)), F.lit("n/a")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    value = F.when(F.col("event_id") % 11 == 0, F.lit(".")).otherwise(cents("value").cast("string"))
+    line = (F.when(layout == 0, F.concat_ws(",", date, F.col("event_type"), value)).when(layout == 1, F.concat_ws(",", F.lit('"a, b"'), date, value))
+            .otherwise(F.concat_ws(",", F.col("event_type"), value, date)))
+    data = e.select(file.alias("file"), F.col("event_id").alias("place"), line.alias("line"))
+    own = F.col("id") % 3
+    header = F.when(own == 0, F.lit(" Observation_Date ,Kind,PRIME")).when(own == 1, F.lit("Note,When,Level")).otherwise(F.lit('"Kind","Rate","DATE"'))
+    folder = _files(data.unionByName(_fixed(spark, SERIES_FILES, _FIRST, header)), "exports", SERIES_FILES)
+    return series.read_series_folder(spark, folder).groupBy("date", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ------------------------------------------------------------------ K1, K2
 @query("rejects_file", """
 SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, NULL AS l_quantity, 'lines_duplicate_keys' AS dq_reason, COUNT(*) AS n
@@ -331,4 +358,4 @@ def load_run(spark, d):
     return wh.read("fact_credit_metrics_qtr")
 
 
-__all__ = ["csv_balances", "csv_scan", "footer_stats", "load_run", "rejects_file", "report_document", "schema_generations", "xml_records"]
+__all__ = ["csv_balances", "csv_scan", "footer_stats", "load_run", "rejects_file", "report_document", "schema_generations", "series_exports", "xml_records"]

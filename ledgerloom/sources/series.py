@@ -6,6 +6,11 @@ are stripped and lower-cased; the date column is ``date`` or
 ``observation_date``, else the first column holding any parseable date; the
 value column is the first other column holding any number.  One aggregate
 pass over the file answers both questions for every column.
+
+In a folder of exports the choice is made file by file: the first lines of each
+file decide most columns, and only what they leave open (a column before the
+chosen one that might still hold a date or a number) is asked of all lines, by
+file, in one aggregate.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.money import parse_number
+from ..session import ensure_checkpoint_dir
+from . import csv_files
 
 # Date layouts accepted in text date columns.
 DATE_FORMATS = ["yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss"]
@@ -76,6 +83,9 @@ def series_from_frame(df: DataFrame, series_col: str | None = None) -> DataFrame
 
 def read_series(spark: SparkSession, path: str, fmt: str = "csv", series_id: str | None = None) -> DataFrame:
     """Read one exported series; an absent file gives an empty series."""
+    if fmt == "csv" and len(csv_files.data_files(spark, path)) > 1:
+        out = read_series_folder(spark, path)
+        return out.withColumn("series_id", F.lit(series_id).cast("string")) if series_id is not None else out
     try:
         if fmt == "csv":
             df = spark.read.option("header", True).csv(path)
@@ -89,6 +99,80 @@ def read_series(spark: SparkSession, path: str, fmt: str = "csv", series_id: str
     return out.withColumn("series_id", F.lit(series_id).cast("string")) if series_id is not None else out
 
 
+#: Lines of each export that are looked at first.
+FIRST_LINES = 50
+
+
+def read_series_folder(spark: SparkSession, path: str, first_lines: int = FIRST_LINES) -> DataFrame:
+    """S5 over a folder of CSV exports whose layouts differ: ``series_id``
+    (the file's name), ``date, value``.  A folder without files, and a file
+    without a date and a value column, give no rows."""
+    files = csv_files.data_files(spark, path)
+    if not files:
+        return _empty_series(spark)
+    ensure_checkpoint_dir(spark)
+    heads = csv_files.file_heads(spark, files, first_lines).checkpoint(eager=True)
+    width = heads.agg(F.max(F.size(F.split("header", ",")))).first()[0]  # cells at most
+    if not width:
+        return _empty_series(spark)
+    heads = heads.withColumn("_names", F.transform(_cells(width, "header"), lambda n: F.lower(F.regexp_replace(n, r"^[\s\ufeff]+|\s+$", ""))))
+    # By file: the columns that hold a date, or a number, among the first lines.
+    seen = _votes(heads.select("name", "_names", F.explode_outer("lines").alias("value")), width, F.lit(True))
+    heads = heads.drop("lines").join(seen, "name")
+    named = _first(F.transform("_names", lambda n: n.isin(*DATE_NAMES)))
+    date = F.coalesce(named, _first(F.col("_dates")))
+    heads = heads.withColumn("_date", date).withColumn("_value", _first(_without("_numbers", F.col("_date"))))
+    # Open: without a named date, the columns before the one found (or all);
+    # likewise for numbers.  The date's own column takes no part in the latter.
+    place = F.sequence(F.lit(0), F.lit(width - 1))
+    before_date = F.transform(place, lambda i: named.isNull() & (i < F.coalesce(F.col("_date"), F.lit(width))))
+    before_value = F.transform(place, lambda i: i < F.coalesce(F.col("_value"), F.lit(width)))
+    heads = heads.withColumns({"_open_dates": before_date, "_open_numbers": before_value}).checkpoint(eager=True)
+    still = F.exists("_open_dates", lambda x: x) | F.exists("_open_numbers", lambda x: x)
+    if not heads.where(still).isEmpty():
+        lines = csv_files.data_lines(spark, path, heads.where(still), len(files))
+        more = _votes(lines, width, None).withColumnsRenamed({"_dates": "_more_dates", "_numbers": "_more_numbers"})
+        heads = heads.join(more, "name", "left")
+        for c, extra in (("_dates", "_more_dates"), ("_numbers", "_more_numbers")):
+            heads = heads.withColumn(c, F.when(F.col(extra).isNull(), F.col(c)).otherwise(F.zip_with(c, extra, lambda a, b: a | b)))
+        heads = heads.withColumn("_date", F.coalesce(named, _first(F.col("_dates")))).withColumn("_value", _first(_without("_numbers", F.col("_date"))))
+    chosen = heads.where("_date IS NOT NULL AND _value IS NOT NULL").select("name", "preamble", "header", "_date", "_value").checkpoint(eager=True)
+    cells = _cells(width)
+    rows = csv_files.data_lines(spark, path, chosen, len(files)).select(
+        F.col("name").alias("series_id"), parse_date(F.get(cells, "_date")).alias("date"), parse_number(F.get(cells, "_value")).alias("value"))
+    return rows.dropna(subset=["date", "value"])
+
+
+def _cells(width: int, line: str = "value") -> Column:
+    """The cells of a CSV line, padded or cut to ``width``."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    row = F.from_csv(line, F.lit(schema), {"mode": "PERMISSIVE"})
+    return F.array(*[row[f"c{i}"] for i in range(width)])
+
+
+def _votes(lines: DataFrame, width: int, ask: Column | None) -> DataFrame:
+    """``name, _dates, _numbers``: which columns of a file hold any date, any
+    number; ``ask`` (or else the open flags) says which are looked at."""
+    lines = lines.withColumn("_cells", _cells(width))
+    aggs = []
+    for kind, parsed, open_ in (("_dates", parse_date, "_open_dates"), ("_numbers", parse_number, "_open_numbers")):
+        for i in range(width):
+            wanted = ask if ask is not None else F.col(open_)[i]
+            aggs.append(F.coalesce(F.bool_or(F.when(wanted, parsed(F.col("_cells")[i]).isNotNull())), F.lit(False)).alias(f"{kind}{i}"))
+    votes = lines.groupBy("name").agg(*aggs)
+    return votes.select("name", *[F.array(*[F.col(f"{kind}{i}") for i in range(width)]).alias(kind) for kind in ("_dates", "_numbers")])
+
+
+def _first(flags: Column) -> Column:
+    """The place of the first true flag, from 0; NULL if there is none."""
+    return F.nullif(F.array_position(flags, F.lit(True)), F.lit(0)).cast("int") - 1
+
+
+def _without(flags: str, place: Column) -> Column:
+    """Flags with one place turned off."""
+    return F.transform(flags, lambda x, i: x & ~i.eqNullSafe(place))
+
+
 def _empty_series(spark: SparkSession) -> DataFrame:
     from ..contracts import OBSERVATIONS
 

@@ -99,17 +99,17 @@ def test_headers_of_a_folder_are_read_by_executors(spark, tmp, monkeypatch):
     """Three layouts, a blank and an empty file; each line by its own header."""
     from fixtures import write
 
-    write(tmp + "/in/a b.csv", "YRQTR,New Originations ($Billions),Number of New Accounts (Millions)\n2012Q3,$1.00,2\n2012Q4,$3.00\n")
+    write(tmp + "/in/a +b%1.csv", "YRQTR,New Originations ($Billions),Number of New Accounts (Millions)\n2012Q3,$1.00,2\n2012Q4,$3.00\n")
     write(tmp + "/in/b.csv", "\ufeffSource: x\n\nNumber of New Accounts (Millions),QUARTER,New Originations ($Billions)\n4,2013Q1,$5.00\n6,2013Q2,$7.00,8\nSource: x\n")
     write(tmp + "/in/c.csv", "Note,YRQTR,New Originations ($Billions),Number of New Accounts (Millions)\n\"a, \"\"b\"\"\",2013Q3,\"$1,000.00\",9\n")
     write(tmp + "/in/d.csv", "\n  \n")
     write(tmp + "/in/e.csv", "")
     write(tmp + "/in/_hidden.csv", "x\n")
     files = csv_files.data_files(spark, tmp + "/in")
-    assert [f.rsplit("/", 1)[1] for f in files] == ["a b.csv", "b.csv", "c.csv", "d.csv"]
+    assert [f.rsplit("/", 1)[1] for f in files] == ["a +b%1.csv", "b.csv", "c.csv", "d.csv"]
     heads = {r.name: (r.preamble, r.header) for r in csv_files.file_heads(spark, files).collect()}
-    assert heads["b.csv"] == ("\ufeffSource: x", "Number of New Accounts (Millions),QUARTER,New Originations ($Billions)")
-    assert heads["a b.csv"][0] is None and set(heads) == {"a b.csv", "b.csv", "c.csv"}
+    assert heads["b.csv"] == ("Source: x", "Number of New Accounts (Millions),QUARTER,New Originations ($Billions)")
+    assert heads["a +b%1.csv"][0] is None and set(heads) == {"a +b%1.csv", "b.csv", "c.csv"}
     for broadcast in (10_000, 0):
         monkeypatch.setattr(csv_files, "BROADCAST_FILES", broadcast)
         kept, long = csv_files.split_too_long(csv_files.extract_origination(spark, tmp + "/in"))
@@ -126,3 +126,21 @@ def test_a_misnested_file_is_dropped_and_parsed_once(spark, tmp):
     lending_xml(tmp + "/x/good.xml", [[("Country", "A"), ("Year", "2001"), ("Value", "1")]] * 3)
     write(tmp + "/x/bad.xml", '<Root><record><field name="Country">A</field></record><record><field name="Year">2001</record></field></Root>')
     assert rows(records.lending_yearly(records.read_xml_records(spark, tmp + "/x"), "A")) == [(2001, 1.0)] * 3
+
+
+def test_exports_of_a_folder_choose_their_own_columns(spark, tmp):
+    import datetime as dt
+
+    from fixtures import write
+
+    d = dt.date
+    write(tmp + "/s/a.csv", "DATE,x,Rate\n2020-01-01,t,1.5\n2020-01-02,,.\n")
+    # The note holds a number in its last line only: it is the value column.
+    write(tmp + "/s/b.csv", "Note,When,Level\n" + "n,no,7\n" * 5 + "n,2020-02-01,8\n9,2020-02-02,10\n")
+    write(tmp + "/s/c.csv", "Level,Note\n1,none\n2,of these is a date\n")
+    write(tmp + "/s/d.csv", "Source: y\nLevel,observation_date\n\"1,000\",2020-03-01\n5,03/02/2020\n")
+    for n in (1, 3, 50):
+        got = series.read_series_folder(spark, tmp + "/s", first_lines=n)
+        assert rows(got) == sorted([("a.csv", d(2020, 1, 1), 1.5), ("b.csv", d(2020, 2, 2), 9.0), ("d.csv", d(2020, 3, 2), 5.0)])
+    assert rows(series.read_series(spark, tmp + "/s", series_id="P"), "series_id", "value") == [("P", 1.5), ("P", 5.0), ("P", 9.0)]
+    assert series.read_series_folder(spark, tmp + "/none").count() == 0
