@@ -16,7 +16,8 @@ block.  Digests over whole conversations stream over the sorted blocks.
 Defined cases: null text is empty, a null role is the empty role; rows with
 equal turns are ordered by role and text, repeated rows are turns of their
 own; a null turn comes after all others, a null conversation is a
-conversation of its own; no rows give no output.
+conversation of its own; no rows give no output; other columns are left out,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ the outcome depends on ids and sizes alone: reruns agree.
 Defined cases: null or blank text has size 0 and takes 0; a null source is
 a source of its own, ranked last; a null id hashes as the empty string;
 repeated rows share a hash and so share their fate; an empty table gives
-an empty result.
+an empty result; ``mix`` keeps other columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_mixing": mixing.OP4_SQL,
+    "op7_substring_dedup": superkmer.OP7_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op9_chat": chat.OP9_SQL,
 }

@@ -365,3 +365,21 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 
 def query(spark, sf_dir: str) -> DataFrame:
     return digests(table(prepare(spark), sf_dir, "documents"))
+
+
+OP7_SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW} + 2)) AS s FROM texts WHERE len(words) >= {WINDOW}),
+keyed AS (SELECT doc_id, s, md5(array_to_string(list_slice(words, s, s + {WINDOW} - 1), ' ')) AS key FROM starts),
+least AS (SELECT key, min(doc_id) AS least FROM keyed GROUP BY key HAVING count(*) > 1),
+windows AS (SELECT k.doc_id, k.s, l.least FROM keyed k JOIN least l ON k.key = l.key),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + {WINDOW})) AS i FROM windows WHERE least < doc_id),
+lost AS (SELECT doc_id, list(i) AS at, count(*) AS n FROM gone GROUP BY doc_id),
+each_word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM texts),
+kept AS (
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS text FROM each_word e
+  LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i WHERE g.i IS NULL GROUP BY e.doc_id)
+SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words, CAST(coalesce(l.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN lost l ON l.doc_id = t.doc_id LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""
