@@ -171,7 +171,8 @@ def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = big[1].select("o_orderkey", "o_custkey", "o_orderdate")
     p = big[2].select("p_partkey", "p_brand", "p_type")
     # Orders meet customers first (a quarter of the line-item volume), so
-    # line items are shuffled once by order key and never by customer key.
+    # line items are shuffled by order key and never by customer key; where
+    # parts are too many to be broadcast, a second time by part key.
     y, q = F.year("o_orderdate"), F.quarter("o_orderdate")
     og = (o.join(_geo_lookup(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
           .select("o_orderkey", quarter_key(y, q).alias("quarter_key"), "country", "state_province"))
