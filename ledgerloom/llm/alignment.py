@@ -46,6 +46,10 @@ from ledgerloom.session import ensure_checkpoint_dir
 BLOCK = 4 << 20
 #: Stretches of text handed to a tokenizer in one line, and lines at a time.
 TOGETHER, LINES = 128, 64
+#: Distinct stretches aligned at a time, and a block's stretches whose pairs are
+#: looked at together (of whole texts): what a worker holds at once beside the
+#: block's own results.
+PARTS, AT_ONCE = 1 << 14, 1 << 16
 
 _DOC = "doc_id: array<bigint>, n_a: array<bigint>, n_b: array<bigint>, n_groups: array<bigint>, n_links: array<bigint>, groups_sha256: array<string>"
 _BLOCK = f"block bigint, key array<bigint>, n array<bigint>, docs struct<{_DOC}>, links binary"
@@ -174,7 +178,7 @@ def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class Aligned:
-    """The alignment of distinct stretches: numbers of tokens, groups and
+    """The alignment of some distinct stretches: numbers of tokens, groups and
     links of each, its groups as text, and its id pairs (``key``: distinct
     pairs ``a * 2**32 + b``; ``pair``, ``times``: numbers of ``key`` and how
     often a stretch links them, ``pairs`` to a stretch)."""
@@ -209,14 +213,28 @@ class Aligned:
         y = np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many) + np.repeat((np.cumsum(own_b) - own_b)[own_a], many)
         key = (once_a[x] & 0xFFFFFFFF) << 32 | (once_b[y] & 0xFFFFFFFF)
         self.key, self.pair = np.unique(key, return_inverse=True)
+        self.pair = self.pair.astype(np.int32)
         self.times = times_a[x] * times_b[y]
         self.pairs = np.bincount(of[own_a[x]], minlength=len(parts))
 
 
+class AllAligned:
+    """``Aligned`` of any number of distinct stretches, made ``PARTS`` at a
+    time."""
+
+    def __init__(self, aligner: Aligner, parts: pa.Array):
+        made = [Aligned(aligner, parts.slice(k, PARTS)) for k in range(0, len(parts), PARTS)]
+        for name in ("wrong", "n_a", "n_b", "n_groups", "n_links", "times", "pairs"):
+            setattr(self, name, np.concatenate([vars(m).pop(name) for m in made]))
+        self.text = pa.concat_arrays([m.text for m in made])
+        self.key = np.unique(np.concatenate([m.key for m in made]))
+        self.pair = np.concatenate([np.searchsorted(self.key, m.key).astype(np.int32)[vars(m).pop("pair")] for m in made])
+
+
 def _blob(*arrays: np.ndarray) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.nbytes.to_bytes(8, "little") + x.tobytes() for x in arrays))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(y for x in arrays for y in (x.nbytes.to_bytes(8, "little"), x.data)))
 
 
 def _arrays(blob: bytes, kinds: list[str]) -> list[np.ndarray]:
@@ -241,7 +259,7 @@ def _block(aligner: Aligner, ids: pa.Array, texts: pa.Array) -> tuple[pa.StructA
         made = None
         words_of = np.zeros(n, np.int64)
     else:
-        made = Aligned(aligner, coded.dictionary)
+        made = AllAligned(aligner, coded.dictionary)
         good = sums(made.wrong[words].astype(np.int64), counts) == 0
         words = words[np.repeat(good, counts)]
         words_of = np.zeros(n, np.int64)
@@ -250,27 +268,40 @@ def _block(aligner: Aligner, ids: pa.Array, texts: pa.Array) -> tuple[pa.StructA
         zeros = pa.array(np.zeros(n, np.int64))
         docs = [ids, zeros, zeros, zeros, zeros, pa.array([""] * n)]
         return docs, np.zeros(0, np.int64), np.zeros(0, np.int64), _blob(words_of.astype("<u4"), *[np.zeros(0, "<u4")] * 3, np.zeros(0, "<i8"))
-    lines = pc.binary_join(listed(made.text.take(pa.array(words)), words_of), ";")
-    shas = [hashlib.sha256(x.as_buffer()).hexdigest() if k else "" for x, k in zip(lines, words_of.tolist())]
-    docs = [ids, *(pa.array(sums(v[words], words_of)) for v in (made.n_a, made.n_b, made.n_groups, made.n_links)), pa.array(shas)]
-    # How many documents hold each pair: once a document and stretch, then once a document and pair.
-    held = np.unique(np.repeat(np.arange(n), words_of) * len(made.pairs) + words)
-    doc, word = held // len(made.pairs), held % len(made.pairs)
-    many = made.pairs[word]
-    at = np.repeat((np.cumsum(made.pairs) - made.pairs)[word] - (np.cumsum(many) - many), many)
-    at += np.arange(len(at))
-    at = made.pair[at]
-    at += np.repeat(doc * len(made.key), many)
-    at.sort()
-    once = at[np.flatnonzero(np.diff(at, prepend=-1))]
-    del at
-    holders = np.bincount(once % len(made.key), minlength=len(made.key))
+    shas, holders = [], np.zeros(len(made.key), np.int64)
+    first_pair = np.cumsum(made.pairs) - made.pairs
+    for start, stop, own in text_runs(words, words_of):
+        lines = pc.binary_join(listed(made.text.take(pa.array(own)), words_of[start:stop]), ";")
+        shas += [hashlib.sha256(x.as_buffer()).hexdigest() if k else "" for x, k in zip(lines, words_of[start:stop].tolist())]
+        # How many documents hold each pair: once a document and stretch, then once a document and pair.
+        held = np.unique(np.repeat(np.arange(stop - start), words_of[start:stop]) * len(made.pairs) + own)
+        doc, word = held // len(made.pairs), held % len(made.pairs)
+        many = made.pairs[word]
+        at = np.repeat(first_pair[word] - (np.cumsum(many) - many), many)
+        at += np.arange(len(at))
+        at = made.pair[at].astype(np.int64)
+        at += np.repeat(doc * len(made.key), many)
+        at.sort()
+        holders += np.bincount(at[np.flatnonzero(np.diff(at, prepend=-1))] % len(made.key), minlength=len(made.key))
+    docs = [ids, *(pa.array(sums(v[words], words_of)) for v in (made.n_a, made.n_b, made.n_groups, made.n_links)), pa.array(shas, pa.string())]
     used = np.flatnonzero(holders)  # pairs of texts without tokens are none
     renamed = np.cumsum(holders > 0) - 1
-    blob = _blob(words_of.astype("<u4"), words.astype("<u4"), made.pairs.astype("<u4"), renamed[made.pair].astype("<i4").view("<u4"), made.times.astype("<i8"))
+    blob = _blob(words_of.astype("<u4"), words.astype("<u4"), made.pairs.astype("<u4"), renamed.astype("<i4")[made.pair].view("<u4"), made.times.astype("<i8"))
     return docs, made.key[used], holders[used], blob
 
 
+def text_runs(words: np.ndarray, words_of: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Runs of whole texts of about ``AT_ONCE`` stretches: the first text, the
+    one behind the last, and their stretches."""
+    ends = np.cumsum(words_of)
+    start = 0
+    while start < len(words_of):
+        begin = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, begin + AT_ONCE, "right")))
+        yield start, stop, words[begin:int(ends[stop - 1])]
+        start = stop
+
+
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
@@ -299,6 +330,8 @@ def blocks(docs: DataFrame, a: str, b: str, size: int = BLOCK) -> DataFrame:
                 one = np.array([len(key)])
                 yield pa.RecordBatch.from_arrays([pa.array([number]), listed(pa.array(key), one), listed(pa.array(n.astype(np.int64)), one), docs, pa.array([links], pa.binary())],
                                                  ["block", "key", "n", "docs", "links"])
+                del made, key, n, links, docs
+                pieces.give_back()
                 at, number = at + len(texts), number + 1
 
     return docs.mapInArrow(pieces.released(run), _BLOCK)

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from brute import DOCS, clashing, corpus, empty
@@ -92,3 +94,24 @@ def test_hot_texts_and_tables_without_tokens(spark, both):
     assert alignment.align(empty(spark))[0].count() == 0
     none, pairs = alignment.align(spark.createDataFrame([(1, None, "en", "s", 0), (2, "▁", "en", "s", 0)], DOCS))
     assert sorted(map(tuple, none.collect())) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")] and pairs.count() == 0
+
+
+def test_a_block_is_aligned_in_bounded_parts(both, monkeypatch):
+    """The same block whole and in parts: equal results, and the arrays that
+    a worker holds at once are a fraction."""
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 9))) for _ in range(60_000)]
+    texts = pa.array([" ".join(r.choices(words, k=200)) for _ in range(600)] + ["", None, "x" * 500])
+    texts = texts.fill_null("")
+    ids, aligner = pa.array(range(len(texts))), alignment._aligner(alignment.a_path(), alignment.b_path())
+    seen = {}
+    for parts, at_once in ((1 << 40, 1 << 40), (1 << 12, 1 << 13)):
+        monkeypatch.setattr(alignment, "PARTS", parts)
+        monkeypatch.setattr(alignment, "AT_ONCE", at_once)
+        tracemalloc.start()
+        docs, key, n, links = alignment._block(aligner, ids, texts)
+        seen[parts] = tracemalloc.get_traced_memory()[1], [x.to_pylist() for x in docs], key.tolist(), n.tolist(), links
+        tracemalloc.stop()
+    (whole, *want), (part, *got) = seen.values()
+    assert got == want
+    assert part < 0.6 * whole, (part, whole)
