@@ -317,7 +317,9 @@ def _decimal(c: Column, places: int) -> Column:
 
 
 def _load_sources(spark: SparkSession, d: str):
-    """The five source files of the load, from the driver's tables."""
+    """The five sources of the load, from the driver's tables.  The two daily
+    series are folders of exports, a file a scan task: no task gathers or
+    sorts the line items."""
     from .pipeline import Sources
 
     dollars = F.concat(F.lit('"$'), _decimal(F.round(F.col("amt") * 100).cast("bigint"), 11), F.lit('"'))
@@ -327,8 +329,10 @@ def _load_sources(spark: SparkSession, d: str):
     bal = b.select(F.pmod(F.hash("quarter"), F.lit(1 << 30)).alias("place"), F.concat_ws(",", "quarter", dollars).alias("line"))
 
     def series_file(name: str, column: str) -> str:
-        rows = star.percent_series(spark, d, column).select(F.lit(0).alias("place"), F.concat_ws(",", "date", F.col("value").cast("int")).alias("line"))
-        return _files(rows.withColumn("file", F.lit(0)).unionByName(_fixed(spark, 1, _FIRST, F.lit(f"observation_date,{name}")), allowMissingColumns=True), name.lower(), 1)
+        out = scratch_path(spark, f"{name.lower()}-{uuid.uuid4().hex}")
+        rows = star.percent_series(spark, d, column).select(F.col("date").cast("string").alias("observation_date"), F.col("value").cast("int").alias(name))
+        rows.write.option("header", True).csv(out)
+        return out
 
     rate = F.concat(F.lit('<record><field name="Country or Area">United States</field><field name="Year">'), F.col("year").cast("string"),
                     F.lit('</field><field name="Value">'), F.col("lending_rate").cast("string"), F.lit("</field></record>"))
