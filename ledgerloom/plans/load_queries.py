@@ -96,6 +96,8 @@ def csv_scan(spark, d):
 
 # ------------------------------------------------------------------ S4
 BALANCE_FILES = 8
+#: More files where one would hold more rows than this.
+ROWS_A_FILE = 1_000_000
 
 
 @query("csv_balances", """
@@ -106,11 +108,12 @@ def csv_balances(spark, d):
     """Line items as quoted balance files, read to dollars."""
     li = T(spark, d, "lineitem")
     quoted = F.concat(F.lit('"'), date_quarter_token("l_shipdate"), F.lit('","$'), F.format_number(cents("l_extendedprice") / 100, 2), F.lit('","null"'))
-    file = F.pmod(F.col("l_orderkey"), F.lit(BALANCE_FILES)).cast("int")
+    files = max(BALANCE_FILES, -(-li.count() // ROWS_A_FILE))
+    file = F.pmod(F.col("l_orderkey"), F.lit(files)).cast("int")
     data = li.select(file.alias("file"), F.col("l_orderkey").alias("place"), quoted.alias("line"))
     for place, line in ((_FIRST, '"YRQTR","Total Balances ($Billions)","Number of Accounts (Millions)"'), (_LAST, ""), (_LAST + 1, "Website: https://example.org/data")):
-        data = data.unionByName(_fixed(spark, BALANCE_FILES, place, F.lit(line)))
-    rows = csv_files.extract_balances(spark, _files(data, "balances", BALANCE_FILES)).where("balance_amt IS NOT NULL")
+        data = data.unionByName(_fixed(spark, files, place, F.lit(line)))
+    rows = csv_files.extract_balances(spark, _files(data, "balances", files)).where("balance_amt IS NOT NULL")
     return rows.groupBy("quarter", "balance_amt").agg(F.count(F.lit(1)).alias("n"))
 
 

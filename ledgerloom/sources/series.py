@@ -137,9 +137,9 @@ def read_series_folder(spark: SparkSession, path: str, first_lines: int = FIRST_
             heads = heads.withColumn(c, F.when(F.col(extra).isNull(), F.col(c)).otherwise(F.zip_with(c, extra, lambda a, b: a | b)))
         heads = heads.withColumn("_date", F.coalesce(named, _first(F.col("_dates")))).withColumn("_value", _first(_without("_numbers", F.col("_date"))))
     chosen = heads.where("_date IS NOT NULL AND _value IS NOT NULL").select("name", "preamble", "header", "_date", "_value").checkpoint(eager=True)
-    cells = _cells(width)
-    rows = csv_files.data_lines(spark, path, chosen, len(files)).select(
-        F.col("name").alias("series_id"), parse_date(F.get(cells, "_date")).alias("date"), parse_number(F.get(cells, "_value")).alias("value"))
+    lines = csv_files.data_lines(spark, path, chosen, len(files)).select("name", "_date", "_value", csv_files.once(_cells(width)).alias("_cells"))
+    rows = lines.select(F.col("name").alias("series_id"), csv_files.once(parse_date(F.get("_cells", "_date"))).alias("date"), F.get("_cells", "_value").alias("value"))
+    rows = rows.select("series_id", "date", parse_number("value").alias("value"))
     return rows.dropna(subset=["date", "value"])
 
 
