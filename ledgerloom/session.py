@@ -82,6 +82,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # A test reads the plans of the runs it started; a whole suite starts more than the 1,000 kept.
+        .config("spark.sql.ui.retainedExecutions", "10000")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerloom-sql-"))
         .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
